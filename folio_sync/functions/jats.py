@@ -139,8 +139,8 @@ def _last_id(ids: Column, kind: str) -> Column:
 def article_ids(protected: Column, parsed: Column) -> Column:
     """Struct of pmcid, pmid and doi: for each kind the last id of the article.
 
-    Ids count wherever the article nests another front (a sub-article's). Only
-    then is the whole tree searched; otherwise the ids come from the first parse.
+    Ids count wherever the article nests another front (a sub-article's). The whole
+    tree is searched only if there may be one; otherwise the first parse has them.
     """
     ids = parsed["front"]["article-meta"]["article-id"]
     own = [_last_id(ids, kind) for kind in ID_KINDS.values()]
@@ -149,7 +149,8 @@ def article_ids(protected: Column, parsed: Column) -> Column:
         "/node()[1][self::text()])"
         for kind in ID_KINDS.values()
     ])), SEPARATOR)
-    nested = F.regexp_count(protected, F.lit(r"<(?:front|article-meta)[\s>]")) > 2
+    fronts = F.regexp_count(protected, F.lit(r"<(?:front|article-meta)[\s>]"))
+    nested = (fronts > 2) | parsed["front"]["article-meta"].isNull()
     return F.struct(*[
         empty_to_null(restore(
             F.when(nested, searched.getItem(position)).otherwise(own[position])

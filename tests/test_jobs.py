@@ -1,6 +1,7 @@
 """Full load, delta load and feed on archives written by the test."""
 
 import datetime as dt
+import shutil
 
 import pytest
 from corpus_files import article, write_archive, write_list, write_package
@@ -16,9 +17,10 @@ DELTA_TS = dt.datetime(2024, 1, 20, 8)
 T1, T2, T3 = "2024-01-01 12:00:00", "2024-01-10 12:00:00", "2024-01-11 12:00:00"
 
 
-@pytest.fixture
-def site(tmp_path, spark):
+@pytest.fixture(scope="session")
+def loaded(tmp_path_factory, spark):
     """A corpus of three articles after a full load on 2024-01-05."""
+    tmp_path = tmp_path_factory.mktemp("loaded")
     write_archive(tmp_path / "base/a.tar.gz", {
         "PMC1.xml": article("PMC1", "One v1", "first"), "PMC2.nxml": article("PMC2", "Two", "second"),
     })
@@ -30,7 +32,14 @@ def site(tmp_path, spark):
     root = str(tmp_path / "corpus")
     corpus.initialize(spark, root)
     full_load(spark, root, manifest, str(tmp_path / "base"), run_ts=FULL_TS)
-    return tmp_path, root
+    return tmp_path
+
+
+@pytest.fixture
+def site(tmp_path, loaded):
+    """A copy of the loaded corpus for one test."""
+    shutil.copytree(loaded, tmp_path / "site")
+    return tmp_path / "site", str(tmp_path / "site" / "corpus")
 
 
 def titles(spark, root):
