@@ -20,7 +20,8 @@ from folio_sync.functions.text import collapse_space, empty_to_null, strip_space
 NO_TITLE = "No Title Found"
 NO_JOURNAL = "N/A"
 
-ARTICLE = r"(?s)<article[\s>].*?</article>"
+# An empty element comes first, or it would take the next article's end for its own.
+ARTICLE = r"(?s)<article(?:\s[^<>]*)?/>|<article[\s>].*?</article>"
 
 # Written for an encoded `<` before parsing, so that after parsing every `<` left
 # in a string is markup. ESCAPE is written as ESCAPE + "0", so nothing is lost.
@@ -29,24 +30,34 @@ ENCODED_LESS = r"&(?:lt|#0*60|#[xX]0*3[cC]);"
 
 SEPARATOR = "\u0001"
 
+# What the streaming parser lets pass and the XPath parser does not: a character
+# beyond the basic plane in the name of an element, attribute or instruction, and
+# the two characters at the end of the basic plane.
+_BEYOND = r"\x{10000}-\x{10FFFF}"
+ODD_CHARACTER = (
+    rf"""<(?![!?])[^<>"'{_BEYOND}]*+(?:(?:"[^"]*+"|'[^']*+')[^<>"'{_BEYOND}]*+)*+[{_BEYOND}]"""
+    rf"|<\?[^\s?>{_BEYOND}]*+[{_BEYOND}]|[\x{{FFFE}}\x{{FFFF}}]"
+)
+
 XML_OPTIONS = {"mode": "PERMISSIVE", "ignoreSurroundingSpaces": "false", "nullValue": SEPARATOR}
 
 # `_corrupt_record` has to be the last field.
 GATE_SCHEMA = (
-    "front struct<"
+    "article array<struct<front: struct<"
     "`journal-meta`: struct<"
     "`journal-title-group`: array<struct<`journal-title`: array<string>>>, "
     "issn: array<string>, "
     "publisher: array<struct<`publisher-name`: array<string>>>>, "
     "`article-meta`: struct<"
     "`article-id`: array<struct<`_pub-id-type`: string, _VALUE: string>>, "
+    "abstract: array<string>, "
     "permissions: array<struct<license: array<struct<`_license-type`: string>>>>, "
     "`pub-date`: array<struct<year: array<string>, month: array<string>, day: array<string>>>, "
     "`contrib-group`: array<struct<contrib: array<struct<"
     "`_contrib-type`: string, "
     "name: array<struct<`given-names`: array<string>, surname: array<string>>>, "
     "aff: array<string>, "
-    "`contrib-id`: array<struct<`_contrib-id-type`: string, _VALUE: string>>>>>>>>, "
+    "`contrib-id`: array<struct<`_contrib-id-type`: string, _VALUE: string>>>>>>>>>>, "
     "_corrupt_record string"
 )
 
@@ -69,9 +80,13 @@ def _escape_cdata(xml: Column) -> Column:
 
 
 def protect(xml: Column) -> Column:
-    """The same article without CDATA sections and encoded `<` characters."""
+    """The same article without CDATA sections and encoded `<` characters.
+
+    It is put in an outer element, so that both parsers read the text to its end.
+    """
     plain = F.replace(_escape_cdata(xml), F.lit(ESCAPE), F.lit(ESCAPE + "0"))
-    return F.regexp_replace(plain, ENCODED_LESS, ESCAPE + "1")
+    marked = F.regexp_replace(plain, ENCODED_LESS, ESCAPE + "1")
+    return F.concat(F.lit("<w>"), marked, F.lit("</w>"))
 
 
 def restore(text: Column) -> Column:
@@ -82,10 +97,24 @@ def restore(text: Column) -> Column:
 
 
 def gate(protected: Column) -> Column:
-    """Struct of the streaming parse; `_corrupt_record` is set for a malformed article."""
+    """Struct of the streaming parse."""
     return F.from_xml(protected, GATE_SCHEMA, XML_OPTIONS)
 
 
+def is_well_formed(protected: Column, parsed: Column) -> Column:
+    """Whether both parsers accept the article."""
+    return F.coalesce(
+        parsed["_corrupt_record"].isNull()
+        & (F.size(parsed["article"]) == 1)
+        & ~protected.rlike(ODD_CHARACTER),
+        F.lit(False),
+    )
+
+
+def _front(parsed: Column) -> Column:
+    return F.get(parsed["article"], F.lit(0))["front"]
+
+
 def _whole_text(path: str) -> str:
     """XPath of an element's whole text; text right after the element counts too."""
     return f"concat({path}, {path}/following-sibling::node()[1][self::text()])"
@@ -95,21 +124,21 @@ def _present(path: str) -> str:
     return f"string(boolean({path}))"
 
 
-META = "/article/front[1]/article-meta[1]"
+ROOT = "/w/article"
+META = f"{ROOT}/front[1]/article-meta[1]"
 
 # Field name -> XPath, evaluated together. The JDK allows at most 10 groups and
 # 100 operators in one XPath, so `(...)[1]` and long predicates are avoided.
 FIELD_PATHS = {
     "has_meta": _present(META),
     "title": _whole_text(f"{META}/title-group[article-title][1]/article-title[1]"),
-    "has_abstract": _present(f"{META}/abstract"),
     "abstract": _whole_text(f"{META}/abstract[1]"),
     "license_url": (
         f"string({META}/permissions[1]/license[1]"
         "/@*[local-name()='href' and contains(name(), ':')])"
     ),
-    "has_body": _present("/article/body"),
-    "body": _whole_text("/article/body[1]"),
+    "has_body": _present(f"{ROOT}/body"),
+    "body": _whole_text(f"{ROOT}/body[1]"),
 }
 FIELDS = tuple(FIELD_PATHS)
 
@@ -142,7 +171,7 @@ def article_ids(protected: Column, parsed: Column) -> Column:
     Ids count wherever the article nests another front (a sub-article's). The whole
     tree is searched only if there may be one; otherwise the first parse has them.
     """
-    ids = parsed["front"]["article-meta"]["article-id"]
+    ids = _front(parsed)["article-meta"]["article-id"]
     own = [_last_id(ids, kind) for kind in ID_KINDS.values()]
     searched = F.split(F.xpath_string(protected, _joined([
         f"string((//front/article-meta/article-id[@pub-id-type='{kind}'])[last()]"
@@ -150,7 +179,7 @@ def article_ids(protected: Column, parsed: Column) -> Column:
         for kind in ID_KINDS.values()
     ])), SEPARATOR)
     fronts = F.regexp_count(protected, F.lit(r"<(?:front|article-meta)[\s>]"))
-    nested = (fronts > 2) | parsed["front"]["article-meta"].isNull()
+    nested = (fronts > 2) | _front(parsed)["article-meta"].isNull()
     return F.struct(*[
         empty_to_null(restore(
             F.when(nested, searched.getItem(position)).otherwise(own[position])
@@ -171,7 +200,7 @@ def _element_text(markup: Column) -> Column:
 
 def contributors(parsed: Column) -> Column:
     """Authors with a personal name, in document order, from the first contributor group."""
-    group = F.get(parsed["front"]["article-meta"]["contrib-group"], F.lit(0))
+    group = F.get(_front(parsed)["article-meta"]["contrib-group"], F.lit(0))
 
     def person(c: Column) -> Column:
         name = F.get(c["name"], F.lit(0))
@@ -206,13 +235,18 @@ def whole_text(fields: Column, name: str) -> Column:
     return collapse_space(field(fields, name))
 
 
-def optional_text(fields: Column, name: str) -> Column:
-    """Whole text, NULL when the element is absent."""
-    return F.when(field(fields, f"has_{name}") == "true", whole_text(fields, name))
+def abstract_text(parsed: Column, fields: Column) -> Column:
+    """Whole text of the first abstract, NULL when there is none."""
+    found = _front(parsed)["article-meta"]["abstract"]
+    return F.when(F.size(found) > 0, whole_text(fields, "abstract"))
+
+
+def body_text(fields: Column) -> Column:
+    return F.when(field(fields, "has_body") == "true", whole_text(fields, "body"))
 
 
 def date_parts(parsed: Column) -> dict[str, Column]:
-    first = F.get(parsed["front"]["article-meta"]["pub-date"], F.lit(0))
+    first = F.get(_front(parsed)["article-meta"]["pub-date"], F.lit(0))
     return {part: empty_to_null(own_text(first[part])) for part in ("year", "month", "day")}
 
 
@@ -227,7 +261,7 @@ def publication_day(parsed: Column) -> Column:
 
 
 def journal_info(parsed: Column) -> Column:
-    journal = parsed["front"]["journal-meta"]
+    journal = _front(parsed)["journal-meta"]
     titles = F.flatten(F.filter(journal["journal-title-group"]["journal-title"], F.isnotnull))
     publishers = F.flatten(F.filter(journal["publisher"]["publisher-name"], F.isnotnull))
     return F.struct(
@@ -238,7 +272,7 @@ def journal_info(parsed: Column) -> Column:
 
 
 def license_info(parsed: Column, fields: Column) -> Column:
-    licenses = F.get(parsed["front"]["article-meta"]["permissions"], F.lit(0))["license"]
+    licenses = F.get(_front(parsed)["article-meta"]["permissions"], F.lit(0))["license"]
     return F.when(
         F.size(licenses) > 0,
         F.struct(

@@ -29,7 +29,7 @@ def extract_articles(members: DataFrame) -> DataFrame:
     split = members.select(*kept, F.posexplode(fragments).alias("article_pos", "raw_jats_xml"))
     protected = split.withColumn("protected", jats.protect(F.col("raw_jats_xml")))
     parsed = protected.withColumn("parsed", jats.gate(F.col("protected")))
-    well_formed = F.col("protected").isNotNull() & F.col("parsed")["_corrupt_record"].isNull()
+    well_formed = jats.is_well_formed(F.col("protected"), F.col("parsed"))
     p, f = F.col("parsed"), F.col("fields")
     fielded = parsed.withColumn(
         "fields", F.when(well_formed, jats.mixed_fields(F.col("protected")))
@@ -43,13 +43,13 @@ def extract_articles(members: DataFrame) -> DataFrame:
         F.col("ids.doi").alias("doi"),
         (jats.field(f, "has_meta") == "true").alias("has_meta"),
         F.coalesce(empty_to_null(jats.whole_text(f, "title")), F.lit(jats.NO_TITLE)).alias("title"),
-        jats.optional_text(f, "abstract").alias("abstract_text"),
+        jats.abstract_text(p, f).alias("abstract_text"),
         jats.date_parts(p)["year"].isNotNull().alias("has_year"),
         jats.publication_day(p).alias("publication_date"),
         jats.journal_info(p).alias("journal_info"),
         F.when(f.isNotNull(), jats.contributors(p)).alias("contributors"),
         jats.license_info(p, f).alias("license_info"),
-        jats.optional_text(f, "body").alias("body_text"),
+        jats.body_text(f).alias("body_text"),
     )
     reason = (
         F.when(F.col("raw_jats_xml").isNull(), F.lit(None))

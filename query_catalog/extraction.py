@@ -222,7 +222,7 @@ def article_fragments(spark, sf_dir):
 
 
 _PAGE_FRAGMENTS = r"""
-    SELECT page_id, regexp_extract_all(html, '(?s)<article[\s>].*?</article>') AS found FROM pages"""
+    SELECT page_id, regexp_extract_all(html, '(?s)<article(?:\s[^<>]*)?/>|<article[\s>].*?</article>') AS found FROM pages"""
 
 ARTICLE_FRAGMENTS = f"""
 SELECT page_id, CAST(i - 1 AS BIGINT) AS article_pos, md5(found[i]) AS fragment_md5

@@ -1,0 +1,127 @@
+"""Upserts, folds and retractions against plain Python."""
+
+import datetime as dt
+import itertools
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from folio_sync.operators import merge, retract
+
+ROW = "pmcid string, v string, source_last_updated bigint"
+STAGED = ROW + ", package_order int"
+
+
+def sequential(target, packages):
+    """Guarded upsert, package after package: {key: (value, time)}."""
+    state = dict(target)
+    for package in packages:
+        for key, (value, time) in package.items():
+            old = state.get(key)
+            if old is None or old[1] is None or (time is not None and old[1] < time):
+                state[key] = (value, time)
+    return state
+
+
+def bulk(spark, target, packages):
+    t = spark.createDataFrame([(k, v, c) for k, (v, c) in target.items()], ROW)
+    s = spark.createDataFrame(
+        [(k, v, c, i) for i, p in enumerate(packages) for k, (v, c) in p.items()], STAGED
+    )
+    merged = merge.upsert_metadata(t, merge.fold_packages(s).drop("package_order"))
+    return {r.pmcid: (r.v, r.source_last_updated) for r in merged.collect()}
+
+
+def test_bulk_fold_equals_package_order_in_all_small_cases(spark):
+    """Every target time and every sequence of up to three package times, at once."""
+    times = [None, 1, 2, 3]
+    target, packages = {}, [{}, {}, {}]
+    n = 0
+    for old in ["absent", *times]:
+        for choice in itertools.product(["absent", *times], repeat=3):
+            key, n = f"k{n}", n + 1
+            if old != "absent":
+                target[key] = ("old", old)
+            for i, time in enumerate(choice):
+                if time != "absent":
+                    packages[i][key] = (f"p{i}", time)
+    assert n == 625
+    assert bulk(spark, target, packages) == sequential(target, packages)
+
+
+time = st.one_of(st.none(), st.integers(1, 4))
+side = st.dictionaries(st.sampled_from("abcd"), time, max_size=4)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(target=side, packages=st.lists(side, min_size=1, max_size=5))
+def test_bulk_fold_equals_package_order(spark, target, packages):
+    old = {k: ("old", t) for k, t in target.items()}
+    new = [{k: (f"p{i}", t) for k, t in p.items()} for i, p in enumerate(packages)]
+    assert bulk(spark, old, new) == sequential(old, new)
+
+
+def test_superseded_rows_are_those_replaced(spark):
+    target = spark.createDataFrame([("a", "1", 5), ("b", "1", None), ("c", "1", 5), ("d", "1", 5)], ROW)
+    staged = spark.createDataFrame([("a", "2", 6), ("b", "2", None), ("c", "2", 5), ("d", "2", None), ("e", "2", 1)], ROW)
+    taken = merge.admitted(target, staged)
+    assert {r.pmcid for r in taken.collect()} == {"a", "b", "e"}
+    assert {r.pmcid for r in merge.superseded_rows(target.select("pmcid"), taken).collect()} == {"a", "b"}
+
+
+def test_content_upsert_has_no_guard(spark):
+    target = spark.createDataFrame([("a", "1"), ("b", "1")], "pmcid string, body_text string")
+    staged = spark.createDataFrame([("a", "2"), ("c", "2")], "pmcid string, body_text string")
+    rows = {r.pmcid: r.body_text for r in merge.upsert_content(target, staged).collect()}
+    assert rows == {"a": "2", "b": "1", "c": "2"}
+
+
+def test_a_hot_key_is_reduced_before_the_shuffle(spark):
+    """One key holds a third of the rows; the fold aggregates partially first."""
+    staged = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("pmcid"),
+        F.col("id").cast("string").alias("v"), (F.col("id") % 1000).alias("source_last_updated"),
+        F.col("id").cast("int").alias("package_order"),
+    )
+    folded = merge.fold_packages(staged)
+    assert folded.count() == 20001
+    assert folded.where("pmcid = 'hot'").first().v == "999"
+    plan = folded._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("partial_max_by") >= 1 and "Window" not in plan
+
+
+META = "pmcid string, is_retracted boolean, sync_timestamp timestamp"
+OLD, NOW = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
+
+
+def flagged(spark):
+    return spark.createDataFrame([("a", False, OLD), ("b", False, OLD), ("c", True, OLD), ("d", False, OLD)], META)
+
+
+@pytest.mark.parametrize("ids, changed", [(["a", "b", "c", "x"], {"a", "b"}), (["a", "a"], {"a"}), ([], set())])
+def test_retractions(spark, ids, changed):
+    listed = spark.createDataFrame([(i,) for i in ids], "pmcid string")
+    once = retract.apply_retractions(flagged(spark), listed, NOW)
+    rows = {r.pmcid: r for r in once.collect()}
+    assert len(rows) == 4
+    assert {k for k, r in rows.items() if r.changed} == changed
+    assert {k for k, r in rows.items() if r.is_retracted} == changed | {"c"}
+    assert {k for k, r in rows.items() if r.sync_timestamp == NOW} == changed
+    assert retract.apply_retractions(once.drop("changed"), listed, NOW).where("changed").isEmpty()
+    counts = retract.retraction_counts(flagged(spark), listed).first()
+    assert (counts.supplied, counts.changed) == (len(set(ids)), len(changed))
+
+
+def test_cascade(spark):
+    child = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "pmcid string, n int")
+    gone = spark.createDataFrame([("a",), ("z",)], "pmcid string")
+    assert [r.n for r in retract.cascade_delete(child, gone).collect()] == [3]
+
+
+def test_newest_per_key(spark):
+    staged = spark.createDataFrame([("a", 1, 1), ("a", 3, 2), ("a", 3, 4), ("b", None, 1), ("b", None, 2)],
+                                   "pmcid string, source_last_updated bigint, pos int")
+    rows = {r.pmcid: (r.source_last_updated, r.pos) for r in merge.newest_per_key(staged, ["pmcid"], ["pos"]).collect()}
+    assert rows == {"a": (3, 4), "b": (None, 2)}
