@@ -106,10 +106,10 @@ def apply_packages(
     """
     listed, list_rejects = read_file_lists(spark, [p.file_list_path for p in packages])
     listed = materialize(spark, listed, "file-lists")
-    order = spark.createDataFrame(
+    order = materialize(spark, spark.createDataFrame(
         [(p.archive_path, p.location, i) for i, p in enumerate(packages)],
         "archive_path string, location string, package_order int",
-    )
+    ), "packages")
     staged = stage_archives(spark, order, len(packages), published)
     failed = {row.archive_path for row in staged.failed.select("archive_path").collect()}
     if failed and options.stop_at_failure:
@@ -130,13 +130,22 @@ def apply_packages(
     upserted = enriched.count()
     if upserted:
         version = corpus.next_version(spark, root)
-        old = corpus.read_table(spark, root, corpus.METADATA)
-        old_keys = old.select("pmcid", "source_last_updated", "is_retracted", corpus.VERSION)
-        taken = admitted(old_keys, fold_packages(enriched)).withColumn(
-            "sync_timestamp", F.lit(run_ts)
+        folded = materialize(spark, fold_packages(enriched), "folded")
+        # From here on the target is the rows the packages touch, found by one scan
+        # of narrow columns.
+        touched = materialize(
+            spark,
+            superseded_rows(
+                corpus.read_table(spark, root, corpus.METADATA).select(
+                    "pmcid", "source_last_updated", "is_retracted", corpus.VERSION
+                ),
+                folded,
+            ),
+            "touched",
         )
+        taken = admitted(touched, folded).withColumn("sync_timestamp", F.lit(run_ts))
         if options.sticky_retractions:
-            flagged = old_keys.where("is_retracted").select("pmcid", F.lit(True).alias("was"))
+            flagged = touched.where("is_retracted").select("pmcid", F.lit(True).alias("was"))
             taken = taken.join(flagged, "pmcid", "left").withColumn(
                 "is_retracted", F.col("is_retracted") | F.coalesce("was", F.lit(False))
             ).drop("was")
@@ -144,7 +153,7 @@ def apply_packages(
         require_clean(taken.select("pmcid", "doi", "is_retracted", "sync_timestamp"),
                       corpus.METADATA)
         corpus.write_version(
-            spark, root, corpus.METADATA, version, taken, superseded_rows(old_keys, taken)
+            spark, root, corpus.METADATA, version, taken, superseded_rows(touched, taken)
         )
         texts = taken if options.guard_content else latest_package(
             enriched.select("pmcid", *ROW, "package_order")

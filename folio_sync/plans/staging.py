@@ -18,6 +18,9 @@ from folio_sync.sources.archives import archive_status, expand_archives
 ROW = ["archive_path", "member_name", "article_pos"]
 TEXTS = ("raw_jats_xml", "body_text")
 
+# Large archives get a task each; of millions of small ones a task takes several.
+ARCHIVE_TASKS_PER_CORE = 32
+
 
 @dataclass
 class Staged:
@@ -54,10 +57,14 @@ def stage_archives(
     and the content table is copied from `texts` without a shuffle.
     """
     cores = spark.sparkContext.defaultParallelism
+    tasks = min(max(n_archives, 1), ARCHIVE_TASKS_PER_CORE * cores)
     spread = 2 * cores if n_archives < cores else None
-    members = expand_archives(archives, max(n_archives, 1), spread)
+    members = expand_archives(archives, tasks, spread)
     path = scratch_path(spark, "extracted")
-    extracted = extract_articles(members)
+    # A copy of the rejected texts alone, so that reporting them reads no good ones.
+    extracted = extract_articles(members).withColumn(
+        "reject_payload", F.when(F.col("reject_reason").isNotNull(), F.col("raw_jats_xml"))
+    )
     extracted.write.parquet(path)
     written = spark.read.schema(extracted.schema).parquet(path)
 
@@ -77,7 +84,7 @@ def stage_archives(
         F.concat_ws("/", "archive_path", "member_name").alias("source"),
         F.col("pmcid").alias("key"),
         F.col("reject_reason").alias("reason"),
-        F.col("raw_jats_xml").alias("payload"),
+        F.col("reject_payload").alias("payload"),
     )
     bad_archives = failed.select(
         F.lit("archive").alias("stage"),
@@ -88,7 +95,9 @@ def stage_archives(
     )
     return Staged(
         path=path,
-        articles=usable.drop(*TEXTS, "archive_md5", "archive_error", "reject_reason"),
+        articles=usable.drop(
+            *TEXTS, "archive_md5", "archive_error", "reject_reason", "reject_payload"
+        ),
         texts=usable.select(*ROW, "pmcid", *TEXTS),
         failed=failed,
         rejects=bad_articles.unionByName(bad_archives),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -33,20 +34,23 @@ def local_session(cores: int | str = "*", memory: str = "8g", partitions: int =
     return spark
 
 
+@functools.cache
+def _local_scratch(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix="folio-sync-")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by `spark.checkpoint.dir`.
 
-    A temporary folder is made only for a local master, where driver and
-    executors are the same machine.
+    If it is not set, a temporary folder is made, but only for a local master,
+    where driver and executors are the same machine.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    made = tempfile.mkdtemp(prefix="folio-sync-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    return _local_scratch(spark.sparkContext.applicationId)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

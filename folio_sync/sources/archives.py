@@ -115,9 +115,9 @@ def expand_archives(archives: DataFrame, tasks: int, spread: int | None = None)
     """Members of the archives in (`archive_path`, `location`).
 
     Each archive also gives one status row without a member: its MD5 digest, and
-    the error if it could not be read to its end. `tasks` is the number of
-    archives, so that each gets its own task. When archives are fewer than cores,
-    `spread` moves the members on to that many partitions before they are parsed.
+    the error if it could not be read to its end. The archives are dealt out evenly
+    over `tasks`. When archives are fewer than cores, `spread` moves the members on
+    to that many partitions before they are parsed.
     """
     placed = archives.select("archive_path", "location").repartition(tasks)
     members = placed.mapInArrow(_expand, MEMBERS_SCHEMA)
