@@ -38,6 +38,7 @@ ODD_CHARACTER = (
     rf"""<(?![!?])[^<>"'{_BEYOND}]*+(?:(?:"[^"]*+"|'[^']*+')[^<>"'{_BEYOND}]*+)*+[{_BEYOND}]"""
     rf"|<\?[^\s?>{_BEYOND}]*+[{_BEYOND}]|[\x{{FFFE}}\x{{FFFF}}]"
 )
+MAYBE_ODD = rf"[{_BEYOND}\x{{FFFE}}\x{{FFFF}}]"
 
 XML_OPTIONS = {"mode": "PERMISSIVE", "ignoreSurroundingSpaces": "false", "nullValue": SEPARATOR}
 
@@ -106,7 +107,7 @@ def is_well_formed(protected: Column, parsed: Column) -> Column:
     return F.coalesce(
         parsed["_corrupt_record"].isNull()
         & (F.size(parsed["article"]) == 1)
-        & ~protected.rlike(ODD_CHARACTER),
+        & ~(protected.rlike(MAYBE_ODD) & protected.rlike(ODD_CHARACTER)),
         F.lit(False),
     )
 
@@ -165,27 +166,30 @@ def _last_id(ids: Column, kind: str) -> Column:
     return F.get(F.reverse(of_kind), F.lit(0))["_VALUE"]
 
 
-def article_ids(protected: Column, parsed: Column) -> Column:
-    """Struct of pmcid, pmid and doi: for each kind the last id of the article.
+def nested_ids(protected: Column, parsed: Column) -> Column:
+    """Ids found by searching the whole tree, in the order of `ID_KINDS`.
 
-    Ids count wherever the article nests another front (a sub-article's). The whole
-    tree is searched only if there may be one; otherwise the first parse has them.
+    Ids count wherever the article nests another front (a sub-article's). NULL if
+    there is none, in which case the first parse has the ids.
     """
-    ids = _front(parsed)["article-meta"]["article-id"]
-    own = [_last_id(ids, kind) for kind in ID_KINDS.values()]
-    searched = F.split(F.xpath_string(protected, _joined([
+    def occurs_again(tag: str) -> Column:
+        first = F.locate(tag, protected)
+        return F.call_function("locate", F.lit(tag), protected, first + 1) > 0
+
+    absent = _front(parsed)["article-meta"].isNull()
+    nested = absent | occurs_again("<front") | occurs_again("<article-meta")
+    return F.when(nested, F.split(F.xpath_string(protected, _joined([
         f"string((//front/article-meta/article-id[@pub-id-type='{kind}'])[last()]"
         "/node()[1][self::text()])"
         for kind in ID_KINDS.values()
-    ])), SEPARATOR)
-    fronts = F.regexp_count(protected, F.lit(r"<(?:front|article-meta)[\s>]"))
-    nested = (fronts > 2) | _front(parsed)["article-meta"].isNull()
-    return F.struct(*[
-        empty_to_null(restore(
-            F.when(nested, searched.getItem(position)).otherwise(own[position])
-        )).alias(name)
-        for position, name in enumerate(ID_KINDS)
-    ])
+    ])), SEPARATOR))
+
+
+def article_id(parsed: Column, nested: Column, name: str) -> Column:
+    """The last id of a kind, NULL if it is absent or empty."""
+    own = _last_id(_front(parsed)["article-meta"]["article-id"], ID_KINDS[name])
+    searched = nested.getItem(list(ID_KINDS).index(name))
+    return empty_to_null(restore(F.when(nested.isNotNull(), searched).otherwise(own)))
 
 
 def _leading_text(markup: Column) -> Column:

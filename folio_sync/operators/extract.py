@@ -14,6 +14,38 @@ ARTICLE_COLUMNS = (
 )
 
 
+def spread_out(df: DataFrame) -> DataFrame:
+    """More partitions if there are fewer than cores: parsing costs far more than
+    moving the text. Data that already has enough is not shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def _parsed(members: DataFrame) -> DataFrame:
+    """One row per article with its parse results.
+
+    They leave through an `explode` of one element: the optimizer does not push
+    later filters below it, where they would repeat the parses they refer to.
+    """
+    kept = [c for c in members.columns if c != "xml"]
+    fragments = F.when(F.col("xml").isNull(), F.array(F.lit(None).cast("string"))).otherwise(
+        jats.split_articles(F.col("xml"))
+    )
+    x, p = F.col("protected"), F.col("parsed")
+    parsed = (
+        members.select(*kept, F.posexplode(fragments).alias("article_pos", "raw_jats_xml"))
+        .withColumn("protected", jats.protect(F.col("raw_jats_xml")))
+        .withColumn("parsed", jats.gate(x))
+        .withColumn("well_formed", jats.is_well_formed(x, p))
+        .withColumn("fields", F.when(F.col("well_formed"), jats.mixed_fields(x)))
+        .withColumn("nested", F.when(F.col("well_formed"), jats.nested_ids(x, p)))
+    )
+    results = F.struct("parsed", "well_formed", "fields", "nested")
+    return parsed.select(
+        *kept, "article_pos", "raw_jats_xml", F.explode(F.array(results)).alias("result")
+    ).select(*kept, "article_pos", "raw_jats_xml", "result.*")
+
+
 def extract_articles(members: DataFrame) -> DataFrame:
     """One row per `<article>` element of the `xml` column.
 
@@ -23,33 +55,24 @@ def extract_articles(members: DataFrame) -> DataFrame:
     NULL article columns, so that status rows of an archive can travel along.
     """
     kept = [c for c in members.columns if c != "xml"]
-    fragments = F.when(F.col("xml").isNull(), F.array(F.lit(None).cast("string"))).otherwise(
-        jats.split_articles(F.col("xml"))
-    )
-    split = members.select(*kept, F.posexplode(fragments).alias("article_pos", "raw_jats_xml"))
-    protected = split.withColumn("protected", jats.protect(F.col("raw_jats_xml")))
-    parsed = protected.withColumn("parsed", jats.gate(F.col("protected")))
-    well_formed = jats.is_well_formed(F.col("protected"), F.col("parsed"))
-    p, f = F.col("parsed"), F.col("fields")
-    fielded = parsed.withColumn(
-        "fields", F.when(well_formed, jats.mixed_fields(F.col("protected")))
-    ).withColumn("ids", F.when(well_formed, jats.article_ids(F.col("protected"), p)))
-
-    pmid = F.col("ids.pmid")
-    columns = fielded.select(
-        *kept, "article_pos", "raw_jats_xml", f.isNotNull().alias("well_formed"),
-        F.col("ids.pmcid").alias("pmcid"),
-        F.when(pmid.rlike(r"^[0-9]+\z"), pmid.try_cast("bigint")).alias("pmid"),
-        F.col("ids.doi").alias("doi"),
+    p, f, nested = F.col("parsed"), F.col("fields"), F.col("nested")
+    columns = _parsed(members).select(
+        *kept, "article_pos", "raw_jats_xml", "well_formed",
+        F.when(F.col("well_formed"), jats.article_id(p, nested, "pmcid")).alias("pmcid"),
+        jats.article_id(p, nested, "pmid").alias("pmid_text"),
+        jats.article_id(p, nested, "doi").alias("doi"),
         (jats.field(f, "has_meta") == "true").alias("has_meta"),
         F.coalesce(empty_to_null(jats.whole_text(f, "title")), F.lit(jats.NO_TITLE)).alias("title"),
         jats.abstract_text(p, f).alias("abstract_text"),
         jats.date_parts(p)["year"].isNotNull().alias("has_year"),
         jats.publication_day(p).alias("publication_date"),
         jats.journal_info(p).alias("journal_info"),
-        F.when(f.isNotNull(), jats.contributors(p)).alias("contributors"),
+        F.when(F.col("well_formed"), jats.contributors(p)).alias("contributors"),
         jats.license_info(p, f).alias("license_info"),
         jats.body_text(f).alias("body_text"),
+    ).withColumn(
+        "pmid",
+        F.when(F.col("pmid_text").rlike(r"^[0-9]+\z"), F.col("pmid_text").try_cast("bigint")),
     )
     reason = (
         F.when(F.col("raw_jats_xml").isNull(), F.lit(None))

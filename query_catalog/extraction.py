@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from folio_sync.functions import jats
 from folio_sync.functions.text import empty_to_null, strip_space
-from folio_sync.operators.extract import extract_articles, good_articles
+from folio_sync.operators.extract import extract_articles, good_articles, spread_out
 from query_catalog.common import escape_xml, pmcid, table
 
 
@@ -106,7 +106,7 @@ def as_jats(documents, dates: bool = False):
 
 
 def _extracted(spark, sf_dir, dates=False):
-    return extract_articles(as_jats(table(spark, sf_dir, "documents"), dates))
+    return extract_articles(as_jats(spread_out(table(spark, sf_dir, "documents")), dates))
 
 
 def extract_fields(spark, sf_dir):
@@ -178,7 +178,7 @@ FROM documents"""
 
 def extract_rejects(spark, sf_dir):
     """Documents broken in a way that depends on their language, three articles to a member."""
-    documents = table(spark, sf_dir, "documents")
+    documents = spread_out(table(spark, sf_dir, "documents"))
     good = as_jats(documents.where("lang = 'en'"))
     text = escape_xml(F.col("text"))
     middle = F.when(
