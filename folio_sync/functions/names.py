@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 # The publisher's naming rules and area folders.
 PACKAGE_NAME = r".+\.incr\.([0-9]{4}-[0-9]{2}-[0-9]{2})\.tar\.gz$"
+PACKAGE_GLOB, PACKAGE_INFIX = "*.incr.*.tar.gz", ".incr."
 ARCHIVE_SUFFIX = ".tar.gz"
 FILE_LIST_SUFFIX = ".filelist.csv"
 BULK_FOLDER = "oa_bulk"
@@ -40,11 +41,8 @@ def area_of(path: Column) -> Column:
 
 def area_rank(path: Column) -> Column:
     """Position of the area in the publisher's order; unknown areas come last."""
-    area = area_of(path)
-    rank = F.lit(len(AREAS))
-    for position, name in reversed(list(enumerate(AREAS))):
-        rank = F.when(area == name, F.lit(position)).otherwise(rank)
-    return rank
+    position = F.array_position(F.array(*[F.lit(area) for area in AREAS]), area_of(path))
+    return (F.coalesce(F.nullif(position, F.lit(0)), F.lit(len(AREAS) + 1)) - 1).cast("int")
 
 
 def package_key(path: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from folio_sync import schemas
+from folio_sync.functions.names import PACKAGE_GLOB
 from folio_sync.operators.enrich import match_listed, split_listed
 from folio_sync.operators.merge import (
     admitted, fold_packages, latest_package, newest_per_key, superseded_rows,
@@ -20,7 +21,7 @@ from folio_sync.plans.staging import (
     ROW, materialize, now_utc, stage_archives, texts_of, unlisted_rejects, write_rejects,
 )
 from folio_sync.sources import corpus
-from folio_sync.sources.manifest import read_file_lists, read_retractions
+from folio_sync.sources.manifest import articles_per_archive, read_file_lists, read_retractions
 from folio_sync.sources.packages import find_packages, list_archives
 
 
@@ -110,7 +111,10 @@ def apply_packages(
         [(p.archive_path, p.location, i) for i, p in enumerate(packages)],
         "archive_path string, location string, package_order int",
     ), "packages")
-    staged = stage_archives(spark, order, len(packages), published)
+    archives = order.join(
+        articles_per_archive(listed, "archive_path"), "archive_path", "left"
+    ).fillna(1, ["n_articles"])
+    staged = stage_archives(spark, materialize(spark, archives, "archives"), published)
     failed = {row.archive_path for row in staged.failed.select("archive_path").collect()}
     if failed and options.stop_at_failure:
         raise PackageFailed(f"Unreadable packages: {sorted(failed)}")
@@ -211,7 +215,7 @@ def delta_load(
                 spark, root, run_id, ids, run_ts
             )
         packages = find_packages(
-            list_archives(spark, drop_base), last.end_time, marker, options.inclusive
+            list_archives(spark, drop_base, PACKAGE_GLOB), last.end_time, marker, options.inclusive
         ).collect()
         step = options.packages_per_commit or max(len(packages), 1)
         daily_ids = []

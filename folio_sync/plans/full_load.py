@@ -48,14 +48,13 @@ def full_load(
         listed = materialize(spark, listed.withColumnRenamed("file_path", "archive_path"), "manifest")
         archives = materialize(
             spark,
-            articles_per_archive(listed.withColumnRenamed("archive_path", "file_path")).select(
-                F.col("file_path").alias("archive_path"),
-                resolve(F.col("file_path"), archive_base).alias("location"),
+            articles_per_archive(listed, "archive_path").withColumn(
+                "location", resolve(F.col("archive_path"), archive_base)
             ),
             "archives",
         )
         n_archives = archives.count()
-        staged = stage_archives(spark, archives, n_archives, published)
+        staged = stage_archives(spark, archives, published)
 
         matched = materialize(spark, match_listed(staged.articles, listed), "matched")
         enriched, unlisted = split_listed(matched)

@@ -13,6 +13,7 @@ from folio_sync.operators.audit import audit_archives, failed_archives
 from folio_sync.operators.extract import extract_articles, good_articles, rejected_articles
 from folio_sync.session import scratch_path
 from folio_sync.sources.archives import archive_status, expand_archives
+from folio_sync.sources.load import staging_union
 
 # Identifies one article of the staged extraction.
 ROW = ["archive_path", "member_name", "article_pos"]
@@ -48,18 +49,38 @@ def materialize(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _members(spark: SparkSession, archives: DataFrame) -> DataFrame:
+    """Members of the archives, with the work of parsing them in even parts.
+
+    An archive can only be unpacked by one task. Where one holds more articles than
+    an even share per core, its members move on to other tasks before they are
+    parsed; all other archives are parsed where they were unpacked, without a shuffle.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    total = archives.agg(F.sum("n_articles")).first()[0] or 0
+    is_large = F.col("n_articles") * cores > total
+    counts = archives.agg(
+        F.count_if(is_large).alias("large"), F.count_if(~is_large).alias("small")
+    ).first()
+    parts = []
+    for chosen, count, spread in (
+        (is_large, counts.large, 2 * cores), (~is_large, counts.small, None),
+    ):
+        if count or not parts:
+            tasks = min(max(count, 1), ARCHIVE_TASKS_PER_CORE * cores)
+            parts.append(expand_archives(archives.where(chosen), tasks, spread))
+    return staging_union(parts)
+
+
 def stage_archives(
-    spark: SparkSession, archives: DataFrame, n_archives: int, published: DataFrame | None = None
+    spark: SparkSession, archives: DataFrame, published: DataFrame | None = None
 ) -> Staged:
-    """Unpack, parse and write the archives in (`archive_path`, `location`), once.
+    """Unpack, parse and write the archives in (`archive_path`, `location`, `n_articles`), once.
 
     Everything after it reads the written columns it needs: the joins see no text,
     and the content table is copied from `texts` without a shuffle.
     """
-    cores = spark.sparkContext.defaultParallelism
-    tasks = min(max(n_archives, 1), ARCHIVE_TASKS_PER_CORE * cores)
-    spread = 2 * cores if n_archives < cores else None
-    members = expand_archives(archives, tasks, spread)
+    members = _members(spark, archives)
     path = scratch_path(spark, "extracted")
     # A copy of the rejected texts alone, so that reporting them reads no good ones.
     extracted = extract_articles(members).withColumn(

@@ -173,9 +173,9 @@ def read_retractions(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     ).distinct()
 
 
-def articles_per_archive(manifest: DataFrame) -> DataFrame:
+def articles_per_archive(listed: DataFrame, archive: str = "file_path") -> DataFrame:
     """Number of listed articles per archive."""
-    return manifest.groupBy("file_path").agg(F.count("*").alias("n_articles"))
+    return listed.groupBy(archive).agg(F.count("*").alias("n_articles"))
 
 
 def last_line_per_article(listed: DataFrame, keys: list[str]) -> DataFrame:

@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folio_sync.functions.names import (
-    area_folders, area_rank, file_list_of, package_day, package_key,
+    PACKAGE_INFIX, area_folders, area_rank, file_list_of, package_day, package_key,
 )
 
 
-def list_archives(spark: SparkSession, base: str) -> DataFrame:
+def list_archives(spark: SparkSession, base: str, glob: str = "*.tar.gz") -> DataFrame:
     """Paths, sizes and times of the files in the area folders; no content is read.
 
     An area folder that cannot be listed is skipped.
@@ -22,7 +22,7 @@ def list_archives(spark: SparkSession, base: str) -> DataFrame:
     for folder in area_folders(base):
         try:
             listings.append(
-                spark.read.format("binaryFile").option("pathGlobFilter", "*.tar.gz").load(folder)
+                spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
                 .select("path", "modificationTime", "length")
             )
         except AnalysisException as error:
@@ -50,7 +50,7 @@ def find_packages(
     with `inclusive`). With `marker`, packages up to and including that one are
     dropped; a marker that is not in the listing drops nothing.
     """
-    packages = listing.select(
+    packages = listing.where(F.contains(F.col("path"), F.lit(PACKAGE_INFIX))).select(
         package_key(F.col("path")).alias("archive_path"),
         F.col("path").alias("location"),
         package_day(F.col("path")).alias("day"),
@@ -72,5 +72,9 @@ def find_packages(
         reached = packages.agg(
             F.max(F.when(F.col("archive_path") == marker, F.col("package_order")))
         ).scalar()
-        packages = packages.where(reached.isNull() | (F.col("package_order") > reached))
+        before_all = F.struct(
+            F.to_date(F.lit("0001-01-01")).alias("day"), F.lit(-1).alias("area_rank"),
+            F.lit("").alias("archive_path"),
+        )
+        packages = packages.where(F.col("package_order") > F.coalesce(reached, before_all))
     return packages.orderBy("package_order")

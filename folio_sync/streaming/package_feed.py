@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from folio_sync.functions.names import BULK_FOLDER
+from folio_sync.functions.names import BULK_FOLDER, PACKAGE_GLOB
 from folio_sync.plans.delta_load import Options, apply_packages, commit_retractions
 from folio_sync.plans.staging import now_utc
 from folio_sync.sources import corpus
@@ -70,7 +70,7 @@ def package_feed(
     arrivals = (
         spark.readStream.format("binaryFile")
         .schema(BINARY_FILE)
-        .option("pathGlobFilter", "*.tar.gz")
+        .option("pathGlobFilter", PACKAGE_GLOB)
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", packages_per_batch)
         .load(f"{drop_base.rstrip('/')}/{BULK_FOLDER}")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from folio_sync.functions.names import area_rank
 from folio_sync.operators import audit, enrich
+from folio_sync.plans.staging import materialize
 from folio_sync.session import scratch_path
 from folio_sync.sources import export, load, manifest, packages
 from query_catalog.common import clock, pmcid, table, time_text
@@ -100,12 +101,13 @@ def _listing(spark, sf_dir):
         area, F.lit("_xml.incr."), F.date_format("ts", "yyyy-MM-dd"), F.lit(".tar.gz")
     )
     other = F.concat(F.lit("oa_comm_xml.PMC00"), F.col("user_id"), F.lit("xxxxxx.baseline.tar.gz"))
-    return table(spark, sf_dir, "events").select(
+    paths = table(spark, sf_dir, "events").select(
         F.concat(
             F.lit("s3://drop/oa_bulk/"), F.coalesce(area, F.lit("oa_comm")), F.lit("/xml/"),
             F.coalesce(name, other),
         ).alias("path")
-    ).distinct()
+    )
+    return materialize(spark, paths.distinct(), "listing")
 
 
 def _shown(found):
