@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Names, order and types of the corpus columns (fixed values).
 JOURNAL = T.StructType([
     T.StructField("name", T.StringType()),
     T.StructField("issn", T.StringType()),
