@@ -21,6 +21,11 @@ def area_folders(base: str) -> list[str]:
     return [f"{base.rstrip('/')}/{BULK_FOLDER}/{area}/{CONTENT_FOLDER}" for area in AREAS]
 
 
+def plain_path(uri: Column) -> Column:
+    """A path without the percent codes of a file's metadata column."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+
+
 def base_name(path: Column) -> Column:
     return F.substring_index(path, "/", -1)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio_sync.functions.names import package_key
+from folio_sync.functions.names import package_key, plain_path
 
 # Fixed pattern of a digest file's text.
 SIDECAR_DIGEST = r"=\s*([a-f0-9]{32})"
@@ -16,7 +16,7 @@ FAILED = ("mismatch", "unparsable")
 def read_sidecars(spark: SparkSession, folders: list[str]) -> DataFrame:
     """(archive_path, sidecar_text) of the digest files in some folders."""
     files = spark.read.option("pathGlobFilter", "*" + SIDECAR_SUFFIX).text(folders, wholetext=True)
-    name = F.regexp_replace(package_key(F.col("_metadata.file_path")), r"\.md5$", "")
+    name = F.regexp_replace(package_key(plain_path(F.col("_metadata.file_path"))), r"\.md5$", "")
     return files.select(name.alias("archive_path"), F.col("value").alias("sidecar_text"))
 
 

@@ -14,13 +14,6 @@ ARTICLE_COLUMNS = (
 )
 
 
-def spread_out(df: DataFrame) -> DataFrame:
-    """More partitions if there are fewer than cores: parsing costs far more than
-    moving the text. Data that already has enough is not shuffled."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def _parsed(members: DataFrame) -> DataFrame:
     """One row per article with its parse results.
 

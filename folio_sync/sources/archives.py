@@ -45,15 +45,17 @@ class _HashingReader:
 
 
 def open_stream(location: str):
-    """A sequential reader for a local or remote path."""
+    """A sequential reader for a local or remote path, which may hold any characters."""
     import pyarrow.fs as pafs
 
-    location = re.sub(r"^s3[an]:", "s3:", location)
-    if "://" not in location:
-        location = re.sub("^file:", "", location)
+    location = re.sub("^file:/+", "/", location)
+    remote = re.match("([a-z0-9]+)://([^/]*)/(.*)", location)
+    if not remote:
         return pafs.LocalFileSystem().open_input_stream(location, compression=None)
-    filesystem, path = pafs.FileSystem.from_uri(location)
-    return filesystem.open_input_stream(path, compression=None)
+    scheme, host, path = remote.groups()
+    scheme = "s3" if scheme in ("s3a", "s3n") else scheme
+    filesystem, base = pafs.FileSystem.from_uri(f"{scheme}://{host}/")
+    return filesystem.open_input_stream(f"{base.rstrip('/')}/{path}", compression=None)
 
 
 def decode_xml(data: bytes) -> str:

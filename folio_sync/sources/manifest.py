@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folio_sync.functions.clocks import parse_timestamp
-from folio_sync.functions.names import ARCHIVE_SUFFIX, FILE_LIST_SUFFIX, package_key
+from folio_sync.functions.names import (
+    ARCHIVE_SUFFIX, FILE_LIST_SUFFIX, package_key, plain_path,
+)
 from folio_sync.functions.text import empty_to_null
 
 # Fixed values of the publisher's files.
@@ -32,7 +34,7 @@ def _files_by_header(spark: SparkSession, paths: list[str]) -> dict[tuple[str, .
     if not paths:
         return {}
     lines = spark.read.text(paths).where("_metadata.file_block_start = 0").select(
-        F.col("_metadata.file_path").alias("file"), "value",
+        plain_path(F.col("_metadata.file_path")).alias("file"), "value",
         F.monotonically_increasing_id().alias("line"),
     )
     headers = lines.where(F.length("value") > 0).groupBy("file").agg(
@@ -63,7 +65,7 @@ def _raw_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
                 .alias(name)
                 for name in wanted
             ],
-            F.col("_metadata.file_path").alias("list_path"),
+            plain_path(F.col("_metadata.file_path")).alias("list_path"),
             F.struct(
                 F.col("_metadata.file_path").alias("file"),
                 F.col("_metadata.file_block_start").alias("block"),

@@ -17,6 +17,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_out(df: DataFrame) -> DataFrame:
+    """More partitions for a file scan with fewer than cores: parsing costs far more
+    than moving the text. A scan that already has enough is not shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def pmcid(number: Column | str, prefix: str = "PMC") -> Column:
     number = F.col(number) if isinstance(number, str) else number
     return F.concat(F.lit(prefix), number.cast("string"))

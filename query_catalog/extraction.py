@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from folio_sync.functions import jats
 from folio_sync.functions.text import empty_to_null, strip_space
-from folio_sync.operators.extract import extract_articles, good_articles, spread_out
-from query_catalog.common import escape_xml, pmcid, table
+from folio_sync.operators.extract import extract_articles, good_articles
+from query_catalog.common import escape_xml, pmcid, spread_out, table
 
 
 def _lines(*parts: str | Column) -> Column:

@@ -5,9 +5,11 @@ import shutil
 
 import pytest
 from corpus_files import article, write_archive, write_list, write_package
+from pyspark.sql import functions as F
 
 from folio_sync.operators.quality import QualityError, SchemaError
 from folio_sync.plans.delta_load import NoFullLoad, Options, PackageFailed, delta_load
+from folio_sync.plans import staging
 from folio_sync.plans.full_load import full_load
 from folio_sync.sources import corpus
 from folio_sync.streaming.package_feed import package_feed
@@ -95,6 +97,37 @@ def test_full_load_failure_keeps_the_old_tables(site, spark):
     assert set(titles(spark, root)) == {"PMC9"} and set(bodies(spark, root)) == {"PMC9"}
 
 
+def test_a_large_archive_is_parsed_by_several_tasks(tmp_path, spark):
+    """Only the archive that holds more than a core's share goes through a shuffle."""
+    write_archive(tmp_path / "big.tar.gz", {f"{i}.xml": article(f"PMC{i}") for i in range(40)})
+    for i in range(20):
+        write_archive(tmp_path / f"small{i}.tar.gz", {"x.xml": article(f"PMCS{i}")})
+    archives = spark.createDataFrame(
+        [("big", f"{tmp_path}/big.tar.gz", 40)] + [(f"s{i}", f"{tmp_path}/small{i}.tar.gz", 1) for i in range(20)],
+        "archive_path string, location string, n_articles int",
+    )
+    staged = staging.stage_archives(spark, archives)
+    assert staged.articles.count() == 60
+    written = spark.read.parquet(staged.path).where("pmcid IS NOT NULL")
+    spread = written.groupBy("archive_path").agg(
+        F.countDistinct("_metadata.file_path").alias("n")
+    )
+    files = {r.archive_path: r.n for r in spread.collect()}
+    assert files["big"] > 4 and all(n == 1 for name, n in files.items() if name != "big")
+
+
+def test_paths_with_odd_characters(tmp_path, spark):
+    site = tmp_path / "a b+c%20d"
+    write_archive(site / "x y+z.tar.gz", {"1.xml": article("PMC1", "One")})
+    manifest = write_list(site / "list 1.csv", [("x y+z.tar.gz", "PMC1", "", T1, "")])
+    root = str(tmp_path / "corpus")
+    corpus.initialize(spark, root)
+    full_load(spark, root, manifest, str(site), run_ts=FULL_TS)
+    write_package(site / "drop", "2024-01-10", {"1.xml": article("PMC1", "Two")}, [("PMC1", T2, "")])
+    delta_load(spark, root, str(site / "drop"), run_ts=DELTA_TS)
+    assert titles(spark, root) == {"PMC1": "Two"}
+
+
 def test_full_load_leaves_out_bad_archives_and_unlisted_articles(tmp_path, spark):
     base = tmp_path / "base"
     good = write_archive(base / "good.tar.gz", {
