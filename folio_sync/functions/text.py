@@ -26,3 +26,12 @@ def delimited_text(c: Column) -> Column:
     for raw, shown in (("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n")):
         escaped = F.replace(escaped, F.lit(raw), F.lit(shown))
     return F.coalesce(escaped, F.lit("\\N"))
+
+
+def undelimited_text(c: Column) -> Column:
+    """Undo `delimited_text`. What lies between doubled backslashes is decoded alone."""
+    def decode(part: Column) -> Column:
+        return F.replace(F.replace(part, F.lit("\\t"), F.lit("\t")), F.lit("\\n"), F.lit("\n"))
+
+    parts = F.transform(F.split(c, r"\\\\", -1), decode)
+    return F.when(c != "\\N", F.array_join(parts, "\\"))

@@ -65,6 +65,30 @@ def table_violations(df: DataFrame, table: str) -> DataFrame:
     return violation_counts(df, required, limits)
 
 
+def check_quality(metadata: DataFrame, content: DataFrame) -> DataFrame:
+    """(table, rule, n_rows) for every rule of the tables that rows break: required
+    columns and lengths, unique keys, and metadata for every text."""
+    def broken(table: str, rule: str, violations: DataFrame, count=None) -> DataFrame:
+        return violations.agg((F.count("*") if count is None else F.sum(count)).alias("n_rows")).select(
+            F.lit(table).alias("table"), F.lit(rule).alias("rule"), F.coalesce("n_rows", F.lit(0)).alias("n_rows")
+        )
+
+    found = [
+        broken("articles_content", "orphan", orphans(content.select("pmcid"), metadata.select("pmcid"), "pmcid"))
+    ]
+    for table, df in (("articles_metadata", metadata), ("articles_content", content)):
+        counts = table_violations(df, table).drop("n_rows")
+        found.append(counts.unpivot([], counts.columns, "rule", "n_rows").select(
+            F.lit(table).alias("table"), "rule", "n_rows"
+        ))
+        repeated = duplicate_keys(df, ["pmcid"])
+        found.append(broken(table, "duplicate_key", repeated, F.col("n_rows") - 1))
+    out = found[0]
+    for part in found[1:]:
+        out = out.unionByName(part)
+    return out.where(F.col("n_rows") > 0)
+
+
 def require_clean(df: DataFrame, table: str) -> None:
     """Raise if any row breaks a rule of the table."""
     counts = table_violations(df, table).first().asDict()

@@ -8,15 +8,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from folio_sync import schemas
 from folio_sync.functions.names import PACKAGE_GLOB
 from folio_sync.operators.enrich import match_listed, split_listed
-from folio_sync.operators.merge import (
-    admitted, fold_packages, latest_package, newest_per_key, superseded_rows,
-)
-from folio_sync.operators.quality import require_clean, require_unique
-from folio_sync.operators.retract import retraction_hits
+from folio_sync.operators.merge import fold_packages, latest_package, newest_per_key
+from folio_sync.operators.quality import require_unique
 from folio_sync.operators.runs import watermark
+from folio_sync.plans.publish import (
+    commit_retractions, publish, replaced_texts, take_updates,
+)
 from folio_sync.plans.staging import (
     ROW, materialize, now_utc, stage_archives, texts_of, unlisted_rejects, write_rejects,
 )
@@ -54,35 +53,6 @@ class Options:
     stop_at_failure: bool = False
 
 
-def commit_retractions(
-    spark: SparkSession, root: str, run_id: int, ids: DataFrame, run_ts: dt.datetime
-) -> int:
-    """Flag the listed articles as one commit and return how many changed.
-
-    The ids are matched against the flag column alone; only the hits' rows are
-    then read in full.
-    """
-    current = corpus.read_table(spark, root, corpus.METADATA)
-    hits = materialize(
-        spark,
-        retraction_hits(current.select("pmcid", "is_retracted", corpus.VERSION), ids)
-        .select("pmcid", corpus.VERSION),
-        "hits",
-    )
-    changed = hits.count()
-    if changed:
-        version = corpus.next_version(spark, root)
-        rows = current.join(hits, ["pmcid", corpus.VERSION], "left_semi").withColumns({
-            "is_retracted": F.lit(True), "sync_timestamp": F.lit(run_ts),
-        })
-        corpus.write_version(spark, root, corpus.METADATA, version, rows, hits)
-        corpus.write_version(
-            spark, root, corpus.CONTENT, version, schemas.empty(spark, schemas.CONTENT)
-        )
-        corpus.commit(spark, root, run_id, version)
-    return changed
-
-
 @dataclass
 class Outcome:
     upserted: int
@@ -133,43 +103,15 @@ def apply_packages(
 
     upserted = enriched.count()
     if upserted:
-        version = corpus.next_version(spark, root)
-        folded = materialize(spark, fold_packages(enriched), "folded")
-        # From here on the target is the rows the packages touch, found by one scan
-        # of narrow columns.
-        touched = materialize(
-            spark,
-            superseded_rows(
-                corpus.read_table(spark, root, corpus.METADATA).select(
-                    "pmcid", "source_last_updated", "is_retracted", corpus.VERSION
-                ),
-                folded,
-            ),
-            "touched",
-        )
-        taken = admitted(touched, folded).withColumn("sync_timestamp", F.lit(run_ts))
-        if options.sticky_retractions:
-            flagged = touched.where("is_retracted").select("pmcid", F.lit(True).alias("was"))
-            taken = taken.join(flagged, "pmcid", "left").withColumn(
-                "is_retracted", F.col("is_retracted") | F.coalesce("was", F.lit(False))
-            ).drop("was")
-        taken = materialize(spark, taken, "taken")
-        require_clean(taken.select("pmcid", "doi", "is_retracted", "sync_timestamp"),
-                      corpus.METADATA)
-        corpus.write_version(
-            spark, root, corpus.METADATA, version, taken, superseded_rows(touched, taken)
-        )
-        texts = taken if options.guard_content else latest_package(
-            enriched.select("pmcid", *ROW, "package_order")
-        )
-        old_texts = corpus.read_table(spark, root, corpus.CONTENT).select(
-            "pmcid", corpus.VERSION
+        stamped = fold_packages(enriched).withColumn("sync_timestamp", F.lit(run_ts))
+        taken, old = take_updates(spark, root, stamped, options.sticky_retractions)
+        texts = taken if options.guard_content else materialize(
+            spark, latest_package(enriched.select("pmcid", *ROW, "package_order")), "latest"
         )
-        corpus.write_version(
-            spark, root, corpus.CONTENT, version,
-            texts_of(staged, spark, texts), superseded_rows(old_texts, texts),
+        publish(
+            spark, root, run_id, "append", taken, texts_of(staged, spark, texts), old,
+            replaced_texts(spark, root, texts), last_file=done[-1],
         )
-        corpus.commit(spark, root, run_id, version, last_file=done[-1])
     elif done:
         corpus.update_run_state(spark, root, run_id, done[-1])
     rejects = write_rejects(

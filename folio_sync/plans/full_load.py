@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from folio_sync.functions.names import resolve
 from folio_sync.operators.enrich import match_listed, split_listed
 from folio_sync.operators.merge import newest_per_key
-from folio_sync.operators.quality import require_clean, require_unique
+from folio_sync.operators.quality import require_unique
 from folio_sync.operators.retract import apply_retractions
+from folio_sync.plans.publish import publish
 from folio_sync.plans.staging import (
     ROW, materialize, now_utc, stage_archives, texts_of, unlisted_rejects, write_rejects,
 )
@@ -43,7 +44,6 @@ def full_load(
     run_id = corpus.start_run(spark, root, "FULL", run_ts)
     metrics: dict[str, int] = {"archives_processed": 0, "total_records_loaded": 0}
     try:
-        version = corpus.next_version(spark, root)
         listed, list_rejects = read_manifest(spark, manifest_paths)
         listed = materialize(spark, listed.withColumnRenamed("file_path", "archive_path"), "manifest")
         archives = materialize(
@@ -66,13 +66,6 @@ def full_load(
         metadata = chosen.withColumn("sync_timestamp", F.lit(run_ts))
         if retractions is not None:
             metadata = apply_retractions(metadata, retractions, run_ts).drop("changed")
-        require_clean(metadata.select("pmcid", "doi", "is_retracted", "sync_timestamp"),
-                      corpus.METADATA)
-
-        corpus.write_version(spark, root, corpus.METADATA, version, metadata)
-        corpus.write_version(
-            spark, root, corpus.CONTENT, version, texts_of(staged, spark, chosen)
-        )
         n_failed = staged.failed.count()
         metrics = {
             "archives_processed": n_archives - n_failed,
@@ -82,7 +75,7 @@ def full_load(
                 spark, root, run_id, [list_rejects, staged.rejects, unlisted_rejects(unlisted)]
             ),
         }
-        corpus.commit(spark, root, run_id, version, kind="replace")
+        publish(spark, root, run_id, "replace", metadata, texts_of(staged, spark, chosen))
     except Exception:
         corpus.end_run(spark, root, run_id, "FAILED", fixed_ts or now_utc(), metrics)
         raise

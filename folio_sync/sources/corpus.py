@@ -218,9 +218,10 @@ def write_version(
 
     `superseded` has the columns `pmcid` and `v`.
     """
+    rows = schemas.conform(rows, schemas.TABLES[table])
     if table == METADATA:
         rows = rows.sortWithinPartitions("publication_date")
-    writer = schemas.conform(rows, schemas.TABLES[table]).write.mode("overwrite")
+    writer = rows.write.mode("overwrite")
     for column in BLOOM[table]:
         writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
     writer.parquet(_path(root, table, version))

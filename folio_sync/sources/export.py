@@ -1,12 +1,12 @@
-"""Delimited text export."""
+"""Delimited text, out and in."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folio_sync.functions.text import delimited_text
+from folio_sync.functions.text import delimited_text, undelimited_text
 
 JSON_OPTIONS = {"ignoreNullFields": "false"}
 
@@ -40,3 +40,19 @@ def delimited_lines(df: DataFrame, columns: list[str] | None = None) -> DataFram
 
 def write_delimited(df: DataFrame, path: str, columns: list[str] | None = None) -> None:
     delimited_lines(df, columns).write.mode("errorifexists").text(path)
+
+
+def _value(text: Column, kind: T.DataType) -> Column:
+    value = undelimited_text(text)
+    if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
+        return F.from_json(value, kind)
+    return value if isinstance(kind, T.StringType) else value.try_cast(kind)
+
+
+def read_delimited(spark: SparkSession, paths: str | list[str], schema: T.StructType) -> DataFrame:
+    """Rows of files written by `write_delimited`, with the columns in the schema's order."""
+    fields = F.split("value", "\t", -1)
+    return spark.read.text(paths).select(*[
+        _value(F.get(fields, F.lit(i)), field.dataType).alias(field.name)
+        for i, field in enumerate(schema)
+    ])

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
+from folio_sync.sources.manifest import path_exists
 from folio_sync.operators.quality import QualityError, require_unique
 
 
@@ -14,6 +16,12 @@ def staging_union(batches: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, batches)
 
 
+def read_batches(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
+    """All rows of many staged Parquet batches in one scan; absent ones are skipped."""
+    present = [path for path in paths if path_exists(spark, path)]
+    return spark.read.schema(schema).parquet(*present) if present else spark.createDataFrame([], schema)
+
+
 def append_rows(
     rows: DataFrame, target: DataFrame, path: str, key: str | None = None
 ) -> None:

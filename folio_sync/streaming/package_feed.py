@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from folio_sync.functions.names import BULK_FOLDER, PACKAGE_GLOB
-from folio_sync.plans.delta_load import Options, apply_packages, commit_retractions
+from folio_sync.plans.delta_load import Options, apply_packages
+from folio_sync.plans.publish import commit_retractions
 from folio_sync.plans.staging import now_utc
 from folio_sync.sources import corpus
 from folio_sync.sources.packages import find_packages

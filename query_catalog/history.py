@@ -161,6 +161,42 @@ SELECT count(*) AS n_rows,
        count(*) FILTER (WHERE source <> 'src1' AND length(text) > 255) AS title_too_long
 FROM documents"""
 
+def check_quality(spark, sf_dir):
+    """Documents and web pages under overlapping ids, checked against conversations."""
+    documents, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    now = F.lit("2024-01-01").cast("timestamp")
+    metadata = documents.select(
+        F.when(F.col("source") != "src5", pmcid("doc_id")).alias("pmcid"), F.col("text").alias("doi"),
+        (F.col("lang") == "de").alias("is_retracted"), F.when(F.col("lang") != "fr", now).alias("sync_timestamp"),
+    ).unionByName(pages.select(
+        pmcid("page_id").alias("pmcid"), F.col("url").alias("doi"), F.lit(None).cast("boolean").alias("is_retracted"),
+        now.alias("sync_timestamp"),
+    ))
+    content = table(spark, sf_dir, "conversations").select(
+        F.concat(pmcid("conv_id"), F.when(F.col("role") == "system", F.lit("-with-a-long-tail")).otherwise("")).alias("pmcid")
+    )
+    return quality.check_quality(metadata, content)
+
+
+CHECK_QUALITY = """
+WITH m AS (
+    SELECT CASE WHEN source <> 'src5' THEN 'PMC' || doc_id END AS pmcid, text AS doi, lang = 'de' AS flag, lang <> 'fr' AS synced
+    FROM documents
+    UNION ALL SELECT 'PMC' || page_id, url, NULL, true FROM pages),
+c AS (SELECT 'PMC' || conv_id || CASE WHEN role = 'system' THEN '-with-a-long-tail' ELSE '' END AS pmcid FROM conversations),
+v AS (
+    SELECT 'articles_metadata' AS "table", 'pmcid_missing' AS rule, count(*) AS n_rows FROM m WHERE pmcid IS NULL
+    UNION ALL SELECT 'articles_metadata', 'is_retracted_missing', count(*) FROM m WHERE flag IS NULL
+    UNION ALL SELECT 'articles_metadata', 'sync_timestamp_missing', count(*) FROM m WHERE NOT synced
+    UNION ALL SELECT 'articles_metadata', 'pmcid_too_long', count(*) FROM m WHERE length(pmcid) > 20
+    UNION ALL SELECT 'articles_metadata', 'doi_too_long', count(*) FROM m WHERE length(doi) > 255
+    UNION ALL SELECT 'articles_metadata', 'duplicate_key', CAST(sum(n - 1) AS BIGINT) FROM (SELECT count(*) AS n FROM m GROUP BY pmcid HAVING count(*) > 1)
+    UNION ALL SELECT 'articles_content', 'pmcid_missing', count(*) FROM c WHERE pmcid IS NULL
+    UNION ALL SELECT 'articles_content', 'pmcid_too_long', count(*) FROM c WHERE length(pmcid) > 20
+    UNION ALL SELECT 'articles_content', 'duplicate_key', CAST(sum(n - 1) AS BIGINT) FROM (SELECT count(*) AS n FROM c GROUP BY pmcid HAVING count(*) > 1)
+    UNION ALL SELECT 'articles_content', 'orphan', count(*) FROM c WHERE pmcid NOT IN (SELECT pmcid FROM m WHERE pmcid IS NOT NULL))
+SELECT * FROM v WHERE n_rows > 0"""
+
 # --- lookups and counts ------------------------------------------------------
 
 
@@ -236,6 +272,7 @@ CATALOG = {
     "orphan_content": (orphan_content, ORPHAN_CONTENT),
     "orphan_labels": (orphan_labels, ORPHAN_LABELS),
     "required_and_length": (required_and_length, REQUIRED_AND_LENGTH),
+    "check_quality": (check_quality, CHECK_QUALITY),
     "lookup_range": (lookup_range, LOOKUP_RANGE),
     "lookup_doi": (lookup_doi, LOOKUP_DOI),
     "lookup_pmid": (lookup_pmid, LOOKUP_PMID),

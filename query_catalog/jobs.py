@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from folio_sync.plans.delta_load import delta_load
 from folio_sync.plans.full_load import full_load
+from folio_sync.plans.publish import (
+    append_articles, commit_retractions, replace_articles, upsert_articles,
+)
 from folio_sync.session import scratch_path
 from folio_sync.sources import corpus
 from folio_sync.streaming.package_feed import package_feed
@@ -198,7 +201,59 @@ PACKAGE_FEED_STATE = DELTA_LOAD_STATE.replace(
 )
 
 
+def corpus_changes_state(spark, sf_dir):
+    """Documents replace the corpus, come again under the doubled id as an upsert, web
+    pages are appended, and toxic ids retracted: four commits."""
+    root = scratch_path(spark, "corpus")
+    corpus.initialize(spark, root)
+    run = corpus.start_run(spark, root, "FULL", FULL_TS)
+    documents = table(spark, sf_dir, "documents")
+
+    def pair(rows, number, prefix, title, clock_, text):
+        rows = rows.select(
+            pmcid(number, prefix).alias("pmcid"), title.alias("title"), clock_.alias("source_last_updated"),
+            F.lit(False).alias("is_retracted"), F.lit(FULL_TS).alias("sync_timestamp"), F.lit(None).cast("string").alias("doi"),
+            text.alias("body_text"),
+        )
+        return rows.drop("body_text"), rows.select("pmcid", "body_text")
+
+    time = clock(F.col("n_chars"))
+    none = F.lit(None).cast("timestamp")
+    replace_articles(spark, root, run, *pair(
+        documents, F.col("doc_id"), "PMC", F.col("lang"), F.when(F.col("lang") != "de", time), F.col("text")
+    ))
+    upsert_articles(spark, root, run, *pair(
+        documents, F.col("doc_id") * 2, "PMC", F.col("source"), F.when(F.col("lang") != "es", time),
+        F.concat("lang", F.lit(": "), "text"),
+    ), last_file="update")
+    append_articles(spark, root, run, *pair(
+        table(spark, sf_dir, "pages"), F.col("page_id"), "PAGE", F.lit("page"), none, F.col("html")
+    ))
+    toxic = table(spark, sf_dir, "labels").where("toxic = 1").select(pmcid("doc_id").alias("pmcid"))
+    commit_retractions(spark, root, run, toxic, DELTA_TS)
+    return _state(spark, root)
+
+
+CORPUS_CHANGES_STATE = """
+WITH t AS (SELECT 'PMC' || doc_id AS pmcid, lang AS title, CASE WHEN lang <> 'de' THEN n_chars END AS updated, text FROM documents),
+s AS (SELECT 'PMC' || (doc_id * 2) AS pmcid, source AS title, CASE WHEN lang <> 'es' THEN n_chars END AS updated,
+             lang || ': ' || text AS text FROM documents),
+j AS (
+    SELECT coalesce(t.pmcid, s.pmcid) AS pmcid, t.title AS t_title, s.title AS s_title, t.updated AS t_upd, s.updated AS s_upd,
+           md5(coalesce(s.text, t.text)) AS body_md5,
+           t.pmcid IS NULL OR (s.pmcid IS NOT NULL AND
+               (t.updated IS NULL OR coalesce(t.updated < s.updated, false))) AS take
+    FROM t FULL OUTER JOIN s ON t.pmcid = s.pmcid)
+SELECT pmcid, CASE WHEN take THEN s_title ELSE t_title END AS title,
+       pmcid IN (SELECT 'PMC' || doc_id FROM labels WHERE toxic = 1) AS is_retracted,
+       CASE WHEN take THEN s_upd ELSE t_upd END AS updated, body_md5
+FROM j
+UNION ALL
+SELECT 'PAGE' || page_id, 'page', false, NULL, md5(html) FROM pages"""
+
+
 CATALOG = {
+    "corpus_changes_state": (corpus_changes_state, CORPUS_CHANGES_STATE),
     "full_load_state": (full_load_state, FULL_LOAD_STATE),
     "full_load_metrics": (full_load_metrics, FULL_LOAD_METRICS),
     "delta_load_state": (delta_load_state, DELTA_LOAD_STATE),

@@ -334,6 +334,24 @@ SELECT 'PMC' || doc_id || chr(9) || n_chars || chr(9) ||
 FROM documents"""
 
 
+def delimited_round_trip(spark, sf_dir):
+    """Documents written as delimited text and read back."""
+    rows = table(spark, sf_dir, "documents").select(
+        pmcid("doc_id").alias("pmcid"), "n_chars", F.when(F.col("lang") != "es", F.col("text")).alias("body_text"),
+        F.struct("source", F.concat("lang", F.lit('\\t"')).alias("note")).alias("journal_info"),
+        (F.col("lang") == "de").alias("is_retracted"),
+    )
+    path = scratch_path(spark, "delimited")
+    export.write_delimited(rows, path)
+    back = export.read_delimited(spark, path, rows.schema)
+    return back.select("pmcid", "n_chars", F.md5("body_text").alias("body_md5"), "journal_info.*", "is_retracted")
+
+
+DELIMITED_ROUND_TRIP = r"""
+SELECT 'PMC' || doc_id AS pmcid, n_chars, md5(CASE WHEN lang <> 'es' THEN text END) AS body_md5, source,
+       lang || '\t"' AS note, lang = 'de' AS is_retracted FROM documents"""
+
+
 CATALOG = {
     "manifest_read": (manifest_read, MANIFEST_READ),
     "manifest_rejects": (manifest_rejects, MANIFEST_REJECTS),
@@ -350,4 +368,5 @@ CATALOG = {
     "staging_union": (staging_union, STAGING_UNION),
     "append_rows": (append_rows, APPEND_ROWS),
     "export_rows": (export_rows, EXPORT_ROWS),
+    "delimited_round_trip": (delimited_round_trip, DELIMITED_ROUND_TRIP),
 }

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from folio_sync import schemas
 from folio_sync.operators import quality, report, runs
+from folio_sync.plans import publish
 from folio_sync.sources import corpus, export, load
 
 TS = dt.datetime(2024, 1, 1, 10)
@@ -92,6 +93,60 @@ def test_export_format(spark):
     assert [r.value for r in export.delimited_lines(df, ["pmid", "pmcid"]).collect()] == ["7\tP1", "\\N\tP2"]
 
 
+def test_delimited_text_comes_back(tmp_path, spark):
+    odd = ["\\N", "\\", "\\t", "a\\\tb\n\\\\n", "\\\\N", "", "tab\tend\t", None]
+    df = spark.createDataFrame(
+        [metadata_row(f"P{i}", abstract_text=t, license_info=(t, None), pmid=None if i else 1, is_retracted=bool(i % 2),
+                      contributors=[(t or "x", None, "1")]) for i, t in enumerate(odd)], schemas.METADATA)
+    export.write_delimited(df, str(tmp_path / "d"))
+    back = export.read_delimited(spark, str(tmp_path / "d"), schemas.METADATA)
+    assert sorted(back.collect(), key=lambda r: r.pmcid) == sorted(df.collect(), key=lambda r: r.pmcid)
+
+
+def test_batches_of_a_staged_load(tmp_path, spark):
+    rows = spark.createDataFrame([("a", 1)], "k string, n int")
+    rows.write.parquet(str(tmp_path / "1"))
+    rows.where("false").write.parquet(str(tmp_path / "2"))
+    rows.write.parquet(str(tmp_path / "3"))
+    paths = [str(tmp_path / n) for n in ("1", "2", "3", "absent")]
+    assert load.read_batches(spark, paths, rows.schema).count() == 2
+    assert load.read_batches(spark, paths[3:], rows.schema).isEmpty()
+
+
+def test_articles_from_any_source(tmp_path, spark):
+    root = str(tmp_path)
+    corpus.initialize(spark, root)
+    run = corpus.start_run(spark, root, "TEST", TS)
+
+    def pair(*items):
+        return (
+            spark.createDataFrame([metadata_row(k, title=t, source_last_updated=c) for k, t, c in items], schemas.METADATA),
+            spark.createDataFrame([(k, "<x/>", t) for k, t, _ in items], schemas.CONTENT),
+        )
+
+    def state():
+        texts = {r.pmcid: r.body_text for r in corpus.read_content(spark, root).collect()}
+        return {r.pmcid: (r.title, texts.get(r.pmcid)) for r in corpus.read_metadata(spark, root).collect()}
+
+    late = TS + dt.timedelta(days=1)
+    publish.append_articles(spark, root, run, *pair(("a", "1", TS), ("b", "1", None)))
+    publish.append_articles(spark, root, run, *pair(("c", "1", late)))
+    with pytest.raises(quality.QualityError, match="already present"):
+        publish.append_articles(spark, root, run, *pair(("a", "2", late)))
+    with pytest.raises(quality.QualityError, match="Duplicate"):
+        publish.upsert_articles(spark, root, run, *pair(("d", "2", late), ("d", "3", late)))
+    with pytest.raises(quality.QualityError, match="without metadata"):
+        publish.upsert_articles(spark, root, run, pair(("d", "2", late))[0], pair(("e", "2", late))[1])
+    publish.upsert_articles(spark, root, run, *pair(("a", "2", late), ("b", "2", None), ("c", "2", TS), ("d", "2", None)), last_file="f1")
+    assert state() == {"a": ("2", "2"), "b": ("2", "2"), "c": ("1", "2"), "d": ("2", "2")}
+    assert corpus.read_history(spark, root).first().last_file_processed == "f1"
+    publish.upsert_articles(spark, root, run, *pair(("c", "3", TS), ("d", "3", TS)), guard_content=True)
+    assert state() == {"a": ("2", "2"), "b": ("2", "2"), "c": ("1", "2"), "d": ("3", "3")}
+    assert quality.check_quality(corpus.read_metadata(spark, root), corpus.read_content(spark, root)).isEmpty()
+    publish.replace_articles(spark, root, run, *pair(("z", "1", None)))
+    assert state() == {"z": ("1", "1")}
+
+
 def test_append_and_union(tmp_path, spark):
     path = str(tmp_path / "t")
     rows = spark.createDataFrame([("a", 1), ("b", 2)], "k string, n int")
