@@ -140,7 +140,9 @@ def delta_load(
     options = options or Options()
     fixed_ts, run_ts = run_ts, run_ts or now_utc()
     corpus.validate(spark, root)
-    last = watermark(corpus.read_history(spark, root)).first()
+    last = watermark(corpus.read_history(spark, root)).withColumn(
+        "end_day", F.to_date("end_time")
+    ).first()
     if last is None:
         raise NoFullLoad("No successful full load found; run full_load first.")
     marker = last.last_file_processed if last.run_type == "DELTA" else None
@@ -157,7 +159,7 @@ def delta_load(
                 spark, root, run_id, ids, run_ts
             )
         packages = find_packages(
-            list_archives(spark, drop_base, PACKAGE_GLOB), last.end_time, marker, options.inclusive
+            list_archives(spark, drop_base, PACKAGE_GLOB), last.end_day, marker, options.inclusive
         ).collect()
         step = options.packages_per_commit or max(len(packages), 1)
         daily_ids = []

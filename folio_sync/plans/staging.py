@@ -35,7 +35,7 @@ class Staged:
 
 
 def now_utc() -> dt.datetime:
-    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    return dt.datetime.now(dt.timezone.utc)
 
 
 def materialize(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
