@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,10 +15,23 @@ SIDECAR_SUFFIX = ".md5"
 FAILED = ("mismatch", "unparsable")
 
 
-def read_sidecars(spark: SparkSession, folders: list[str]) -> DataFrame:
-    """(archive_path, sidecar_text) of the digest files in some folders."""
-    files = spark.read.option("pathGlobFilter", "*" + SIDECAR_SUFFIX).text(folders, wholetext=True)
-    name = F.regexp_replace(package_key(plain_path(F.col("_metadata.file_path"))), r"\.md5$", "")
+def read_sidecars(spark: SparkSession, folders: list[str], base: str | None = None) -> DataFrame:
+    """(archive_path, sidecar_text) of the digest files in and below some folders.
+
+    Archives are named as packages are or, with `base`, by their path below it, as
+    in a manifest.
+    """
+    files = (
+        spark.read.option("pathGlobFilter", "*" + SIDECAR_SUFFIX)
+        .option("recursiveFileLookup", True)
+        .text(folders, wholetext=True)
+    )
+    path = F.regexp_replace(plain_path(F.col("_metadata.file_path")), r"\.md5$", "")
+    if base is None:
+        name = package_key(path)
+    else:
+        plain_base = re.sub("^file:/+", "/", base).rstrip("/") + "/"
+        name = F.substring_index(path, plain_base, -1)
     return files.select(name.alias("archive_path"), F.col("value").alias("sidecar_text"))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from folio_sync.functions.names import PACKAGE_GLOB
+from folio_sync.operators.audit import read_sidecars
 from folio_sync.operators.enrich import match_listed, split_listed
 from folio_sync.operators.merge import fold_packages, latest_package, newest_per_key
 from folio_sync.operators.quality import require_unique
@@ -43,6 +44,7 @@ class Options:
     sticky_retractions: an update does not clear a retraction flag.
     inclusive: also read packages dated on the day of the last run.
     stop_at_failure: fail the run at an unreadable package instead of passing over it.
+    verify_sidecars: check packages against the digest files next to them.
     """
 
     packages_per_commit: int | None = None
@@ -51,6 +53,7 @@ class Options:
     sticky_retractions: bool = False
     inclusive: bool = False
     stop_at_failure: bool = False
+    verify_sidecars: bool = False
 
 
 @dataclass
@@ -84,6 +87,8 @@ def apply_packages(
     archives = order.join(
         articles_per_archive(listed, "archive_path"), "archive_path", "left"
     ).fillna(1, ["n_articles"])
+    if published is None and options.verify_sidecars:
+        published = read_sidecars(spark, sorted({p.location.rsplit("/", 1)[0] for p in packages}))
     staged = stage_archives(spark, materialize(spark, archives, "archives"), published)
     failed = {row.archive_path for row in staged.failed.select("archive_path").collect()}
     if failed and options.stop_at_failure:

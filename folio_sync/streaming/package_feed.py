@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,8 +41,7 @@ def package_feed(
     under checkpoint and batch number and not applied again; one that was cut off
     is applied anew, which the guard makes harmless.
     """
-    options = options or Options()
-    options.guard_content = True
+    options = replace(options or Options(), guard_content=True)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession

@@ -264,6 +264,18 @@ def test_delta_passes_over_a_broken_package_unless_told_otherwise(site, spark):
     assert runs(spark, root)[-1] == ("DELTA", "SUCCESS", last)
 
 
+def test_delta_checks_digest_files(site, spark):
+    tmp_path, root = site
+    drop = tmp_path / "drop"
+    wrong = write_package(drop, "2024-01-10", {"1.xml": article("PMC1", "One v2")}, [("PMC1", T2, "")])
+    (drop / f"{wrong}.md5").write_text("MD5 = " + "0" * 32)
+    write_package(drop, "2024-01-11", {"4.xml": article("PMC4", "Four")}, [("PMC4", T2, "")])
+    delta_load(spark, root, str(drop), options=Options(verify_sidecars=True), run_ts=DELTA_TS)
+    assert titles(spark, root) == {"PMC1": "One v1", "PMC2": "Two", "PMC3": "Three", "PMC4": "Four"}
+    reasons = spark.read.parquet(f"{root}/rejects").where("stage = 'archive'").collect()
+    assert [(r.source, r.reason) for r in reasons] == [(wrong, "mismatch")]
+
+
 def test_delta_without_news_and_without_file_list(site, spark):
     tmp_path, root = site
     drop = tmp_path / "drop"

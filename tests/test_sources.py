@@ -154,6 +154,10 @@ def test_digests(tmp_path, spark):
         ("ok.tar.gz", "verified"), ("wrong.tar.gz", "mismatch"), ("odd.tar.gz", "unparsable"), ("free.tar.gz", "unverified"),
     }
     assert rows(audit.failed_archives(audited), "archive_path", "reason") == {("wrong.tar.gz", "mismatch"), ("odd.tar.gz", "unparsable")}
+    (tmp_path / "deep").mkdir()
+    (tmp_path / "deep/x.tar.gz.md5").write_text("MD5 = y")
+    named = audit.read_sidecars(spark, [str(tmp_path)], base=f"file://{tmp_path}/")
+    assert ("deep/x.tar.gz", "MD5 = y") in rows(named, "archive_path", "sidecar_text")
     tags = spark.createDataFrame([("ok.tar.gz", f'"{digest}"'), ("wrong.tar.gz", '"aa"'), ("odd.tar.gz", '"aa-3"'), ("free.tar.gz", None)],
                                  "archive_path string, etag string")
     assert rows(audit.audit_archives(found, tags), "archive_path", "status") == {
