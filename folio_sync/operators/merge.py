@@ -1,8 +1,9 @@
 """Merging staged articles into the corpus tables.
 
-The operators never join wide text: the other side of each join is reduced to the
-key and, for metadata, the clock. Catalyst broadcasts that side when its size is
-below the session's threshold and sorts both sides otherwise.
+In every join the other side is reduced to the key and, for metadata, the clock.
+Catalyst broadcasts it when its size is below the session's threshold, so that the
+rows with text stay where they are, and sorts both sides otherwise. The staged rows
+are read more than once: write them first if they are expensive to compute.
 """
 
 from __future__ import annotations

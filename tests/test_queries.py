@@ -1,6 +1,8 @@
 """Every registered query against its SQL at the smallest scale."""
 
 import os
+import subprocess
+import sys
 
 import pytest
 
@@ -25,3 +27,20 @@ def test_query_matches_its_sql(spark, con, name):
 def test_entry_is_a_query(spark):
     assert set(entry.oracle_sql()) == set(entry.queries())
     assert entry.entry(spark).columns == ["pmcid", "title", "updated", "is_retracted"]
+
+
+def test_tasks_find_the_code_from_any_folder(tmp_path):
+    """A plain session started elsewhere, with nothing installed for the workers."""
+    script = f"""
+import importlib.util, sys
+spec = importlib.util.spec_from_file_location("entry", {entry.__file__!r})
+entry = importlib.util.module_from_spec(spec); spec.loader.exec_module(entry)
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+print("loaded", entry.queries()["full_load_metrics"](spark, {SF_DIR!r}).first().loaded)
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300
+    )
+    assert "loaded 200" in done.stdout, done.stderr[-2000:]
