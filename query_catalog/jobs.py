@@ -9,6 +9,7 @@ import tarfile
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from folio_sync.functions.names import resolve
 from folio_sync.plans.delta_load import delta_load
 from folio_sync.plans.full_load import full_load
 from folio_sync.plans.publish import (
@@ -16,6 +17,8 @@ from folio_sync.plans.publish import (
 )
 from folio_sync.session import scratch_path
 from folio_sync.sources import corpus
+from folio_sync.sources.archives import expand_archives
+from folio_sync.sources.manifest import articles_per_archive
 from folio_sync.streaming.package_feed import package_feed
 from query_catalog.common import clock, escape_xml, pmcid, seconds, table, time_text
 
@@ -109,6 +112,33 @@ def _loaded_corpus(spark, sf_dir):
     return root
 
 
+def archive_members(spark, sf_dir):
+    """Every document packed into an archive and unpacked again."""
+    base = scratch_path(spark, "site")
+    documents = table(spark, sf_dir, "documents").repartition(8, "doc_id").select(
+        pmcid("doc_id").alias("pmcid"), _jats(pmcid("doc_id"), F.col("source"), F.col("text")).alias("xml")
+    )
+    written = write_archives(documents, base, lambda task, batch: f"{task}/{batch}.tar.gz")
+    archives = articles_per_archive(written).select(
+        F.col("file_path").alias("archive_path"), resolve(F.col("file_path"), base).alias("location")
+    )
+    members = expand_archives(archives, tasks=8).where("member_name IS NOT NULL")
+    return members.select(
+        "member_name", F.md5("xml").alias("xml_md5"), F.length("xml").cast("bigint").alias("n_chars")
+    )
+
+
+ARCHIVE_MEMBERS = """
+WITH x AS (
+    SELECT 'PMC' || doc_id AS id, '<article><front><article-meta><article-id pub-id-type="pmc">PMC' || doc_id ||
+           '</article-id><title-group><article-title>' || source ||
+           '</article-title></title-group></article-meta></front><body><p>' ||
+           replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || '</p></body></article>' AS xml
+    FROM documents),
+n AS (SELECT id, replace(replace(xml, chr(13) || chr(10), chr(10)), chr(13), chr(10)) AS xml FROM x)
+SELECT id || '.xml' AS member_name, md5(xml) AS xml_md5, CAST(length(xml) AS BIGINT) AS n_chars FROM n"""
+
+
 def _state(spark, root):
     metadata, content = corpus.read_metadata(spark, root), corpus.read_content(spark, root)
     return metadata.select(
@@ -253,6 +283,7 @@ SELECT 'PAGE' || page_id, 'page', false, NULL, md5(html) FROM pages"""
 
 
 CATALOG = {
+    "archive_members": (archive_members, ARCHIVE_MEMBERS),
     "corpus_changes_state": (corpus_changes_state, CORPUS_CHANGES_STATE),
     "full_load_state": (full_load_state, FULL_LOAD_STATE),
     "full_load_metrics": (full_load_metrics, FULL_LOAD_METRICS),
