@@ -11,16 +11,22 @@ from __future__ import annotations
 import gzip
 import hashlib
 import re
+import sys
 import tarfile
 import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folio_sync.functions.names import MEMBER_SUFFIX
 
+# Tasks get this module's code with the function they run, so that the package need
+# not be installed where the Python workers are.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MEMBERS_SCHEMA = (
     "archive_path string, member_name string, xml string, archive_md5 string, archive_error string"
 )

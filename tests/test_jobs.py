@@ -112,6 +112,11 @@ def test_a_large_archive_is_parsed_by_several_tasks(tmp_path, spark):
     spread = written.groupBy("archive_path").agg(
         F.countDistinct("_metadata.file_path").alias("n")
     )
+    # joins see no text, and the text is copied without a shuffle
+    assert "raw_jats_xml" not in staged.articles._jdf.queryExecution().executedPlan().toString()
+    texts = staging.texts_of(staged, spark, staging.materialize(spark, staged.articles, "chosen"))
+    assert texts.count() == 60
+    assert "hashpartitioning" not in texts._jdf.queryExecution().executedPlan().toString()
     files = {r.archive_path: r.n for r in spread.collect()}
     assert files["big"] > 4 and all(n == 1 for name, n in files.items() if name != "big")
 
