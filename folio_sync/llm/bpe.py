@@ -242,20 +242,27 @@ def decode_documents(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFr
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
-def bpe_round_trip(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
-    """One row per row of `docs(doc_id, text, ...)`: doc_id, n_tokens, ids_sha256, decoded_sha256.
+def bpe_round_trip(
+    docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = public_tokenizers.PATTERN, with_ids: bool = False
+) -> DataFrame:
+    """One row per row of `docs(doc_id, text, ...)`: doc_id, n_tokens, ids_sha256, decoded_sha256,
+    and on demand ids, an array.
 
     Encodes the whole text and decodes the ids again. A null text counts as empty and has no
     tokens; an empty table gives no rows; equal rows give equal rows; other columns are not
     read. The vocabulary is read once on the driver; its size is fixed."""
     small_batches(docs.sparkSession)
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()),
-                        ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
+    fields = [("doc_id", pa.int64()), ("n_tokens", pa.int64()),
+              ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
+    ddl = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    if with_ids:
+        fields, ddl = [*fields, ("ids", pa.list_(pa.int32()))], f"{ddl}, ids array<int>"
 
     def digests(kept, ids, encoder):
-        decoded = encoder.decode(_numbers(ids))
-        return (*kept, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest())
+        numbers = _numbers(ids)
+        decoded = encoder.decode(numbers)
+        row = (*kept, len(numbers), hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest())
+        return (*row, numbers.tolist()) if with_ids else row
 
     return docs.select(F.col("doc_id").cast("long"), whole_text().alias("text")).mapInArrow(
-        _coder(read_ranks(vocabulary), pattern, digests, schema),
-        "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        _coder(read_ranks(vocabulary), pattern, digests, pa.schema(fields)), ddl)

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio_sync.llm import ann, bpe, exact_dedup, language_id, license_scan, mixing, pii
+from folio_sync.llm import (
+    ann, bpe, exact_dedup, language_id, license_scan, line_dedup, lm_score, mixing, ngram_join, pii,
+)
 from folio_sync.llm.common import table
 
 
@@ -37,6 +39,14 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_round_trip(table(spark, sf_dir, "documents"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+
+
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
@@ -45,12 +55,19 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
+
+
 CATALOG = {
     "op1_exact_dedup": (op1_exact_dedup, OP1_SQL),
     "op2_license_scan": (op2_license_scan, None),
     "op3_pii": (op3_pii, None),
     "op4_language_id": (op4_language_id, None),
     "op5_byte_bpe": (op5_byte_bpe, None),
+    "op6_line_dedup": (op6_line_dedup, None),
+    "op7_lm_score": (op7_lm_score, None),
     "op8_nearest": (op8_nearest, None),
     "op9_mix_sources": (op9_mix_sources, None),
+    "op10_ngram_join": (op10_ngram_join, None),
 }

@@ -145,8 +145,8 @@ def _same_source(left: DataFrame, right: DataFrame, how: str = "inner") -> DataF
 def mix_sources(
     docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = CAP, words: str = WORDS
 ) -> DataFrame:
-    """One row per row of `docs(doc_id, text, source, ...)`: doc_id, size, source_size, target,
-    taken, copies, rate.
+    """One row per row of `docs(doc_id, text, source, ...)`: doc_id, source, size, source_size,
+    target, taken, copies, rate.
 
     Size counts `words` in the whole text, a null text has none; null is a source of its own
     and the last. A document is taken 0 to `cap` times as a whole. Sources without words have
@@ -200,7 +200,7 @@ def mix_sources(
     )
     return (
         _filled(rounded, cap)
-        .select("doc_id", "size", "source_size", "target",
+        .select("doc_id", "source", "size", "source_size", "target",
                 (F.col("copies") * F.col("size")).alias("taken"), "copies", "rate")
     )
 
@@ -227,3 +227,17 @@ def _filled(rounded: DataFrame, cap: float) -> DataFrame:
         return rounded
     return rounded.join(taken.withColumn("filled", F.lit(1)), "row", "left").withColumn(
         "copies", (F.col("copies") + F.coalesce("filled", F.lit(0))).cast("int"))
+
+
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """`docs` with every row as often as the mix takes it; rows taken zero times are gone.
+
+    Rows that share doc_id and source are taken equally often, as the one of them taken least."""
+    copies = written(
+        mix_sources(docs, **options).groupBy("doc_id", "source").agg(F.min("copies").alias("copies")), "copies")
+    taken = copies.where("copies > 0").select(
+        F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("copies").alias("__copies"))
+    repeated = docs.join(
+        taken, docs["doc_id"].cast("long").eqNullSafe(F.col("__id"))
+        & docs["source"].cast("string").eqNullSafe(F.col("__source")))
+    return repeated.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
