@@ -39,14 +39,16 @@ def written(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """The same rows from a table in the shared scratch folder; cuts lineage."""
     path = path or scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.scratch_path = path
+    return table
 
 
-def dropped(spark: SparkSession, *paths: str) -> None:
-    """Remove scratch tables that nothing reads any more."""
-    for path in paths:
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+def discarded(*tables: DataFrame) -> None:
+    """Remove written tables that no result still to be computed reads."""
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.scratch_path)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def in_batches(rows: Iterator[tuple], schema: pa.Schema, size: int = 2000) -> Iterator[pa.RecordBatch]:

@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folio_sync.llm.common import dropped, written
-from folio_sync.session import scratch_path
+from folio_sync.llm.common import discarded, written
 
 
 def _state(edges: DataFrame):
@@ -20,31 +19,28 @@ def _state(edges: DataFrame):
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, component: the smallest node that each node of `edges(a, b)` is connected with.
+    """node, component, as a written table: the smallest node that each node of `edges(a, b)` is connected with.
 
     Nodes are longs; direction, repeated edges and loops do not matter; nodes without an edge to
     another do not appear."""
-    spark = edges.sparkSession
-    path = scratch_path(spark, "edges")
     edges = written(
-        edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
-        "edges", path)
+        edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     before = _state(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("low"))
-        hung = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
-        middle = scratch_path(spark, "edges")
-        hung = written(hung, "edges", middle)
+        hung = written(
+            both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct(), "edges")
         low = hung.groupBy("a").agg(F.min("b").alias("low"))
         down = hung.join(low, "a").where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        last, path = path, scratch_path(spark, "edges")
-        edges = written(
-            down.unionByName(low.withColumnRenamed("low", "b")).distinct(), "edges", path)
-        dropped(spark, last, middle)
+        last, edges = edges, written(down.unionByName(low.withColumnRenamed("low", "b")).distinct(), "edges")
+        discarded(last, hung)
         after = _state(edges)
         if after == before:
             break
         before = after
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
-        edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+    found = written(
+        edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
+            edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()), "components")
+    discarded(edges)
+    return found

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio_sync.llm.common import SPACES, dropped, in_batches, small_batches, whole_text, written
+from folio_sync.llm.common import SPACES, in_batches, small_batches, whole_text, written
 from folio_sync.session import scratch_path
 
 BUCKET_ROWS = 4096

@@ -81,17 +81,16 @@ class Automaton:
         for state in by_size:
             if self.link[state] > 0:
                 ends[self.link[state]] += ends[state]
-        # where in the notices a state's words end, and the phrases that end with it
+        # where in the notices a state's words end, and the whole texts that end with it
         self.places = [[(t, e) for t, e in found if not phrases[t]] for found in ends]
-        self.phrases: list[list[tuple[str, int]]] = [[] for _ in self.next]
-        for number, (label, words) in enumerate(texts):
-            if phrases[number]:
-                state = 0
-                for word in words:
-                    state = self.next[state][word]
-                self.phrases[state].append((label, len(words)))
+        self.whole: list[list[tuple[int, int]]] = [[] for _ in self.next]
+        for number, (_, words) in enumerate(texts):
+            state = 0
+            for word in words:
+                state = self.next[state][word]
+            self.whole[state].append((number, len(words)))
         for state in reversed(by_size):
-            self.phrases[state] = self.phrases[state] + self.phrases[max(0, self.link[state])]
+            self.whole[state] = self.whole[state] + self.whole[max(0, self.link[state])]
 
     def _extend(self, last: int, word: int) -> int:
         if word in self.next[last]:
@@ -131,7 +130,8 @@ class Scanner:
         split = [[w for words in words_of(text) for w in words] for _, text, _ in texts]
         self.ids = {w: i for i, w in enumerate(sorted({w for words in split for w in words}), 1)}
         coded = [(label, [self.ids[w] for w in words]) for (label, _, _), words in zip(texts, split)]
-        self.automaton = Automaton(coded, [p for _, _, p in texts])
+        self.is_phrase = [p for _, _, p in texts]
+        self.automaton = Automaton(coded, self.is_phrase)
         self.min_match, self.max_gap, self.min_cover = min_match, max_gap, min_cover
 
     def scan(self, text: str):
@@ -144,32 +144,35 @@ class Scanner:
             for i, word in enumerate(map(find, words), seen):
                 if word is None:
                     if length >= self.min_match:
-                        matches.append((i, length, state))
+                        matches.append((i, length, auto.places[state]))
                     state = length = 0
                     continue
                 if word not in following[state]:
                     if length >= self.min_match:
-                        matches.append((i, length, state))
+                        matches.append((i, length, auto.places[state]))
                     while state and word not in following[state]:
                         state = link[state]
                         length = size[state]
                 if word in following[state]:
                     state = following[state][word]
                     length += 1
-                    for label, n in auto.phrases[state]:
+                    for text_number, n in auto.whole[state]:
                         if n <= length:
-                            base.append((i - n + 1, label))
+                            if self.is_phrase[text_number]:
+                                base.append((i - n + 1, auto.texts[text_number][0]))
+                            else:  # a notice that may lie inside a longer one's match
+                                matches.append((i + 1, n, [(text_number, n)]))
             seen += len(words)
         if length >= self.min_match:
-            matches.append((seen, length, state))
+            matches.append((seen, length, auto.places[state]))
         return seen, base, self._spans(matches)
 
-    def _spans(self, matches: list[tuple[int, int, int]]) -> list[tuple[str, int, int, float]]:
+    def _spans(self, matches: list[tuple[int, int, list]]) -> list[tuple[str, int, int, float]]:
         """Chains of matches; each match goes on with the best chain of its notice that it can follow."""
         open_chains: dict[int, list[tuple[int, int, int, int]]] = {}  # notice -> (start, end, place, covered)
         done: dict[int, list[tuple[int, int, int]]] = {}
-        for end, length, state in matches:
-            for notice, place in self.automaton.places[state]:
+        for end, length, places in matches:
+            for notice, place in places:
                 chains = [c for c in open_chains.get(notice, ()) if end - length - c[1] <= self.max_gap]
                 # what overlaps the chain's last match, in either text, counts once
                 best = max(

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from folio_sync.llm.common import WORDS, whole_text, written
+from folio_sync.llm.common import WORDS, discarded, whole_text, written
 
 CAP = 3.0
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -100,7 +100,7 @@ def tilts(counted: DataFrame, targets: DataFrame, cap: float = CAP, steps: int =
         # without one side of the bracket a Newton step may go twice as far as the last one, plus one
         bounded = F.greatest(F.least(newton, 2 * F.abs(F.col("lam")) + 1), -2 * F.abs(F.col("lam")) - 1)
         moved = F.when(F.col("done"), F.col("lam")).otherwise(F.when(inside, bounded).otherwise(middle))
-        solved = written(
+        last, solved = solved, written(
             solved.join(moments, F.col("source").eqNullSafe(F.col("s")), "left")
             .select("source", "target", "scale", "done", "lam", "words", "slope", gap.alias("gap"),
                     low.alias("low"), high.alias("high"))
@@ -111,8 +111,10 @@ def tilts(counted: DataFrame, targets: DataFrame, cap: float = CAP, steps: int =
                      | F.coalesce(F.col("high") - F.col("low") < 1e-13, F.lit(False))).alias("done")),
             "tilts",
         )
+        discarded(last)
         if solved.where("not done").isEmpty():
             break
+    discarded(sized)
     return solved.select("source", "lam", "scale")
 
 
@@ -198,6 +200,7 @@ def mix_sources(
         .select("row", "doc_id", "source", "size", "source_size", "target", "copies", "rate"),
         "rounded",
     )
+    discarded(sizes, targets, rated, coarse, fine)
     return (
         _filled(rounded, cap)
         .select("doc_id", "source", "size", "source_size", "target",
