@@ -16,6 +16,7 @@ import re
 from array import array
 from collections.abc import Callable, Iterator
 
+import ahocorasick
 import public_tokenizers
 import pyarrow as pa
 import regex
@@ -60,6 +61,11 @@ class PrefixEncoder:
         for token, rank in ranks.items():
             self.tokens[rank] = token
         self.longest = max(map(len, ranks))
+        # finds all tokens that end at each byte; it takes strings, so bytes stand as code points
+        self.endings = ahocorasick.Automaton()
+        for token, rank in ranks.items():
+            self.endings.add_word(token.decode("latin-1"), (len(token), rank))
+        self.endings.make_automaton()
         self.parts: dict[int, tuple[int, int] | None] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
 
@@ -122,9 +128,24 @@ class PrefixEncoder:
 
     def table(self, body: bytes, start: list[int] | None = None) -> list[int]:
         """The last token of every prefix; `start` is the table of a prefix of `body`."""
-        last = list(start or ())
-        for end in range(len(last) + 1, len(body) + 1):
-            last.append(self._last(body, end, last))
+        if start:
+            last = list(start)
+            for end in range(len(last) + 1, len(body) + 1):
+                last.append(self._last(body, end, last))
+            return last
+        last = [-1] * len(body)
+        whole, pairs = self.parts, self.pairs
+        for end, (size, token) in self.endings.iter(body.decode("latin-1")):
+            if last[end] >= 0 or size > 1 and not (whole.get(token) or self._whole(token)):
+                continue
+            if size > end:
+                last[end] = token
+            else:
+                known = pairs.get((last[end - size], token))
+                if known or known is None and self._stands(last[end - size], token):
+                    last[end] = token
+        if -1 in last:
+            raise ValueError(f"the vocabulary has no token for byte {body[last.index(-1)]}")
         return last
 
     def _last(self, body: bytes, end: int, last: list[int]) -> int:
