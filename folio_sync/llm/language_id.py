@@ -183,10 +183,12 @@ def best_path(scores: np.ndarray, penalty: float = PENALTY) -> np.ndarray:
     n, k = scores.shape
     best = int(np.argmax(scores.sum(0)))
     if k > 1:
-        # No stretch in another language is worth half a switch: then the best single language is it.
+        # A stretch inside costs two switches and one at an end costs one, less where such stretches
+        # touch. If none gains a switch inside, nor half a switch at an end, one language is best.
         ahead = np.cumsum(scores - scores[:, best : best + 1], axis=0)
         low = np.minimum(np.minimum.accumulate(np.vstack((np.zeros(k), ahead[:-1])), axis=0), 0)
-        if (ahead - low).max() > penalty / 2:
+        ends = max(ahead.max(), (ahead[-1] - low[-1]).max())
+        if (ahead - low).max() > penalty or ends > penalty / 2:
             return _viterbi(scores, penalty)
     return np.full(n, best)
 
