@@ -20,8 +20,15 @@ from folio_sync.functions.text import collapse_space, empty_to_null, strip_space
 NO_TITLE = "No Title Found"
 NO_JOURNAL = "N/A"
 
-# An empty element comes first, or it would take the next article's end for its own.
-ARTICLE = r"(?s)<article(?:\s[^<>]*)?/>|<article[\s>].*?</article>"
+# A comment outside an article, an empty element, or an article up to its end tag. What
+# comments and CDATA sections hold is no markup. Without an end tag an article ends where
+# the next one starts, so that only the unclosed one is lost. All repetitions that hold
+# groups are possessive: they need no stack.
+ARTICLE = (
+    r"(?s)<!--.*?-->|<article(?:\s[^<>]*)?/>"
+    r"|<article[\s>](?:[^<]++|<!--.*?-->|<!\[CDATA\[.*?\]\]>|<(?!article[\s>]|/article>|!--|!\[CDATA\[))*+"
+    r"(?:</article\s*>)?"
+)
 
 # Written for an encoded `<` before parsing, so that after parsing every `<` left
 # in a string is markup. ESCAPE is written as ESCAPE + "0", so nothing is lost.
@@ -65,7 +72,8 @@ GATE_SCHEMA = (
 
 def split_articles(xml: Column) -> Column:
     """Every `<article>` element of a document, whatever its root element."""
-    return F.regexp_extract_all(xml, F.lit(ARTICLE), F.lit(0))
+    found = F.regexp_extract_all(xml, F.lit(ARTICLE), F.lit(0))
+    return F.filter(found, lambda f: F.startswith(f, F.lit("<article")))
 
 
 def _escape_cdata(xml: Column) -> Column:
@@ -197,9 +205,13 @@ def _leading_text(markup: Column) -> Column:
     return empty_to_null(restore(F.substring_index(markup, "<", 1)))
 
 
+# A tag; an attribute's value may hold the character that ends one.
+_TAG = r"""<(?:[^>"']|"[^"]*+"|'[^']*+')*+>"""
+
+
 def _element_text(markup: Column) -> Column:
     """Whole text of an element given its inner markup."""
-    return collapse_space(restore(F.regexp_replace(markup, "<[^>]*>", "")))
+    return collapse_space(restore(F.regexp_replace(markup, _TAG, "")))
 
 
 def contributors(parsed: Column) -> Column:

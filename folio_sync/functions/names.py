@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 # The publisher's naming rules and area folders.
 PACKAGE_NAME = r".+\.incr\.([0-9]{4}-[0-9]{2}-[0-9]{2})\.tar\.gz$"
-PACKAGE_GLOB, PACKAGE_INFIX = "*.incr.*.tar.gz", ".incr."
+PACKAGE_INFIX = ".incr."
+PACKAGE_FILES, PACKAGE_LISTS = "*.incr.*{.tar.gz,.filelist.csv}", "*.incr.*.filelist.csv"
 ARCHIVE_SUFFIX = ".tar.gz"
 FILE_LIST_SUFFIX = ".filelist.csv"
 BULK_FOLDER = "oa_bulk"
@@ -39,6 +40,13 @@ def file_list_of(archive_path: Column) -> Column:
     return F.replace(archive_path, F.lit(ARCHIVE_SUFFIX), F.lit(FILE_LIST_SUFFIX))
 
 
+def archive_of(path: Column) -> Column:
+    """The archive that a file list, or an archive itself, belongs to."""
+    return F.when(F.endswith(path, F.lit(FILE_LIST_SUFFIX)), F.concat(
+        F.substring(path, F.lit(1), F.length(path) - len(FILE_LIST_SUFFIX)), F.lit(ARCHIVE_SUFFIX)
+    )).otherwise(path)
+
+
 def area_of(path: Column) -> Column:
     """The area folder in a path, NULL when there is none."""
     return F.nullif(F.regexp_extract(path, f"(?:^|/)({'|'.join(AREAS)})/", 1), F.lit(""))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from folio_sync.functions.names import package_key, plain_path
 SIDECAR_DIGEST = r"=\s*([a-f0-9]{32})"
 SIDECAR_SUFFIX = ".md5"
 FAILED = ("mismatch", "unparsable")
+UNREADABLE = "unreadable"
 
 
 def read_sidecars(spark: SparkSession, folders: list[str], base: str | None = None) -> DataFrame:
@@ -21,11 +23,16 @@ def read_sidecars(spark: SparkSession, folders: list[str], base: str | None = No
     Archives are named as packages are or, with `base`, by their path below it, as
     in a manifest.
     """
-    files = (
-        spark.read.option("pathGlobFilter", "*" + SIDECAR_SUFFIX)
-        .option("recursiveFileLookup", True)
-        .text(folders, wholetext=True)
-    )
+    try:
+        files = (
+            spark.read.option("pathGlobFilter", "*" + SIDECAR_SUFFIX)
+            .option("recursiveFileLookup", True)
+            .text(folders, wholetext=True)
+        )
+    except AnalysisException as error:
+        if not (error.getCondition() or "").startswith("PATH_NOT_FOUND"):
+            raise
+        return spark.createDataFrame([], "archive_path string, sidecar_text string")
     path = F.regexp_replace(plain_path(F.col("_metadata.file_path")), r"\.md5$", "")
     if base is None:
         name = package_key(path)
@@ -60,7 +67,7 @@ def audit_archives(archives: DataFrame, published: DataFrame) -> DataFrame:
 
 def failed_archives(audited: DataFrame) -> DataFrame:
     """Archives that could not be read or do not match their digest, with the reason."""
-    reason = F.when(F.col("archive_error").isNotNull(), F.lit("unreadable")).when(
+    reason = F.when(F.col("archive_error").isNotNull(), F.lit(UNREADABLE)).when(
         F.col("status").isin(*FAILED), F.col("status")
     )
     return audited.withColumn("reason", reason).where(F.col("reason").isNotNull())

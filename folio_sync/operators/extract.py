@@ -14,16 +14,18 @@ ARTICLE_COLUMNS = (
 )
 
 
-def _parsed(members: DataFrame) -> DataFrame:
+def _parsed(members: DataFrame, report_empty: bool) -> DataFrame:
     """One row per article with its parse results.
 
     They leave through an `explode` of one element: the optimizer does not push
     later filters below it, where they would repeat the parses they refer to.
     """
     kept = [c for c in members.columns if c != "xml"]
-    fragments = F.when(F.col("xml").isNull(), F.array(F.lit(None).cast("string"))).otherwise(
-        jats.split_articles(F.col("xml"))
-    )
+    nothing = F.array(F.lit(None).cast("string"))
+    found = jats.split_articles(F.col("xml"))
+    if report_empty:
+        found = F.when(F.size(found) > 0, found).otherwise(nothing)
+    fragments = F.when(F.col("xml").isNull(), nothing).otherwise(found)
     x, p = F.col("protected"), F.col("parsed")
     parsed = (
         members.select(*kept, F.posexplode(fragments).alias("article_pos", "raw_jats_xml"))
@@ -39,17 +41,18 @@ def _parsed(members: DataFrame) -> DataFrame:
     ).select(*kept, "article_pos", "raw_jats_xml", "result.*")
 
 
-def extract_articles(members: DataFrame) -> DataFrame:
+def extract_articles(members: DataFrame, report_empty: bool = False) -> DataFrame:
     """One row per `<article>` element of the `xml` column.
 
     All other columns are kept. `article_pos` numbers the articles of a member and
     `reject_reason` says why an article is unusable (NULL for a good one). A member
-    without any article gives no row; a row whose `xml` is NULL passes through with
-    NULL article columns, so that status rows of an archive can travel along.
+    without any article gives no row, or one with NULL article columns if
+    `report_empty`; a row whose `xml` is NULL passes through like that, so that status
+    rows of an archive can travel along.
     """
     kept = [c for c in members.columns if c != "xml"]
     p, f, nested = F.col("parsed"), F.col("fields"), F.col("nested")
-    columns = _parsed(members).select(
+    columns = _parsed(members, report_empty).select(
         *kept, "article_pos", "raw_jats_xml", "well_formed",
         F.when(F.col("well_formed"), jats.article_id(p, nested, "pmcid")).alias("pmcid"),
         jats.article_id(p, nested, "pmid").alias("pmid_text"),

@@ -8,8 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from folio_sync.functions.names import PACKAGE_GLOB
-from folio_sync.operators.audit import read_sidecars
+from folio_sync.operators.audit import UNREADABLE, read_sidecars
 from folio_sync.operators.enrich import match_listed, split_listed
 from folio_sync.operators.merge import fold_packages, latest_package, newest_per_key
 from folio_sync.operators.quality import require_unique
@@ -21,7 +20,7 @@ from folio_sync.plans.staging import (
     ROW, materialize, now_utc, stage_archives, texts_of, unlisted_rejects, write_rejects,
 )
 from folio_sync.sources import corpus
-from folio_sync.sources.manifest import articles_per_archive, read_file_lists, read_retractions
+from folio_sync.sources.manifest import read_file_lists, read_retractions
 from folio_sync.sources.packages import find_packages, list_archives
 
 
@@ -44,7 +43,8 @@ class Options:
     sticky_retractions: an update does not clear a retraction flag.
     inclusive: also read packages dated on the day of the last run.
     stop_at_failure: fail the run at an unreadable package instead of passing over it.
-    verify_sidecars: check packages against the digest files next to them.
+    verify_sidecars: check packages against the digest files next to them; a package
+        without one is taken as it is.
     """
 
     packages_per_commit: int | None = None
@@ -53,7 +53,7 @@ class Options:
     sticky_retractions: bool = False
     inclusive: bool = False
     stop_at_failure: bool = False
-    verify_sidecars: bool = False
+    verify_sidecars: bool = True
 
 
 @dataclass
@@ -76,7 +76,9 @@ def apply_packages(
     """Merge some packages, oldest first, as one commit.
 
     The result is that of applying them one after the other. Retracted lines of
-    their file lists are not loaded; their ids are returned.
+    their file lists are not loaded; their ids are returned, also when the archive is
+    damaged, but not when it has the wrong digest: then nothing of the package counts.
+    A package whose list holds nothing but retracted lines is not unpacked.
     """
     listed, list_rejects = read_file_lists(spark, [p.file_list_path for p in packages])
     listed = materialize(spark, listed, "file-lists")
@@ -84,9 +86,8 @@ def apply_packages(
         [(p.archive_path, p.location, i) for i, p in enumerate(packages)],
         "archive_path string, location string, package_order int",
     ), "packages")
-    archives = order.join(
-        articles_per_archive(listed, "archive_path"), "archive_path", "left"
-    ).fillna(1, ["n_articles"])
+    loadable = listed.groupBy("archive_path").agg(F.count_if(~F.col("is_retracted")).alias("n_articles"))
+    archives = order.join(loadable, "archive_path", "left").fillna(1, ["n_articles"]).where("n_articles > 0")
     if published is None and options.verify_sidecars:
         published = read_sidecars(spark, sorted({p.location.rsplit("/", 1)[0] for p in packages}))
     staged = stage_archives(spark, materialize(spark, archives, "archives"), published)
@@ -95,6 +96,9 @@ def apply_packages(
         raise PackageFailed(f"Unreadable packages: {sorted(failed)}")
     done = [p.archive_path for p in packages if p.archive_path not in failed]
 
+    trusted = listed.join(
+        staged.failed.where(F.col("reason") != UNREADABLE), "archive_path", "left_anti"
+    )
     listed = listed.join(staged.failed, "archive_path", "left_anti")
     matched = match_listed(staged.articles, listed.where(~F.col("is_retracted"))).join(
         order.select("archive_path", "package_order"), "archive_path"
@@ -123,7 +127,7 @@ def apply_packages(
         spark, root, run_id, [list_rejects, staged.rejects, unlisted_rejects(unlisted)]
     )
     return Outcome(
-        upserted, len(failed), rejects, listed.where("is_retracted").select("pmcid")
+        upserted, len(failed), rejects, trusted.where("is_retracted").select("pmcid")
     )
 
 
@@ -164,7 +168,7 @@ def delta_load(
                 spark, root, run_id, ids, run_ts
             )
         packages = find_packages(
-            list_archives(spark, drop_base, PACKAGE_GLOB), last.end_day, marker, options.inclusive
+            list_archives(spark, drop_base), last.end_day, marker, options.inclusive
         ).collect()
         step = options.packages_per_commit or max(len(packages), 1)
         daily_ids = []

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folio_sync.functions.names import resolve
+from folio_sync.operators.audit import read_sidecars
 from folio_sync.operators.enrich import match_listed, split_listed
 from folio_sync.operators.merge import newest_per_key
 from folio_sync.operators.quality import require_unique
@@ -26,6 +27,7 @@ def full_load(
     manifest_paths: str | list[str],
     archive_base: str,
     published: DataFrame | None = None,
+    verify_sidecars: bool = True,
     on_duplicate: str = "error",
     retractions: DataFrame | None = None,
     run_ts: dt.datetime | None = None,
@@ -33,7 +35,8 @@ def full_load(
     """Load every listed article and return the run's id.
 
     `published` holds the archives' digests (`archive_path` and `sidecar_text` or
-    `etag`); archives that are unreadable or do not match are left out and
+    `etag`); without it the digest files below `archive_base` are read, unless
+    `verify_sidecars` is false, and an archive without one is taken as it is. Archives that are unreadable or do not match are left out and
     recorded under `<root>/rejects`. A repeated `pmcid` is an error unless
     `on_duplicate` is `latest`. The old tables stay visible until the new ones are
     complete. Retraction lists are not part of a full load unless given. `run_ts` is
@@ -54,6 +57,8 @@ def full_load(
             "archives",
         )
         n_archives = archives.count()
+        if published is None and verify_sidecars:
+            published = read_sidecars(spark, [archive_base], base=archive_base)
         staged = stage_archives(spark, archives, published)
 
         matched = materialize(spark, match_listed(staged.articles, listed), "matched")

@@ -83,8 +83,16 @@ def stage_archives(
     members = _members(spark, archives)
     path = scratch_path(spark, "extracted")
     # A copy of the rejected texts alone, so that reporting them reads no good ones.
-    extracted = extract_articles(members).withColumn(
-        "reject_payload", F.when(F.col("reject_reason").isNotNull(), F.col("raw_jats_xml"))
+    extracted = extract_articles(members, report_empty=True)
+    no_article = F.col("member_name").isNotNull() & F.col("raw_jats_xml").isNull()
+    extracted = extracted.withColumn(
+        "reject_reason",
+        F.when(F.col("member_error").isNotNull(), F.lit("undecodable"))
+        .when(no_article, F.lit("no_article"))
+        .otherwise(F.col("reject_reason")),
+    ).withColumn(
+        "reject_payload",
+        F.when(F.col("reject_reason").isNotNull(), F.coalesce("raw_jats_xml", "member_error")),
     )
     extracted.write.parquet(path)
     written = spark.read.schema(extracted.schema).parquet(path)
@@ -117,7 +125,7 @@ def stage_archives(
     return Staged(
         path=path,
         articles=usable.drop(
-            *TEXTS, "archive_md5", "archive_error", "reject_reason", "reject_payload"
+            *TEXTS, "member_error", "archive_md5", "archive_error", "reject_reason", "reject_payload"
         ),
         texts=usable.select(*ROW, "pmcid", *TEXTS),
         failed=failed,

@@ -28,9 +28,13 @@ from folio_sync.functions.names import MEMBER_SUFFIX
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MEMBERS_SCHEMA = (
-    "archive_path string, member_name string, xml string, archive_md5 string, archive_error string"
+    "archive_path string, member_name string, xml string, member_error string,"
+    " archive_md5 string, archive_error string"
 )
 BATCH_BYTES = 16 << 20
+# What is wrong with the archive itself. Other read errors may pass: they fail the
+# task, so that Spark tries it again, and the run if they persist.
+DAMAGED = (tarfile.TarError, zlib.error, EOFError, gzip.BadGzipFile, FileNotFoundError)
 
 
 class _HashingReader:
@@ -65,20 +69,30 @@ def open_stream(location: str):
 
 
 def decode_xml(data: bytes) -> str:
-    """Text of an XML document in the encoding it declares (UTF-8 if it does not)."""
+    """Text of an XML document in the encoding it declares (UTF-8 if it does not).
+
+    Bytes that the encoding does not allow are a UnicodeError."""
     if data[:2] in (b"\xff\xfe", b"\xfe\xff"):
         return data.decode("utf-16")
-    declared = re.match(rb"""\s*<\?xml[^>]*encoding=["']([A-Za-z0-9._-]+)["']""", data[:200])
+    declared = re.match(rb"""\s*<\?xml[^>]*encoding=["']([A-Za-z0-9._-]+)["']""", data)
     encoding = declared.group(1).decode().lower() if declared else "utf-8"
     try:
-        text = data.decode("utf-8-sig" if encoding == "utf-8" else encoding, errors="replace")
+        text = data.decode("utf-8-sig" if encoding == "utf-8" else encoding)
     except LookupError:
-        text = data.decode("utf-8-sig", errors="replace")
+        text = data.decode("utf-8-sig")
     return text.replace("\r\n", "\n").replace("\r", "\n")
 
 
-def _member_texts(location: str, status: dict) -> Iterator[tuple[str, str]]:
-    """(name, xml) of each XML member; leaves the digest and any error in `status`."""
+def _decoded(data: bytes) -> tuple[str | None, str | None]:
+    """Text and error of a member, one of which is None."""
+    try:
+        return decode_xml(data), None
+    except UnicodeError as error:
+        return None, f"{type(error).__name__}: {error}"
+
+
+def _member_texts(location: str, status: dict) -> Iterator[tuple[str, str | None, str | None]]:
+    """(name, xml, error) of each XML member; leaves the digest and any error in `status`."""
     wanted = re.compile(MEMBER_SUFFIX, re.IGNORECASE)
     try:
         with open_stream(location) as raw:
@@ -88,17 +102,17 @@ def _member_texts(location: str, status: dict) -> Iterator[tuple[str, str]]:
                     with tarfile.open(fileobj=unzipped, mode="r|") as tar:
                         for member in tar:
                             if member.isfile() and wanted.search(member.name):
-                                yield member.name, decode_xml(tar.extractfile(member).read())
+                                yield member.name, *_decoded(tar.extractfile(member).read())
                     while unzipped.read(1 << 20):  # to the checksum at the end
                         pass
             finally:
                 status["md5"] = reader.finish()
-    except (tarfile.TarError, zlib.error, EOFError, OSError) as error:
+    except DAMAGED as error:
         status["error"] = f"{type(error).__name__}: {error}"
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    names = ("archive_path", "member_name", "xml", "archive_md5", "archive_error")
+    names = ("archive_path", "member_name", "xml", "member_error", "archive_md5", "archive_error")
     return pa.RecordBatch.from_arrays(
         [pa.array(column, pa.string()) for column in zip(*rows)], names=names
     )
@@ -109,21 +123,22 @@ def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in batch.to_pylist():
             archive = row["archive_path"]
             rows, size, status = [], 0, {}
-            for name, xml in _member_texts(row["location"], status):
-                rows.append((archive, name, xml, None, None))
-                size += len(xml)
+            for name, xml, error in _member_texts(row["location"], status):
+                rows.append((archive, name, xml, error, None, None))
+                size += len(xml or "")
                 if size >= BATCH_BYTES:
                     yield _batch(rows)
                     rows, size = [], 0
-            rows.append((archive, None, None, status.get("md5"), status.get("error")))
+            rows.append((archive, None, None, None, status.get("md5"), status.get("error")))
             yield _batch(rows)
 
 
 def expand_archives(archives: DataFrame, tasks: int, spread: int | None = None) -> DataFrame:
     """Members of the archives in (`archive_path`, `location`).
 
-    Each archive also gives one status row without a member: its MD5 digest, and
-    the error if it could not be read to its end. The archives are dealt out evenly
+    A member that cannot be decoded has a `member_error` and no text. Each archive
+    also gives one status row without a member: its MD5 digest, and the error if it
+    is damaged or absent. The archives are dealt out evenly
     over `tasks`. When archives are fewer than cores, `spread` moves the members on
     to that many partitions before they are parsed.
     """

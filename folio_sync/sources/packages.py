@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folio_sync.functions.names import (
-    PACKAGE_INFIX, area_folders, area_rank, file_list_of, package_day, package_key,
+    PACKAGE_FILES, PACKAGE_INFIX, archive_of, area_folders, area_rank, file_list_of, package_day, package_key,
 )
 
 
-def list_archives(spark: SparkSession, base: str, glob: str = "*.tar.gz") -> DataFrame:
+def list_archives(spark: SparkSession, base: str, glob: str = PACKAGE_FILES) -> DataFrame:
     """Paths, sizes and times of the files in the area folders; no content is read.
 
     An area folder that cannot be listed is skipped.
@@ -44,13 +44,18 @@ def find_packages(
     marker: str | None = None,
     inclusive: bool = False,
 ) -> DataFrame:
-    """Update packages among the listed paths, oldest first.
+    """Update packages among the listed archives and file lists, oldest first.
+
+    Spark's listing leaves empty files out, so an empty archive is only known by its file
+    list. A package is named by its archive, whichever of the two is listed.
 
     Only packages dated strictly after the day of `since` are kept (on or after it
     with `inclusive`). With `marker`, packages up to and including that one are
     dropped; a marker that is not in the listing drops nothing.
     """
     packages = listing.where(F.contains(F.col("path"), F.lit(PACKAGE_INFIX))).select(
+        archive_of(F.col("path")).alias("path")
+    ).distinct().select(
         package_key(F.col("path")).alias("archive_path"),
         F.col("path").alias("location"),
         package_day(F.col("path")).alias("day"),

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from folio_sync.functions.names import BULK_FOLDER, PACKAGE_GLOB
+from folio_sync.functions.names import BULK_FOLDER, PACKAGE_LISTS
+from folio_sync.operators.runs import watermark
 from folio_sync.plans.delta_load import Options, apply_packages
 from folio_sync.plans.publish import commit_retractions
 from folio_sync.plans.staging import now_utc
@@ -35,19 +36,27 @@ def package_feed(
 ) -> StreamingQuery:
     """Start a query that merges each new package as one commit.
 
+    A package is complete when its file list is there, so it is the lists that the stream
+    waits for. A batch whose archive is absent or cut fails and is tried again when the
+    query is started again. Packages not newer than the last full load are passed over.
+
     The stream's checkpoint remembers which packages were read. Files arrive in no
     order of their dates, so a text is replaced only together with its metadata,
     whose update guard does not depend on the order. A finished batch is recorded
     under checkpoint and batch number and not applied again; one that was cut off
     is applied anew, which the guard makes harmless.
     """
-    options = replace(options or Options(), guard_content=True)
+    options = replace(options or Options(), guard_content=True, stop_at_failure=True)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         batch_key = f"{checkpoint}#{batch_id}"
-        packages = find_packages(batch).collect()
-        if not packages or corpus.batch_is_finished(session, root, batch_key):
+        if corpus.batch_is_finished(session, root, batch_key):
+            return
+        history = corpus.read_history(session, root).where("run_type = 'FULL'")
+        last = watermark(history).withColumn("end_day", F.to_date("end_time")).first()
+        packages = find_packages(batch, last and last.end_day, inclusive=options.inclusive).collect()
+        if not packages:
             return
         now = now_utc()
         run_id = corpus.start_run(session, root, "DELTA", now)
@@ -72,7 +81,7 @@ def package_feed(
     arrivals = (
         spark.readStream.format("binaryFile")
         .schema(BINARY_FILE)
-        .option("pathGlobFilter", PACKAGE_GLOB)
+        .option("pathGlobFilter", PACKAGE_LISTS)
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", packages_per_batch)
         .load(f"{drop_base.rstrip('/')}/{BULK_FOLDER}")

@@ -139,10 +139,31 @@ def test_unusable_articles_are_named_and_spare_the_others(spark):
     )
     assert [(r.id, r.pmcid, r.reject_reason) for r in rows] == [
         (0, "A", None), (0, None, "malformed"), (0, None, "no_pmcid"), (0, "C", None),
+        (1, None, "malformed"),
         (3, None, "no_pmcid"), (4, None, "no_pmcid"), (5, None, "malformed"), (6, None, "malformed"),
     ]
 
 
+def test_an_unclosed_article_and_what_comments_hold_spare_the_next(spark):
+    unclosed = article("A").replace("</article>", "")
+    noted = article("B").replace("<body>", "<!-- </article> <article> --><body><![CDATA[</article>]]>")
+    rows = extract(
+        spark, f"<articles>{unclosed}{noted}<!-- {article('N')} -->{article('C')}</articles>",
+        article("D").replace("</article>", "</article >") + "<article><!-- never ends ", "<article>" * 20_000,
+    )
+    assert [(r.id, r.pmcid, r.reject_reason) for r in rows if r.id < 2] == [
+        (0, None, "malformed"), (0, "B", None), (0, "C", None), (1, "D", None), (1, None, "malformed"),
+    ]
+    assert sum(r.id == 2 for r in rows) == 20_000
+
+
+def test_affiliation_with_an_odd_attribute(spark):
+    person = ('<contrib contrib-type="author"><name><surname>Z</surname></name>'
+              '<aff>A <b x="1>2">bold</b> Z</aff></contrib>')
+    (row,) = extract(spark, article("P").replace("</article-meta>", f"<contrib-group>{person}</contrib-group></article-meta>"))
+    assert row.contributors[-1].affiliation == "A bold Z"
+
+
 def test_no_article_meta(spark):
     text = "<article><sub-article><front><article-meta><article-id pub-id-type='pmc'>S</article-id></article-meta></front></sub-article></article>"
     (row,) = extract(spark, text)

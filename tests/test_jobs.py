@@ -164,6 +164,7 @@ def test_full_load_leaves_out_bad_archives_and_unlisted_articles(tmp_path, spark
         ("archive", "cut.tar.gz", None, "unreadable"), ("archive", "gone.tar.gz", None, "unreadable"),
         ("archive", "wrong.tar.gz", None, "mismatch"),
         ("article", "good.tar.gz/b.xml", "PMC7", "unlisted"),
+        ("article", "good.tar.gz/d.xml", None, "malformed"),
         ("article", "good.tar.gz/e.xml", "PMC8", "bad_date"),
     }
 
@@ -275,7 +276,7 @@ def test_delta_checks_digest_files(site, spark):
     wrong = write_package(drop, "2024-01-10", {"1.xml": article("PMC1", "One v2")}, [("PMC1", T2, "")])
     (drop / f"{wrong}.md5").write_text("MD5 = " + "0" * 32)
     write_package(drop, "2024-01-11", {"4.xml": article("PMC4", "Four")}, [("PMC4", T2, "")])
-    delta_load(spark, root, str(drop), options=Options(verify_sidecars=True), run_ts=DELTA_TS)
+    delta_load(spark, root, str(drop), run_ts=DELTA_TS)
     assert titles(spark, root) == {"PMC1": "One v1", "PMC2": "Two", "PMC3": "Three", "PMC4": "Four"}
     reasons = spark.read.parquet(f"{root}/rejects").where("stage = 'archive'").collect()
     assert [(r.source, r.reason) for r in reasons] == [(wrong, "mismatch")]
@@ -336,3 +337,88 @@ def test_feed_applies_packages_once(site, spark):
     write_package(drop, "2024-01-12", {"4.xml": article("PMC4", "Four")}, [("PMC4", T3, "")])
     run()
     assert titles(spark, root)["PMC4"] == "Four" and len(runs(spark, root)) == n_runs + 1
+
+
+def reject_reasons(spark, root):
+    return {(r.source, r.reason) for r in spark.read.parquet(f"{root}/rejects").collect()}
+
+
+def test_retractions_do_not_depend_on_the_archive(site, spark):
+    """An empty archive, a damaged one, and one that is not needed: the lists count all the same."""
+    tmp_path, root = site
+    drop = tmp_path / "drop"
+    empty = write_package(drop, "2024-01-10", {}, [("PMC1", T2, "yes"), ("PMC3", T2, "")])
+    (drop / empty).write_bytes(b"")
+    broken = write_package(drop, "2024-01-11", {}, [("PMC2", T2, "yes"), ("PMC4", T2, "")])
+    (drop / broken).write_bytes(b"not an archive")
+    idle = write_package(drop, "2024-01-12", {}, [("PMC3", T2, "yes")])
+    (drop / idle).write_bytes(b"never looked at")
+    delta_load(spark, root, str(drop), run_ts=DELTA_TS)
+    assert flags(spark, root) == {"PMC1": True, "PMC2": True, "PMC3": True}
+    assert reject_reasons(spark, root) == {(empty, "unreadable"), (broken, "unreadable")}
+    metrics = corpus.read_history(spark, root).where("run_type = 'DELTA'").first().metrics
+    assert metrics["archives_failed"] == 2 and metrics["archives_processed"] == 1
+
+
+def test_a_package_with_the_wrong_digest_does_not_retract(site, spark):
+    tmp_path, root = site
+    drop = tmp_path / "drop"
+    wrong = write_package(drop, "2024-01-10", {"4.xml": article("PMC4")}, [("PMC4", T2, ""), ("PMC1", T2, "yes")])
+    (drop / f"{wrong}.md5").write_text("MD5 = " + "0" * 32)
+    delta_load(spark, root, str(drop), run_ts=DELTA_TS)
+    assert flags(spark, root) == {"PMC1": False, "PMC2": False, "PMC3": True}
+
+
+def test_a_bad_member_costs_itself_alone(site, spark):
+    tmp_path, root = site
+    drop = tmp_path / "drop"
+    package = write_package(drop, "2024-01-10", {
+        "1.xml": article("PMC1", "One v2"), "2.xml": "nothing", "3.xml": "placeholder",
+    }, [("PMC1", T2, "")])
+    cut = ("\ufeff" + article("PMC3", "Three v2")).encode("utf-16-le")[:-1]
+    write_archive(drop / package, {"1.xml": article("PMC1", "One v2"), "2.xml": "nothing", "3.xml": cut})
+    delta_load(spark, root, str(drop), run_ts=DELTA_TS)
+    assert titles(spark, root)["PMC1"] == "One v2"
+    assert reject_reasons(spark, root) == {(f"{package}/2.xml", "no_article"), (f"{package}/3.xml", "undecodable")}
+
+
+def test_full_load_reads_digest_files(tmp_path, spark):
+    base = tmp_path / "base"
+    write_archive(base / "a.tar.gz", {"1.xml": article("PMC1")})
+    write_archive(base / "b.tar.gz", {"2.xml": article("PMC2")})
+    (base / "b.tar.gz.md5").write_text("MD5 = " + "0" * 32)
+    root = str(tmp_path / "corpus")
+    corpus.initialize(spark, root)
+    listed = write_list(tmp_path / "m.csv", [("a.tar.gz", "PMC1", "", T1, ""), ("b.tar.gz", "PMC2", "", T1, "")])
+    full_load(spark, root, listed, str(base), run_ts=FULL_TS)
+    assert set(titles(spark, root)) == {"PMC1"}
+
+
+def test_feed_waits_for_the_list_and_the_archive(site, spark):
+    tmp_path, root = site
+    drop, checkpoint = tmp_path / "drop", str(tmp_path / "feed")
+    name = write_package(drop, "2024-01-10", {"1.xml": article("PMC1", "One v2")}, [("PMC1", T2, "")])
+    listed = drop / name.replace(".tar.gz", ".filelist.csv")
+    lines, archive = listed.read_bytes(), (drop / name).read_bytes()
+    listed.unlink()
+
+    def run():
+        package_feed(spark, root, str(drop), checkpoint).awaitTermination()
+
+    run()
+    assert titles(spark, root)["PMC1"] == "One v1"
+    (drop / name).write_bytes(archive[: len(archive) // 2])
+    listed.write_bytes(lines)
+    with pytest.raises(Exception, match="Unreadable packages"):
+        run()
+    (drop / name).write_bytes(archive)
+    run()
+    assert titles(spark, root)["PMC1"] == "One v2"
+
+
+def test_feed_passes_over_packages_older_than_the_full_load(site, spark):
+    tmp_path, root = site
+    drop = tmp_path / "drop"
+    write_package(drop, "2024-01-03", {"9.xml": article("PMC9", "Gone since")}, [("PMC9", T2, "")])
+    package_feed(spark, root, str(drop), str(tmp_path / "feed")).awaitTermination()
+    assert "PMC9" not in titles(spark, root)
