@@ -22,11 +22,11 @@ def validate_schemas(found: dict[str, T.StructType | None]) -> None:
     for table, expected in schemas.TABLES.items():
         actual = found.get(table)
         if actual is None:
-            raise SchemaError(f"Table '{table}' does not exist; run initialize first.")
+            raise SchemaError(f"There is no table {table!r} under this root; initialize() makes it.")
         types = {field.name: field.dataType for field in actual}
         for field in expected:
             if field.name not in types:
-                raise SchemaError(f"Column '{field.name}' does not exist in table '{table}'.")
+                raise SchemaError(f"Table {table!r} lacks the column {field.name!r}.")
             if types[field.name].simpleString() != field.dataType.simpleString():
                 raise SchemaError(
                     f"Column '{field.name}' of table '{table}' is "

@@ -153,7 +153,7 @@ def delta_load(
         "end_day", F.to_date("end_time")
     ).first()
     if last is None:
-        raise NoFullLoad("No successful full load found; run full_load first.")
+        raise NoFullLoad("A delta load goes on from a full load, and none has ended well here.")
     marker = last.last_file_processed if last.run_type == "DELTA" else None
 
     run_id = corpus.start_run(spark, root, "DELTA", run_ts)

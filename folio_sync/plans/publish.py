@@ -138,19 +138,21 @@ def commit_retractions(
 ) -> int:
     """Flag the listed articles as one commit and return how many changed.
 
-    The ids are matched against the flag column alone; only the hits' rows are
-    then read in full.
+    The ids are matched against the flag column alone; only the files that hold a hit
+    are then read in full.
     """
-    current = corpus.read_table(spark, root, corpus.METADATA)
+    current = corpus.read_table(spark, root, corpus.METADATA, with_file=True)
     hits = materialize(
         spark,
-        retraction_hits(current.select("pmcid", "is_retracted", corpus.VERSION), ids)
-        .select("pmcid", corpus.VERSION),
+        retraction_hits(current.select("pmcid", "is_retracted", corpus.VERSION, "file"), ids)
+        .select("pmcid", corpus.VERSION, "file"),
         "hits",
     )
     changed = hits.count()
     if changed:
-        rows = current.join(hits, ["pmcid", corpus.VERSION], "left_semi").withColumns({
+        files = [row.file for row in hits.select("file").distinct().collect()]
+        hits = hits.drop("file")
+        rows = corpus.read_table(spark, root, corpus.METADATA, files=files).join(hits, ["pmcid", corpus.VERSION], "left_semi").withColumns({
             "is_retracted": F.lit(True), "sync_timestamp": F.lit(run_ts),
         })
         publish(spark, root, run_id, "append", rows, schemas.empty(spark, schemas.CONTENT), hits)

@@ -34,6 +34,7 @@ from folio_sync.operators.runs import fold_history
 METADATA, CONTENT, HISTORY = "articles_metadata", "articles_content", "sync_history"
 SUPERSEDED = {METADATA: "superseded_metadata", CONTENT: "superseded_content"}
 VERSION = "v"
+UTC_NAMES = ("UTC", "Etc/UTC", "Z", "GMT", "+00:00")
 
 # Point lookups by id skip row groups through Bloom filters; rows sorted by date
 # let the row groups' minimum and maximum serve date ranges.
@@ -82,7 +83,13 @@ def initialize(spark: SparkSession, root: str) -> None:
 
 
 def validate(spark: SparkSession, root: str) -> None:
-    """Raise if a table is missing, lacks a column or has a column of another type."""
+    """Raise if a table is missing, lacks a column or has a column of another type.
+
+    Jobs call this first. It also refuses a session with a time zone of its own: all times
+    of the corpus are UTC, and lists have none written in them."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in UTC_NAMES:
+        raise RuntimeError(f"set spark.sql.session.timeZone to UTC; it is {zone}")
     validate_schemas({table: _stored_schema(spark, _path(root, table)) for table in schemas.TABLES})
 
 
@@ -183,14 +190,21 @@ def _live_paths(root: str, table: str, versions: list[int]) -> list[str]:
 
 
 def read_table(
-    spark: SparkSession, root: str, table: str, versions: list[int] | None = None
+    spark: SparkSession, root: str, table: str, versions: list[int] | None = None,
+    with_file: bool = False, files: list[str] | None = None,
 ) -> DataFrame:
-    """The live rows of a corpus table with the version `v` each comes from."""
+    """The live rows of a corpus table with the version `v` each comes from.
+
+    `with_file` adds the path of a row's file as `file`; with `files` no others are read."""
     versions = live_versions(spark, root) if versions is None else versions
     schema = T.StructType(schemas.TABLES[table].fields + [T.StructField(VERSION, T.LongType())])
     rows = spark.read.schema(schema).option("basePath", _path(root, table)).parquet(
         *_live_paths(root, table, versions)
     )
+    if files is not None:
+        rows = rows.where(F.col("_metadata.file_path").isin(files))
+    if with_file:
+        rows = rows.withColumn("file", F.col("_metadata.file_path"))
     if len(versions) < 2:  # nothing can be superseded
         return rows
     old = spark.read.schema(schemas.SUPERSEDED).parquet(

@@ -18,7 +18,7 @@ def _lines(*parts: str | Column) -> Column:
 def _contributor_markup() -> Column:
     source = F.col("source")
     english = _lines(
-        '<contrib-group><contrib contrib-type="author"><name><surname>Doe</surname><given-names>',
+        '<contrib-group><contrib contrib-type="author"><name><surname>Marek</surname><given-names>',
         source, "</given-names></name><aff>Dept. of <italic>", source,
         '</italic>,\n  A &lt; B</aff><contrib-id contrib-id-type="orcid">0000-', F.col("doc_id"),
         '</contrib-id></contrib><contrib contrib-type="editor"><name><surname>Ed</surname></name></contrib>'
@@ -135,7 +135,7 @@ def extract_contributors(spark, sf_dir):
 
 EXTRACT_CONTRIBUTORS = """
 SELECT 'PMC' || doc_id AS pmcid, CAST(0 AS BIGINT) AS position,
-       CASE lang WHEN 'en' THEN source || ' Doe' WHEN 'fr' THEN source ELSE 'O''Neil & Co' END AS name,
+       CASE lang WHEN 'en' THEN source || ' Marek' WHEN 'fr' THEN source ELSE 'O''Neil & Co' END AS name,
        CASE lang WHEN 'en' THEN 'Dept. of ' || source || ', A < B' WHEN 'fr' THEN ''
                  ELSE 'x < ' || source || ' y' END AS affiliation,
        CASE lang WHEN 'en' THEN '0000-' || doc_id END AS orcid

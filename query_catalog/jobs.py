@@ -218,6 +218,41 @@ UNION ALL
 SELECT 'PAGE' || page_id, 'page', false, NULL, md5({_BODY.format('html')}) FROM pages"""
 
 
+def delta_load_damaged(spark, sf_dir):
+    """Packages of the labelled documents; those of quality 0 are emptied or spoilt after
+    they were written. Their lists retract all the same, and nothing of them is loaded."""
+    root, drop = _loaded_corpus(spark, sf_dir), scratch_path(spark, "drop")
+    labelled = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+    seconds_after = F.when(F.col("lang") == "en", F.col("n_chars") * 2).otherwise(F.col("n_chars") - 1)
+    updates = labelled.select(
+        pmcid("doc_id").alias("pmcid"), "quality", time_text(clock(seconds_after)).alias("updated"),
+        F.when(F.col("n_chars") % 3 == 0, "true").alias("retracted"),
+        _jats(pmcid("doc_id"), F.lit("version 2"), F.concat("lang", F.lit(" "), "text")).alias("xml"),
+    )
+    for quality, day in ((0, "2024-01-08"), (1, "2024-01-09")):
+        base = f"{drop}/oa_bulk/oa_comm/xml"
+        written = write_archives(
+            updates.where(F.col("quality") == quality), base,
+            lambda task, batch, day=day: f"oa_comm_xml.{task}-{batch}.incr.{day}.tar.gz", file_lists=True,
+        )
+        if quality == 0:
+            for i, row in enumerate(written.select("file_path").distinct().orderBy("file_path").collect()):
+                _store_file(f"{base}/{row.file_path}", b"" if i % 2 == 0 else b"spoilt")
+    delta_load(spark, root, drop, run_ts=DELTA_TS)
+    return _state(spark, root)
+
+
+_LISTED, _LOADED = "(l.doc_id IS NOT NULL AND n_chars % 3 = 0)", "(quality = 1 AND n_chars % 3 <> 0)"
+
+DELTA_LOAD_DAMAGED = f"""
+SELECT 'PMC' || d.doc_id AS pmcid,
+       CASE WHEN {_LOADED} AND lang = 'en' THEN 'version 2' ELSE source END AS title,
+       CASE WHEN {_LISTED} THEN true WHEN {_LOADED} AND lang = 'en' THEN false ELSE coalesce(toxic = 1, false) END AS is_retracted,
+       CASE WHEN {_LOADED} AND lang = 'en' THEN n_chars * 2 ELSE n_chars END AS updated,
+       md5({_BODY.format(f"CASE WHEN {_LOADED} THEN lang || ' ' || text ELSE text END")}) AS body_md5
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
+
+
 def package_feed_state(spark, sf_dir):
     root, drop = _loaded_corpus(spark, sf_dir), scratch_path(spark, "drop")
     _write_packages(spark, sf_dir, drop)
@@ -288,5 +323,6 @@ CATALOG = {
     "full_load_state": (full_load_state, FULL_LOAD_STATE),
     "full_load_metrics": (full_load_metrics, FULL_LOAD_METRICS),
     "delta_load_state": (delta_load_state, DELTA_LOAD_STATE),
+    "delta_load_damaged": (delta_load_damaged, DELTA_LOAD_DAMAGED),
     "package_feed_state": (package_feed_state, PACKAGE_FEED_STATE),
 }

@@ -295,7 +295,7 @@ def test_delta_without_news_and_without_file_list(site, spark):
 
 def test_delta_needs_tables_and_a_full_load(tmp_path, spark):
     root = str(tmp_path / "corpus")
-    with pytest.raises(SchemaError, match="does not exist"):
+    with pytest.raises(SchemaError, match="There is no table"):
         delta_load(spark, root, str(tmp_path))
     corpus.initialize(spark, root)
     corpus.initialize(spark, root)
