@@ -317,7 +317,32 @@ UNION ALL
 SELECT 'PAGE' || page_id, 'page', false, NULL, md5(html) FROM pages"""
 
 
+def replace_existing(spark, sf_dir):
+    """A corpus of documents is replaced as a whole by web pages; their time of change is the run's."""
+    root = scratch_path(spark, "corpus")
+    corpus.initialize(spark, root)
+    for name, number, text, title, ts in (
+        ("documents", "doc_id", "text", "lang", FULL_TS), ("pages", "page_id", "html", "url", DELTA_TS),
+    ):
+        rows = table(spark, sf_dir, name).select(
+            pmcid(number).alias("pmcid"), F.col(title).alias("title"), F.lit(None).cast("timestamp").alias("source_last_updated"),
+            F.lit(False).alias("is_retracted"), F.lit(ts).alias("sync_timestamp"), F.lit(None).cast("string").alias("doi"),
+            F.col(text).alias("body_text"),
+        )
+        run = corpus.start_run(spark, root, "FULL", ts)
+        replace_articles(spark, root, run, rows.drop("body_text"), rows.select("pmcid", "body_text"))
+        corpus.end_run(spark, root, run, "SUCCESS", ts)
+    synced = corpus.read_metadata(spark, root).select("pmcid", seconds("sync_timestamp").alias("synced"))
+    return _state(spark, root).join(synced, "pmcid")
+
+
+REPLACE_EXISTING = """
+SELECT 'PMC' || page_id AS pmcid, url AS title, false AS is_retracted, CAST(NULL AS BIGINT) AS updated,
+       md5(html) AS body_md5, CAST(35 * 86400 AS BIGINT) AS synced FROM pages"""
+
+
 CATALOG = {
+    "replace_existing": (replace_existing, REPLACE_EXISTING),
     "archive_members": (archive_members, ARCHIVE_MEMBERS),
     "corpus_changes_state": (corpus_changes_state, CORPUS_CHANGES_STATE),
     "full_load_state": (full_load_state, FULL_LOAD_STATE),

@@ -292,6 +292,23 @@ FROM (SELECT 'documents' AS batch, doc_id AS k, text AS t FROM documents
       UNION ALL SELECT 'benchmark', item_id, text FROM benchmark) GROUP BY 1"""
 
 
+def staged_batches(spark, sf_dir):
+    """Documents staged as one batch per language, read together with a batch that is absent."""
+    base = scratch_path(spark, "batches")
+    rows = table(spark, sf_dir, "documents").select(
+        pmcid("doc_id").alias("pmcid"), F.col("lang").alias("title"), F.col("text").alias("body_text"))
+    paths = [f"{base}/{lang}" for lang in ("en", "de", "fr", "es", "absent")]
+    for path in paths[:-1]:
+        rows.where(F.col("title") == path.rsplit("/", 1)[1]).write.parquet(path)
+    read = load.read_batches(spark, paths, rows.schema)
+    return read.select("pmcid", "title", F.md5("body_text").alias("body_md5"))
+
+
+STAGED_BATCHES = """
+SELECT 'PMC' || doc_id AS pmcid, lang AS title, md5(text) AS body_md5
+FROM documents WHERE lang IN ('en', 'de', 'fr', 'es')"""
+
+
 def append_rows(spark, sf_dir):
     """Suppliers appended to a written customer table, under one key."""
     path = scratch_path(spark, "append")
@@ -366,6 +383,7 @@ CATALOG = {
     "checksum_audit": (checksum_audit, CHECKSUM_AUDIT),
     "etag_audit": (etag_audit, ETAG_AUDIT),
     "staging_union": (staging_union, STAGING_UNION),
+    "staged_batches": (staged_batches, STAGED_BATCHES),
     "append_rows": (append_rows, APPEND_ROWS),
     "export_rows": (export_rows, EXPORT_ROWS),
     "delimited_round_trip": (delimited_round_trip, DELIMITED_ROUND_TRIP),
