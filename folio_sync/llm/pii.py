@@ -55,7 +55,8 @@ ADDED = (
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "[0-9]{3}-[0-9]{2}-[0-9]{4}",
          "ssn|social|security", 0.4, True),
 )
-BYTE = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
+# zeros in front are passed over; after them nothing may be left, but a part has a digit
+BYTE = "(?=[0-9])0*+(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{0,2})"
 
 
 def _digits(found: Column) -> Column:

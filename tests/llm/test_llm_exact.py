@@ -153,6 +153,19 @@ def test_personal_data_equals_plain_search(spark):
     assert pii.find_pii(empty(spark)).count() == 0
 
 
+def test_parts_of_zeros_are_parts_of_an_address(spark):
+    good = ["10.0.0.1", "0.0.0.0", "1.2.3.000", "127.0.0.1", "192.168.0.1", "00255.000.0.00", "1.2.3.4", "010.020.030.0099"]
+    bad = ["0.0.0.256", "1.0.0.00256", "0.0.0", "300.0.0.0", "1000.0.0.0", "0.0.0."]
+    r = random.Random(8)
+    texts = good + bad + ["".join(r.choice([*good, *bad, " ", "x", ".", "0", "-"]) for _ in range(6)) for _ in range(500)]
+    got = {r.doc_id: r for r in pii.find_pii(frame(spark, texts)).collect()}
+    assert [got[i].n_ip for i in range(len(good + bad))] == [1] * len(good) + [0] * len(bad)
+    for i, text in enumerate(texts):
+        spans = base_spans(text)
+        assert got[i].base_sha256 == hashlib.sha256(",".join(spans).encode()).hexdigest(), text
+        assert got[i].n_ip == sum(s.startswith("ip:") for s in spans)
+
+
 def test_check_digits_and_context_decide(spark):
     texts = ["IBAN GB82WEST12345698765432.", "IBAN GB82WEST12345698765433.", "my ssn: 123-45-6789", "123-45-6789",
              "write to a@b.cd", "a@b.cd"]
