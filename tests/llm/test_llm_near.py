@@ -1,9 +1,11 @@
 """Near-duplicate operators against brute force, components, and the pipeline."""
 
 import collections
+import itertools
 import random
 import re
 
+import numpy as np
 import pytest
 from llm_rows import WORDS, awkward_texts, empty, frame
 from pyspark.sql import functions as F
@@ -89,6 +91,29 @@ def test_join_is_exact_whatever_the_cells(spark, monkeypatch, cell, sparse, seed
     assert {tuple(r) for r in got} == expected_join(docs.select("doc_id", "text").collect())
 
 
+@pytest.mark.parametrize("words, edits, copies, groups", [(103, 1, 3, 60), (403, 4, 10, 3), (103, 1, 30, 2)])
+def test_equally_frequent_shingles_have_one_order(words, edits, copies, groups):
+    """All shingles of a copied passage occur equally often; linked sets must share enough of their prefixes."""
+    r, hashes = random.Random(words), ngram_join._Hashes()
+    for _ in range(groups):
+        base = [f"w{r.randrange(100_000)}" for _ in range(words)]
+        sets = []
+        for _ in range(copies):
+            near = list(base)
+            for _ in range(edits):
+                near[r.randrange(words)] = f"x{r.randrange(100_000)}"
+            sets.append(ngram_join.shingles(" ".join(near), ngram_join.N, hashes))
+        found, counts = np.unique(np.concatenate(sets), return_counts=True)
+        hot, rank = found[counts > 1], counts[counts > 1].astype(np.int64)
+        prefixes = [ngram_join.prefix_of(s, hot, rank, ngram_join.PERCENT) for s in sets]
+        for i, j in itertools.combinations(range(copies), 2):
+            common, total = len(np.intersect1d(sets[i], sets[j])), len(sets[i]) + len(sets[j])
+            if 100 * common >= ngram_join.PERCENT * (total - common):
+                shared = len(np.intersect1d(prefixes[i], prefixes[j]))
+                rest = max(len(sets[k]) - len(prefixes[k]) for k in (i, j))
+                assert shared and (shared + rest) * (100 + ngram_join.PERCENT) >= ngram_join.PERCENT * total
+
+
 def test_join_of_nothing_repeated_rows_and_null_ids(spark):
     assert ngram_join.ngram_join(empty(spark)).count() == 0
     docs = spark.createDataFrame(
