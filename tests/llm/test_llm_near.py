@@ -218,6 +218,28 @@ def test_pipeline_stages_follow_each_other(spark):
     assert entry.queries()["pipeline"](spark, SF_DIR).count() == left["byte BPE"]
 
 
+def test_pipeline_takes_five_words_and_four_fifths(spark):
+    """One word changed inside a text of 49 to 52 words: near copies by five words at 80 %, not by four at 85 %."""
+    r = random.Random(6)
+    texts = []
+    for size in (48, 49, 50, 51, 52, 60, 120):
+        for edits in (1, 2, 3):
+            base = [f"w{r.randrange(50_000)}" for _ in range(size)]
+            near = list(base)
+            for k in range(edits):
+                near[10 + 12 * k] = "changed"
+            texts += [" ".join(base), " ".join(near)]
+    docs = frame(spark, texts).coalesce(1)
+    sets = []
+    for text in texts:
+        words = text.split()
+        sets.append({tuple(words[j : j + 5]) for j in range(len(words) - 4)})
+    links = [(i, j) for i, j in itertools.combinations(range(len(texts)), 2)
+             if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    kept = {x.doc_id for x in corpus_pipeline.unrepeated_documents(spark, docs, SF_DIR).collect()}
+    assert kept == set(united(range(len(texts)), links).values()) and 0 < len(links) < len(texts) // 2
+
+
 def test_pipeline_of_awkward_documents(spark):
     docs = frame(spark, awkward_texts()).select("doc_id", "text", "lang", "source", "n_chars")
     for _, stage in corpus_pipeline.STAGES:
