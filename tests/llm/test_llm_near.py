@@ -240,6 +240,16 @@ def test_pipeline_takes_five_words_and_four_fifths(spark):
     assert kept == set(united(range(len(texts)), links).values()) and 0 < len(links) < len(texts) // 2
 
 
+def test_pipeline_keeps_texts_in_several_languages(spark):
+    said = {"en": "the cat and the dog went with them to that house", "ru": "это дом и он большой а там кот",
+            "fr": "les chats et les chiens sont dans la maison avec nous", "de": "der Hund und die Katze sind in dem Haus"}
+    mixed = " ".join((said[lang] + " ") * 4 for lang in ("en", "ru", "fr", "de"))
+    rows = [(i, (said[lang] + " ") * 5, lang) for i, lang in enumerate([*said] * 4)] + [(90, mixed, "en"), (91, "12 34 .", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1)
+    kept = {x.doc_id for x in corpus_pipeline.known_language(spark, docs, SF_DIR).collect()}
+    assert kept == {i for i, _, _ in rows} - {91}
+
+
 def test_pipeline_of_awkward_documents(spark):
     docs = frame(spark, awkward_texts()).select("doc_id", "text", "lang", "source", "n_chars")
     for _, stage in corpus_pipeline.STAGES:
