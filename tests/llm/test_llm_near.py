@@ -174,6 +174,19 @@ def test_one_line_of_each_component_stays(spark):
             line for n, line in enumerate(text.split("\n")) if (x.doc_id, n) not in gone))
 
 
+def test_every_character_of_a_line_counts(spark):
+    """Lines that differ only behind the eighth character of a run, and are not similar by all their shingles."""
+    lines = ["20231115123456 connection closed by peer", "20231115094256 connection closed by peer",
+             "order 100000001234 shipped", "order 100000009876 shipped", "*** note one", "+++ note one",
+             "}", "ok", "ab", "漢字かな"]
+    every = [{line[i : i + 8] for i in range(max(1, len(line) - 7))} for line in lines]
+    assert all(len(x & y) < line_dedup.SIMILAR * len(x | y) for x, y in itertools.combinations(every, 2))
+    docs = spark.createDataFrame([(1, "\n".join(lines)), (2, "\n".join(["", *lines, " ", ""]))], "doc_id long, text string")
+    left = {x.doc_id: x.text for x in line_dedup.without_repeated_lines(docs.coalesce(1)).collect()}
+    # clean lines stay, exact repeats go whatever their length, and blank lines stay
+    assert left == {1: "\n".join(lines), 2: "\n \n"}
+
+
 def test_lines_of_awkward_texts(spark):
     texts = awkward_texts()
     docs = frame(spark, texts).union(frame(spark, texts))  # every row twice
