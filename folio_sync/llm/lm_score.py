@@ -3,9 +3,11 @@
 A small network predicts each token from the two tokens on either side: a table of vectors for
 each offset, their sum through tanh, and a softmax in two steps, first the token's class, then
 the token in it. A document's score is the sum, over all its tokens, of the log-probability
-of the token given its neighbours. Vocabulary counts come from all documents. Training runs
-where the tokens are: in every round each task trains a copy of the network on its own rows with
-numpy, and the copies are averaged by the tokens they saw.
+of the token given its neighbours. A word outside the network's vocabulary is one of `RARE` endings
+there; the log-probability of the word among all words of its ending, by their counts in the corpus,
+is added by a join, so that the score is one of the word and knows every word of the corpus.
+Training runs where the tokens are: in every round each task trains a copy of the network on its own
+rows with numpy, and the copies are averaged by the tokens they saw. The rounds take every token once.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ TOKENS = CLASSES * IN_CLASS
 RARE = 64  # token ids for words outside the vocabulary, by their ending
 OFFSETS = (-2, -1, 1, 2)
 HIDDEN = 24
-ROUNDS, STRIDE = 2, 8  # round r trains on every STRIDE-th token of each document, from the r-th
+ROUNDS, STRIDE = 2, 2  # round r trains on every STRIDE-th token of each document, from the r-th
 BATCH, RATE = 512, 0.1
 BLOCK = 1024  # parameters averaged together
 CHUNK = 1 << 16  # tokens scored together
@@ -55,13 +57,46 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from in_batches(rows(), schema, 20000)
 
 
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(word, n): every word of all documents."""
+    return docs.select("text").mapInArrow(_count_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def _numbered(counts: DataFrame) -> dict[bytes, int]:
+    top = counts.orderBy(F.desc("n"), "word").limit(TOKENS - RARE).collect()
+    return {bytes(r[0]): RARE + i for i, r in enumerate(top)}
+
+
 def vocabulary(docs: DataFrame) -> dict[bytes, int]:
     """The most frequent words of all documents, numbered by frequency after the rare endings."""
-    top = (
-        docs.select("text").mapInArrow(_count_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "word").limit(TOKENS - RARE).collect()
-    )
-    return {bytes(r[0]): RARE + i for i, r in enumerate(top)}
+    return _numbered(word_counts(docs))
+
+
+def _ending(word: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(word[-3:]) % RARE
+
+
+def _key(word: bytes) -> int:
+    """A signed 64-bit hash."""
+    found = xxhash.xxh3_64_intdigest(word)
+    return found - (1 << 64) if found >= 1 << 63 else found
+
+
+def rare_words(counts: DataFrame, known: dict[bytes, int]) -> DataFrame:
+    """(word_key, within): the log-probability of each word outside the vocabulary among the words of its ending."""
+    held = counts.sparkSession.sparkContext.broadcast(frozenset(known))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("word_key", pa.int64()), ("ending", pa.int32()), ("n", pa.int64())])
+        rows = ((_key(word), _ending(word), n) for b in batches for word, n in zip(*(c.to_pylist() for c in b.columns))
+                if word not in held.value)
+        yield from in_batches(rows, schema, 20000)
+
+    rare = written(
+        counts.select("word", "n").mapInArrow(run, "word_key long, ending int, n long")
+        .groupBy("word_key", "ending").agg(F.sum("n").alias("n")), "rare-words")
+    of = rare.groupBy("ending").agg(F.sum("n").alias("of"))  # at most RARE rows
+    return rare.join(of, "ending").select("word_key", F.log(F.col("n") / F.col("of")).alias("within"))
 
 
 class _Ids(dict):
@@ -75,28 +110,42 @@ class _Ids(dict):
         if len(self) >= HELD_WORDS:
             self.clear()
             self.update(self.known)
-        found = xxhash.xxh3_64_intdigest(word[-3:]) % RARE
+        found = _ending(word)
         if len(word) <= 64:
             self[word] = found
         return found
 
 
-def encode(docs: DataFrame, known: dict[bytes, int]) -> DataFrame:
-    """(doc_id, ids): token ids as bytes of little-endian 16-bit numbers."""
+def encode(docs: DataFrame, known: dict[bytes, int], with_rare: bool = False) -> DataFrame:
+    """(doc_id, ids): token ids as bytes of little-endian 16-bit numbers.
+
+    `with_rare` adds a number of the row, and hashes of its different rare words with their counts."""
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
+    ddl = "doc_id long, ids binary"
+    if with_rare:
+        for name, kind in (("row", pa.int64()), ("keys", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))):
+            schema = schema.append(pa.field(name, kind))
+        ddl += ", row long, keys array<long>, times array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = _Ids(known)
 
         def rows():
+            row = TaskContext.get().partitionId() << 40
             for batch in batches:
                 for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
                     words = words_of(text)
-                    yield doc_id, np.fromiter(map(ids.__getitem__, words), "<u2", len(words)).tobytes()
+                    found = np.fromiter(map(ids.__getitem__, words), "<u2", len(words))
+                    if with_rare:
+                        rare = Counter(words[i] for i in np.flatnonzero(found < RARE))
+                        yield doc_id, found.tobytes(), row, [_key(w) for w in rare], list(rare.values())
+                        row += 1
+                    else:
+                        yield doc_id, found.tobytes()
 
         yield from in_batches(rows(), schema, 500)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, ddl)
 
 
 SHAPES = {
@@ -199,7 +248,7 @@ def _trainer(shared, turn: int):
         for batch in batches:
             for body in batch.column(0).to_pylist():
                 ids = np.frombuffer(body, "<u2").astype(np.int64)
-                at = np.arange(turn, len(ids), STRIDE)
+                at = np.arange(turn % STRIDE, len(ids), STRIDE)
                 near.append(contexts(ids, at))
                 tokens.append(ids[at])
                 seen += len(at)
@@ -243,27 +292,28 @@ def train(encoded: DataFrame, rounds: int = ROUNDS) -> bytes:
 
 
 def _scorer(shared):
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("log_prob", pa.float64())])
+    schema = pa.schema([
+        ("doc_id", pa.int64()), ("row", pa.int64()), ("n_tokens", pa.int64()), ("log_prob", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = unpacked(np.frombuffer(shared.value, np.float32))
 
         def scored(held: list[tuple]) -> Iterator[tuple]:
-            """Parts of documents (doc_id, tokens of the document, neighbours, tokens, last part?)."""
+            """Parts of documents ((doc_id, row), tokens of the document, neighbours, tokens, last part?)."""
             found = log_probs(p, np.concatenate([h[2] for h in held]), np.concatenate([h[3] for h in held]))
             at = 0
-            for doc_id, n, _, tokens, last in held:
-                yield doc_id, n, float(found[at : at + len(tokens)].sum(dtype=np.float64)), last
+            for doc, n, _, tokens, last in held:
+                yield doc, n, float(found[at : at + len(tokens)].sum(dtype=np.float64)), last
                 at += len(tokens)
 
         def parts() -> Iterator[tuple]:
             held, size = [], 0
             for batch in batches:
-                for doc_id, body in zip(*(c.to_pylist() for c in batch.columns)):
+                for doc_id, row, body in zip(*(c.to_pylist() for c in batch.columns)):
                     ids = np.frombuffer(body, "<u2").astype(np.int64)
                     for first in range(0, max(1, len(ids)), CHUNK):
                         at = np.arange(first, min(len(ids), first + CHUNK))
-                        held.append((doc_id, len(ids), contexts(ids, at), ids[at], first + CHUNK >= len(ids)))
+                        held.append(((doc_id, row), len(ids), contexts(ids, at), ids[at], first + CHUNK >= len(ids)))
                         size += len(at)
                         if size >= CHUNK:
                             yield from scored(held)
@@ -273,10 +323,10 @@ def _scorer(shared):
 
         def rows():
             total = 0.0
-            for doc_id, n, part, last in parts():
+            for doc, n, part, last in parts():
                 total += part
                 if last:
-                    yield doc_id, n, total
+                    yield *doc, n, total
                     total = 0.0
 
         yield from in_batches(rows(), schema)
@@ -289,10 +339,21 @@ def score_documents(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 
     Tokens are the words of the whole text, A-Z folded. A null text or one without words has no
     tokens, log_prob 0 and a null mean; an empty table gives no rows; equal texts get equal
-    scores; other columns are not read. The network depends on how the rows lie in partitions."""
+    scores; other columns are not read. The network depends on how the rows lie in partitions.
+    Rare words are told apart by 64-bit hashes."""
     spark = docs.sparkSession
     small_batches(spark)
-    encoded = written(encode(docs, vocabulary(docs)), "token-ids")
+    counts = written(word_counts(docs), "word-counts")
+    known = _numbered(counts)
+    encoded = written(encode(docs, known, with_rare=True), "token-ids")
     shared = spark.sparkContext.broadcast(train(encoded, rounds))
-    scored = encoded.select("doc_id", "ids").mapInArrow(_scorer(shared), "doc_id long, n_tokens long, log_prob double")
-    return scored.withColumn("mean_log_prob", F.try_divide("log_prob", "n_tokens"))
+    used = encoded.select("row", F.explode(F.arrays_zip("keys", "times")).alias("w")).select(
+        "row", F.col("w.keys").alias("word_key"), F.col("w.times").alias("times"))
+    # added up as decimals, so that the order of the rows does not matter
+    within = used.join(rare_words(counts, known), "word_key").groupBy("row").agg(
+        F.sum((F.col("times") * F.col("within")).cast("decimal(38,12)")).cast("double").alias("within"))
+    scored = encoded.select("doc_id", "row", "ids").mapInArrow(
+        _scorer(shared), "doc_id long, row long, n_tokens long, log_prob double")
+    return scored.join(within, "row", "left").select(
+        "doc_id", "n_tokens", (F.col("log_prob") + F.coalesce("within", F.lit(0.0))).alias("log_prob"),
+    ).withColumn("mean_log_prob", F.try_divide("log_prob", "n_tokens"))

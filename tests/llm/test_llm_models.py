@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_rows import awkward_texts, empty, frame
 from pyspark.sql import functions as F
@@ -100,6 +101,34 @@ def test_scores_are_sums_over_all_tokens_and_beat_frequencies(spark):
     assert total / tokens > (share * np.log(share)).sum()
 
 
+def test_every_token_is_a_target_once(monkeypatch):
+    seen = []
+    monkeypatch.setattr(lm_score, "contexts", lambda ids, at: seen.extend(at) or np.zeros((len(at), 4), np.int64))
+    monkeypatch.setattr(lm_score, "gradients", lambda p, near, tokens: np.zeros_like(lm_score.fresh()))
+    monkeypatch.setattr(lm_score, "TaskContext", type("T", (), {"get": lambda: type("C", (), {"partitionId": lambda s: 0})()}))
+    shared = type("B", (), {"value": lm_score.fresh().tobytes()})
+    batch = pa.RecordBatch.from_pydict({"ids": [np.arange(37, dtype="<u2").tobytes()]})
+    for turn in range(lm_score.ROUNDS):
+        list(lm_score._trainer(shared, turn)(iter([batch])))
+    assert sorted(seen) == list(range(37))
+
+
+def test_a_rare_word_is_scored_among_the_words_of_its_ending(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "TOKENS", lm_score.RARE + 2)
+    counts = spark.createDataFrame([(b"the", 50), (b"of", 40), (b"walking", 9), (b"xqzing", 1), (b"cat", 5)], "word binary, n long")
+    known = lm_score._numbered(counts)
+    assert set(known) == {b"the", b"of"}
+    got = dict(lm_score.rare_words(counts.coalesce(1), known).collect())
+    shares = {b"walking": 0.9, b"xqzing": 0.1, b"cat": 1.0}
+    assert lm_score._ending(b"cat") != lm_score._ending(b"walking")
+    assert got == {lm_score._key(w): pytest.approx(math.log(s)) for w, s in shares.items()}
+    monkeypatch.undo()
+    common = " ".join(f"w{i}" for i in range(lm_score.TOKENS))
+    texts = [common] * 3 + ["walking"] * 2 + ["xqzing"]
+    scores = {r.doc_id: r.log_prob for r in lm_score.score_documents(frame(spark, texts).coalesce(1), rounds=0).collect()}
+    assert scores[3] == scores[4] and scores[3] - scores[5] == pytest.approx(math.log(2), rel=1e-4)
+
+
 def test_scores_of_awkward_texts(spark, monkeypatch):
     texts = awkward_texts()
     docs = frame(spark, texts).coalesce(1)
