@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from folio_sync.llm.common import lower_ascii, sieved, whole_text, written
+from folio_sync.llm.common import discarded, lower_ascii, sieved, whole_text, written
 
 SPAN = 10
 SEGMENT = 2048
@@ -117,7 +117,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, **hel
     apart by their texts, equal rows give equal rows, null ids are kept. An empty table of documents gives no
     rows, one of items leaves all clean. Other columns are not read."""
     windows = written(benchmark_windows(benchmark, span), "windows")
-    found = find_windows(docs, windows, span, **held)
+    found = written(find_windows(docs, windows, span, **held), "windows-found")  # read twice
     hits = _covered(found).groupBy("doc_id", "text_key").agg(
         F.sum("fresh").alias("n_hit"))
     items = found.select("doc_id", "text_key", F.explode("items").alias("item")).distinct().groupBy(
@@ -125,12 +125,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, **hel
     parts = hits.select("*", F.lit(None).cast("array<string>").alias("items")).unionByName(
         items.withColumn("n_hit", F.lit(None).cast("long")))
     known = written(parts.groupBy("doc_id", "text_key").agg(
-        F.max("n_hit").alias("n_hit"), F.max("items").alias("items")), "contaminated").select(
-        F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "n_hit", "items")
+        F.max("n_hit").alias("n_hit"), F.max("items").alias("items")), "contaminated")
+    discarded(windows, found)
     counts = docs.select(
         F.col("doc_id").cast("long"), F.xxhash64(whole_text()).alias("text_key"),
         F.regexp_count(whole_text(), F.lit(PIECE)).cast("long").alias("n_words"))
     listed = F.coalesce("items", F.array().cast("array<string>"))
+    known = known.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "n_hit", "items")
     return counts.join(
         known, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_key") == F.col("__key")), "left"
     ).select(
