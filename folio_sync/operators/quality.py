@@ -89,6 +89,24 @@ def check_quality(metadata: DataFrame, content: DataFrame) -> DataFrame:
     return out.where(F.col("n_rows") > 0)
 
 
+def broken_groups(df: DataFrame, group: str, key: str, table: str, unique: bool = True) -> DataFrame:
+    """(group, reason) of the groups, such as packages, whose rows break a rule of the table.
+
+    Two aggregates with partial results: keys within a group, then groups."""
+    required = [f.name for f in schemas.TABLES[table] if not f.nullable and f.name in df.columns]
+    limits = {c: n for c, n in schemas.MAX_LENGTH[table].items() if c in df.columns}
+    rules = [(f"{c}_missing", F.col(c).isNull()) for c in required]
+    rules += [(f"{c}_too_long", F.char_length(F.col(c)) > n) for c, n in limits.items()]
+    if unique:
+        rules.append(("duplicate_key", F.col("n_rows") > 1))
+    checked = [c for c in dict.fromkeys([*required, *limits]) if c not in (group, key)]
+    per_key = df.groupBy(group, key).agg(
+        F.count("*").alias("n_rows"), *(F.max_by(c, F.coalesce(F.char_length(F.col(c).cast("string")), F.lit(1 << 30))).alias(c)
+                                        for c in checked))
+    broken = F.array_compact(F.array(*(F.when(F.max(rule), F.lit(name)) for name, rule in rules)))
+    return per_key.groupBy(group).agg(F.array_join(broken, ", ").alias("reason")).where("reason <> ''")
+
+
 def require_clean(df: DataFrame, table: str) -> None:
     """Raise if any row breaks a rule of the table."""
     counts = table_violations(df, table).first().asDict()

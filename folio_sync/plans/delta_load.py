@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from folio_sync.operators.audit import UNREADABLE, read_sidecars
 from folio_sync.operators.enrich import match_listed, split_listed
 from folio_sync.operators.merge import fold_packages, latest_package, newest_per_key
-from folio_sync.operators.quality import require_unique
+from folio_sync.operators.quality import QualityError, broken_groups
 from folio_sync.operators.runs import watermark
 from folio_sync.plans.publish import (
     commit_retractions, publish, replaced_texts, take_updates,
@@ -43,6 +43,9 @@ class Options:
     sticky_retractions: an update does not clear a retraction flag.
     inclusive: also read packages dated on the day of the last run.
     stop_at_failure: fail the run at an unreadable package instead of passing over it.
+    on_invalid: what a package does whose rows break a rule of the tables (a repeated or too long
+        id): `stop` loads the packages before it and fails the run there, `pass_over` leaves it out
+        like an unreadable one and goes on.
     verify_sidecars: check packages against the digest files next to them; a package
         without one is taken as it is.
     """
@@ -53,15 +56,21 @@ class Options:
     sticky_retractions: bool = False
     inclusive: bool = False
     stop_at_failure: bool = False
+    on_invalid: str = "stop"
     verify_sidecars: bool = True
 
 
 @dataclass
 class Outcome:
+    """What became of some packages: `failures` maps those passed over to the reason; `invalid`
+    names the one at which the run has to stop, with everything before it in place."""
+
+    processed: int
     upserted: int
-    failed: int
+    failures: dict[str, str]
     rejects: int
     retracted_ids: DataFrame
+    invalid: str | None = None
 
 
 def apply_packages(
@@ -75,7 +84,8 @@ def apply_packages(
 ) -> Outcome:
     """Merge some packages, oldest first, as one commit.
 
-    The result is that of applying them one after the other. Retracted lines of
+    The result is that of applying them one after the other. Rows are checked per package, so that
+    one with rows that break a rule leaves the others in place. Retracted lines of
     their file lists are not loaded; their ids are returned, also when the archive is
     damaged, but not when it has the wrong digest: then nothing of the package counts.
     A package whose list holds nothing but retracted lines is not unpacked.
@@ -91,10 +101,9 @@ def apply_packages(
     if published is None and options.verify_sidecars:
         published = read_sidecars(spark, sorted({p.location.rsplit("/", 1)[0] for p in packages}))
     staged = stage_archives(spark, materialize(spark, archives, "archives"), published)
-    failed = {row.archive_path for row in staged.failed.select("archive_path").collect()}
-    if failed and options.stop_at_failure:
-        raise PackageFailed(f"Unreadable packages: {sorted(failed)}")
-    done = [p.archive_path for p in packages if p.archive_path not in failed]
+    failures = {row.archive_path: row.reason for row in staged.failed.select("archive_path", "reason").collect()}
+    if failures and options.stop_at_failure:
+        raise PackageFailed(f"Unreadable packages: {sorted(failures)}")
 
     trusted = listed.join(
         staged.failed.where(F.col("reason") != UNREADABLE), "archive_path", "left_anti"
@@ -107,8 +116,27 @@ def apply_packages(
     enriched, unlisted = split_listed(matched)
     if options.on_duplicate == "latest":
         enriched = newest_per_key(enriched, ["archive_path", "pmcid"], ROW[1:])
-    else:
-        require_unique(enriched, ["archive_path", "pmcid"], "a package")
+    broken = {row.archive_path: row.reason for row in broken_groups(
+        enriched.select("archive_path", "pmcid", "doi", "is_retracted"), "archive_path", "pmcid", corpus.METADATA,
+        unique=options.on_duplicate != "latest").collect()}
+    invalid = None
+    if broken:
+        names = [p.archive_path for p in packages]
+        if options.on_invalid == "stop":
+            first = min(map(names.index, broken))
+            invalid = f"{names[first]}: {broken[names[first]]}"
+            left_out = {name: broken.get(name, "not reached") for name in names[first:]}
+        else:
+            left_out = broken
+            failures.update(broken)
+        left_out = spark.createDataFrame(sorted(left_out.items()), "archive_path string, reason string")
+        enriched, unlisted, trusted = (
+            rows.join(left_out.select("archive_path"), "archive_path", "left_anti") for rows in (enriched, unlisted, trusted))
+        staged.rejects = staged.rejects.unionByName(left_out.where("reason <> 'not reached'").select(
+            F.lit("package").alias("stage"), F.col("archive_path").alias("source"),
+            F.lit(None).cast("string").alias("key"), "reason", F.lit(None).cast("string").alias("payload")))
+        packages = packages[:first] if invalid else packages
+    done = [p.archive_path for p in packages if p.archive_path not in failures]
 
     upserted = enriched.count()
     if upserted:
@@ -127,7 +155,7 @@ def apply_packages(
         spark, root, run_id, [list_rejects, staged.rejects, unlisted_rejects(unlisted)]
     )
     return Outcome(
-        upserted, len(failed), rejects, trusted.where("is_retracted").select("pmcid")
+        len(done), upserted, failures, rejects, trusted.where("is_retracted").select("pmcid"), invalid
     )
 
 
@@ -175,10 +203,12 @@ def delta_load(
         for start in range(0, len(packages), step):
             group = packages[start:start + step]
             outcome = apply_packages(spark, root, run_id, group, run_ts, options, published)
-            metrics["archives_processed"] += len(group) - outcome.failed
-            metrics["archives_failed"] += outcome.failed
+            metrics["archives_processed"] += outcome.processed
+            metrics["archives_failed"] += len(outcome.failures)
             metrics["total_articles_upserted"] += outcome.upserted
             metrics["rejects"] = outcome.rejects
+            if outcome.invalid:
+                raise QualityError(f"Rows of a package break rules: {outcome.invalid}")
             daily_ids.append(outcome.retracted_ids)
         if daily_ids:
             ids = daily_ids[0]

@@ -80,6 +80,16 @@ REJECTS = T.StructType([
     T.StructField("payload", T.StringType()),
 ])
 
+# One appended row per attempt of the feed at a package that failed, or no longer does.
+PACKAGE_ATTEMPTS = T.StructType([
+    T.StructField("archive_path", T.StringType(), False),
+    T.StructField("path", T.StringType(), False),
+    T.StructField("run_id", T.LongType(), False),
+    T.StructField("attempts", T.IntegerType(), False),
+    T.StructField("reason", T.StringType()),
+    T.StructField("recorded", T.TimestampType(), False),
+])
+
 TABLES = {
     "articles_metadata": METADATA,
     "articles_content": CONTENT,

@@ -23,7 +23,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +32,7 @@ from folio_sync.operators.quality import validate_schemas
 from folio_sync.operators.runs import fold_history
 
 METADATA, CONTENT, HISTORY = "articles_metadata", "articles_content", "sync_history"
+ATTEMPTS = "package_attempts"
 SUPERSEDED = {METADATA: "superseded_metadata", CONTENT: "superseded_content"}
 VERSION = "v"
 UTC_NAMES = ("UTC", "Etc/UTC", "Z", "GMT", "+00:00")
@@ -150,6 +151,39 @@ def batch_is_finished(spark: SparkSession, root: str, batch_key: str) -> bool:
     return not read_events(spark, root).where(F.col("batch_key") == batch_key).isEmpty()
 
 
+# --- packages of the feed that failed ----------------------------------------
+
+
+def failed_packages(spark: SparkSession, root: str) -> DataFrame:
+    """The packages set aside by the feed, as their last attempt left them."""
+    found = _read_if_present(spark, schemas.PACKAGE_ATTEMPTS, _path(root, ATTEMPTS))
+    if found is None:
+        return schemas.empty(spark, schemas.PACKAGE_ATTEMPTS)
+    values = [c for c in found.columns if c not in ("archive_path", "run_id")]
+    last = found.groupBy("archive_path").agg(
+        F.max("run_id").alias("run_id"), F.max_by(F.struct(*values), "run_id").alias("last"))
+    return last.select("archive_path", "last.path", "run_id", *(f"last.{c}" for c in values[1:])).where(
+        F.col("reason").isNotNull())
+
+
+def record_packages(
+    spark: SparkSession, root: str, run_id: int, packages: list[Row], failures: dict[str, str], now: dt.datetime,
+) -> None:
+    """Count an attempt at each failed package of a run, and clear those that failed before and did not now."""
+    tried = spark.createDataFrame(
+        [(p.archive_path, p.location, failures.get(p.archive_path)) for p in packages],
+        "archive_path string, path string, reason string")
+    before = failed_packages(spark, root).select("archive_path", F.col("attempts").alias("earlier"))
+    rows = tried.join(before, "archive_path", "left").where("reason IS NOT NULL OR earlier IS NOT NULL")
+    attempts = F.when(F.col("reason").isNull(), 0).otherwise(F.coalesce("earlier", F.lit(0)) + 1)
+    # collected before the write: a batch of packages
+    found = rows.select(
+        "archive_path", "path", F.lit(run_id).cast("long").alias("run_id"), attempts.cast("int").alias("attempts"),
+        "reason", F.lit(now).alias("recorded")).collect()
+    if found:
+        spark.createDataFrame(found, schemas.PACKAGE_ATTEMPTS).coalesce(1).write.mode("append").parquet(_path(root, ATTEMPTS))
+
+
 # --- versions ----------------------------------------------------------------
 
 

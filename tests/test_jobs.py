@@ -257,6 +257,25 @@ def test_failed_delta_keeps_committed_packages_and_reruns(site, spark):
     assert titles(spark, root) == {"PMC1": "One v2", "PMC2": "Two", "PMC3": "Three", "PMC4": "Four"}
 
 
+def test_a_package_that_breaks_a_rule_leaves_those_before_it_in_place(site, spark):
+    """In one commit: the packages before it are loaded, it and later ones are not, and the run fails."""
+    tmp_path, root = site
+    drop = tmp_path / "drop"
+    first = write_package(drop, "2024-01-10", {"1.xml": article("PMC1", "One v2")}, [("PMC1", T2, "")])
+    second = write_package(drop, "2024-01-11", {"4.xml": article("PMC4"), "5.xml": article("PMC4")}, [("PMC4", T2, "")])
+    last = write_package(drop, "2024-01-12", {"5.xml": article("PMC5", "Five")}, [("PMC5", T2, "")])
+    with pytest.raises(QualityError, match=second):
+        delta_load(spark, root, str(drop), run_ts=DELTA_TS)
+    assert runs(spark, root)[-1] == ("DELTA", "FAILED", first)
+    assert titles(spark, root) == {"PMC1": "One v2", "PMC2": "Two", "PMC3": "Three"}
+    assert reject_reasons(spark, root) == {(second, "duplicate_key")}
+    delta_load(spark, root, str(drop), options=Options(on_invalid="pass_over"), run_ts=DELTA_TS)
+    assert titles(spark, root) == {"PMC1": "One v2", "PMC2": "Two", "PMC3": "Three", "PMC5": "Five"}
+    assert runs(spark, root)[-1] == ("DELTA", "SUCCESS", last)
+    metrics = corpus.read_history(spark, root).orderBy(F.desc("run_id")).first().metrics
+    assert metrics["archives_processed"] == 2 and metrics["archives_failed"] == 1
+
+
 def test_delta_passes_over_a_broken_package_unless_told_otherwise(site, spark):
     tmp_path, root = site
     drop = tmp_path / "drop"
@@ -406,14 +425,82 @@ def test_feed_waits_for_the_list_and_the_archive(site, spark):
         package_feed(spark, root, str(drop), checkpoint).awaitTermination()
 
     run()
-    assert titles(spark, root)["PMC1"] == "One v1"
+    assert titles(spark, root)["PMC1"] == "One v1" and len(runs(spark, root)) == 1
     (drop / name).write_bytes(archive[: len(archive) // 2])
     listed.write_bytes(lines)
-    with pytest.raises(Exception, match="Unreadable packages"):
-        run()
+    run()
+    assert titles(spark, root)["PMC1"] == "One v1" and reject_reasons(spark, root) == {(name, "unreadable")}
     (drop / name).write_bytes(archive)
     run()
     assert titles(spark, root)["PMC1"] == "One v2"
+    assert corpus.failed_packages(spark, root).isEmpty()
+
+
+def test_feed_goes_on_after_failed_packages(site, spark):
+    """Spoilt, with the wrong digest, and with rows that break a rule: each between good ones, each counted."""
+    tmp_path, root = site
+    drop, checkpoint = tmp_path / "drop", str(tmp_path / "feed")
+    days = [f"2024-01-{d}" for d in range(10, 17)]
+    too_long = "PMC" + "9" * 30
+    names = [write_package(drop, day, {"x.xml": article(f"PMC5{i}", f"Title {i}")}, [(f"PMC5{i}", T2, ""), ("PMC1", T2, "y" if i == 1 else "")])
+             for i, day in enumerate(days)]
+    spoilt, wrong, invalid, twice = names[1], names[2], names[4], names[5]
+    good_archive, list_of = (drop / spoilt).read_bytes(), lambda n: drop / n.replace(".tar.gz", ".filelist.csv")
+    (drop / spoilt).write_bytes(b"spoilt")
+    (drop / f"{wrong}.md5").write_text("MD5 = " + "0" * 32)
+    write_archive(drop / invalid, {"x.xml": article(too_long)})
+    write_list(list_of(invalid), [("x", too_long, "", T2, ""), ("x", "PMC2", "", T2, "y")])
+    write_archive(drop / twice, {"x.xml": article("PMC55"), "y.xml": article("PMC55")})
+
+    def run(**options):
+        package_feed(spark, root, str(drop), checkpoint, packages_per_batch=4, **options).awaitTermination()
+
+    def failed():
+        return {(r.archive_path, r.attempts, r.reason) for r in corpus.failed_packages(spark, root).collect()}
+
+    run()
+    assert set(titles(spark, root)) == {"PMC1", "PMC2", "PMC3", "PMC50", "PMC53", "PMC56"}
+    assert flags(spark, root)["PMC1"] is True and flags(spark, root)["PMC2"] is False  # the spoilt one's list counts
+    reasons = {(spoilt, "unreadable"), (wrong, "mismatch"), (invalid, "pmcid_too_long"), (twice, "duplicate_key")}
+    assert failed() == {(n, 1, why) for n, why in reasons} and reject_reasons(spark, root) == reasons
+    assert all(status == "SUCCESS" for _, status, _ in runs(spark, root))
+    (drop / spoilt).write_bytes(good_archive)
+    run()
+    assert titles(spark, root)["PMC51"] == "Title 1"
+    assert failed() == {(n, 2, why) for n, why in reasons if n != spoilt}
+    run(max_attempts=2)
+    assert {n for _, n, _ in failed()} == {2}
+
+
+def test_feed_runs_on_and_tries_again_by_itself(site, spark):
+    """A query without an end: an archive that never comes, an empty one, and one that is replaced."""
+    import time
+
+    tmp_path, root = site
+    drop = tmp_path / "drop"
+    late = write_package(drop, "2024-01-10", {"x.xml": article("PMC60", "Late")}, [("PMC60", T2, "")])
+    empty = write_package(drop, "2024-01-11", {}, [("PMC61", T2, ""), ("PMC1", T2, "y")])
+    write_package(drop, "2024-01-12", {"x.xml": article("PMC62", "Here")}, [("PMC62", T2, "")])
+    archive = (drop / late).read_bytes()
+    (drop / late).unlink()
+    (drop / empty).write_bytes(b"")
+    query = package_feed(spark, root, str(drop), str(tmp_path / "feed"), packages_per_batch=10, available_now=False,
+                         wait_seconds=3, retry_seconds=0, poll="1 second")
+
+    def until(what, seconds=90):
+        end = time.time() + seconds
+        while not what():
+            assert query.isActive and time.time() < end, query.exception()
+            time.sleep(1)
+
+    try:
+        until(lambda: "PMC62" in titles(spark, root))
+        until(lambda: {r.archive_path for r in corpus.failed_packages(spark, root).collect()} == {late, empty})
+        until(lambda: flags(spark, root)["PMC1"])
+        (drop / late).write_bytes(archive)
+        until(lambda: "PMC60" in titles(spark, root))
+    finally:
+        query.stop()
 
 
 def test_feed_passes_over_packages_older_than_the_full_load(site, spark):

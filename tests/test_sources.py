@@ -82,7 +82,8 @@ def test_packages(tmp_path, spark):
     write_archive(tmp_path / "oa_bulk/oa_comm/xml/oa_comm_xml.PMC000.baseline.tar.gz", {})
     (tmp_path / "oa_bulk/oa_comm/xml/oa_comm_xml.incr.2024-01-13.tar.gz.md5").write_text("x")
     listing = packages.list_archives(spark, str(tmp_path))
-    assert listing.count() == 5
+    assert listing.count() == 4  # an archive without a date in its name is no package, nor is a digest file
+    assert not [r.path for r in listing.collect() if "baseline" in r.path or r.path.endswith(".md5")]
 
     def found(*args, **kwargs):
         return [r.archive_path for r in packages.find_packages(listing, *args, **kwargs).collect()]
@@ -127,8 +128,11 @@ def test_archive_members(tmp_path, spark):
     assert rows(members.where("archive_path = 'a' and member_name is not null"), "member_name", "xml") == {
         ("d/1.xml", "one"), ("2.NXML", "zwei ä"), ("5.Xml", "five\nx"),
         ("6.xml", '<?xml version="1.0" encoding="ISO-8859-1"?>ä'), ("7.xml", "utf sixteen ä"),
-        ("8.xml", "bad \ufffd byte"), ("9.xml", '<?xml encoding="nonsense"?>x'),
+        ("8.xml", None), ("9.xml", '<?xml encoding="nonsense"?>x'),
     }
+    # bytes that are no UTF-8 are not replaced: the member is a reject of its own
+    assert rows(members.where("member_error is not null"), "archive_path", "member_name") == {("a", "8.xml")}
+    assert "UnicodeDecodeError" in members.where("member_name = '8.xml'").first().member_error
     status = {r.archive_path: r for r in archives.archive_status(members).collect()}
     assert len(status) == 6 and status["a"].archive_md5 == digest and status["a"].archive_error is None
     assert all(status[n].archive_error for n in ("cut", "tail", "text", "none", "absent"))
