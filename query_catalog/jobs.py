@@ -9,22 +9,31 @@ import tarfile
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from folio_sync.functions.names import resolve
+from folio_sync.functions.names import package_day, resolve
+from folio_sync.operators.audit import audit_archives, read_sidecars
+from folio_sync.operators.quality import QualityError
 from folio_sync.plans.delta_load import delta_load
 from folio_sync.plans.full_load import full_load
 from folio_sync.plans.publish import (
     append_articles, commit_retractions, replace_articles, upsert_articles,
 )
+from folio_sync.plans.staging import materialize
 from folio_sync.session import scratch_path
 from folio_sync.sources import corpus
-from folio_sync.sources.archives import expand_archives
+from folio_sync.sources.archives import archive_status, expand_archives, open_stream
 from folio_sync.sources.manifest import articles_per_archive
+from folio_sync.sources.packages import find_packages, list_archives
 from folio_sync.streaming.package_feed import package_feed
 from query_catalog.common import clock, escape_xml, pmcid, seconds, table, time_text
 
 FULL_TS, DELTA_TS = dt.datetime(2024, 1, 5), dt.datetime(2024, 2, 5)
 
 
+def spark_tasks(spark) -> int:
+    """Parts for a table of unknown size that is written by hand: one per core."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _store_file(target: str, data: bytes) -> None:
     import pyarrow.fs as pafs
 
@@ -98,7 +107,7 @@ def _loaded_corpus(spark, sf_dir):
         "doc_id", pmcid("doc_id").alias("pmcid"), "n_chars",
         _jats(pmcid("doc_id"), F.col("source"), F.col("text")).alias("xml"),
     )
-    spread = documents.repartition(8, "doc_id")
+    spread = documents.repartition(spark_tasks(spark), "doc_id")
     written = write_archives(spread, base, lambda task, batch: f"oa/{task:05d}-{batch:05d}.tar.gz")
     labels = table(spark, sf_dir, "labels").select(
         pmcid("doc_id").alias("pmcid"), F.when(F.col("toxic") == 1, "true").alias("retracted")
@@ -115,14 +124,14 @@ def _loaded_corpus(spark, sf_dir):
 def archive_members(spark, sf_dir):
     """Every document packed into an archive and unpacked again."""
     base = scratch_path(spark, "site")
-    documents = table(spark, sf_dir, "documents").repartition(8, "doc_id").select(
+    documents = table(spark, sf_dir, "documents").repartition(spark_tasks(spark), "doc_id").select(
         pmcid("doc_id").alias("pmcid"), _jats(pmcid("doc_id"), F.col("source"), F.col("text")).alias("xml")
     )
     written = write_archives(documents, base, lambda task, batch: f"{task}/{batch}.tar.gz")
     archives = articles_per_archive(written).select(
         F.col("file_path").alias("archive_path"), resolve(F.col("file_path"), base).alias("location")
     )
-    members = expand_archives(archives, tasks=8).where("member_name IS NOT NULL")
+    members = expand_archives(archives, tasks=spark_tasks(spark)).where("member_name IS NOT NULL")
     return members.select(
         "member_name", F.md5("xml").alias("xml_md5"), F.length("xml").cast("bigint").alias("n_chars")
     )
@@ -192,7 +201,7 @@ def _write_packages(spark, sf_dir, drop: str) -> None:
         ("oa_other", "2024-01-10", pages),
     ):
         write_archives(
-            rows.repartition(2, "pmcid"), f"{drop}/oa_bulk/{area}/xml",
+            rows.repartition(max(2, spark_tasks(spark) // 4), "pmcid"), f"{drop}/oa_bulk/{area}/xml",
             lambda task, batch, area=area, day=day: f"{area}_xml.{task}-{batch}.incr.{day}.tar.gz",
             file_lists=True,
         )
@@ -254,9 +263,21 @@ FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
 
 
 def package_feed_state(spark, sf_dir):
-    root, drop = _loaded_corpus(spark, sf_dir), scratch_path(spark, "drop")
+    """All packages by the feed. One archive is spoilt between good ones: the feed goes on, and the
+    next start loads it, after it was replaced."""
+    root, drop, checkpoint = _loaded_corpus(spark, sf_dir), scratch_path(spark, "drop"), scratch_path(spark, "feed")
     _write_packages(spark, sf_dir, drop)
-    package_feed(spark, root, drop, scratch_path(spark, "feed"), packages_per_batch=3).awaitTermination()
+    names = [row.location for row in find_packages(list_archives(spark, drop)).collect()]
+    spoilt = names[len(names) // 2]
+    with open_stream(spoilt) as stream:
+        archive = stream.read()
+    _store_file(spoilt, b"spoilt")
+    package_feed(spark, root, drop, checkpoint, packages_per_batch=3).awaitTermination()
+    failed = [(row.archive_path, row.attempts, row.reason) for row in corpus.failed_packages(spark, root).collect()]
+    if [(spoilt.endswith(name), attempts, reason) for name, attempts, reason in failed] != [(True, 1, "unreadable")]:
+        raise RuntimeError(f"The feed set aside {failed}, not {spoilt}")
+    _store_file(spoilt, archive)
+    package_feed(spark, root, drop, checkpoint, packages_per_batch=3).awaitTermination()
     return _state(spark, root)
 
 
@@ -341,7 +362,89 @@ SELECT 'PMC' || page_id AS pmcid, url AS title, false AS is_retracted, CAST(NULL
        md5(html) AS body_md5, CAST(35 * 86400 AS BIGINT) AS synced FROM pages"""
 
 
+def run_state(spark, sf_dir):
+    """A delta load that has to stop: new versions on the 8th, a package of retracted lines alone on
+    the 9th, which moves the marker, one with a repeated id on the 10th, and a good one behind it.
+    With the corpus come the run's state and the day of its marker."""
+    root, drop = _loaded_corpus(spark, sf_dir), scratch_path(spark, "drop")
+    labelled = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id").select(
+        pmcid("doc_id").alias("pmcid"), "quality", time_text(clock(F.col("n_chars") * 2)).alias("updated"),
+        F.lit(None).cast("string").alias("retracted"),
+        _jats(pmcid("doc_id"), F.lit("version 2"), F.concat("lang", F.lit(" "), "text")).alias("xml"),
+    )
+    bad, first = labelled.where("quality = 1"), labelled.where("quality = 0")
+    for day, rows in (
+        ("2024-01-08", first), ("2024-01-09", bad.withColumn("retracted", F.lit("yes"))),
+        ("2024-01-10", bad.unionByName(bad)), ("2024-01-11", bad),
+    ):
+        write_archives(
+            rows.repartition(spark_tasks(spark), "pmcid"), f"{drop}/oa_bulk/oa_comm/xml",
+            lambda task, batch, day=day: f"oa_comm_xml.{task}-{batch}.incr.{day}.tar.gz", file_lists=True,
+        )
+    try:
+        delta_load(spark, root, drop, run_ts=DELTA_TS)
+    except QualityError:
+        pass
+    run = corpus.read_history(spark, root).orderBy(F.desc("run_id")).first()
+    return _state(spark, root).withColumns({
+        "status": F.lit(run.status), "marker_day": package_day(F.lit(run.last_file_processed)).cast("string"),
+        "upserted": F.lit(run.metrics["total_articles_upserted"]),
+    })
+
+
+RUN_STATE = f"""
+SELECT 'PMC' || d.doc_id AS pmcid, CASE WHEN quality = 0 AND n_chars > 0 THEN 'version 2' ELSE source END AS title,
+       CASE WHEN quality = 0 AND n_chars > 0 THEN false ELSE coalesce(toxic = 1, false) END AS is_retracted,
+       CASE WHEN quality = 0 THEN n_chars * 2 ELSE n_chars END AS updated,
+       md5({_BODY.format("CASE WHEN quality = 0 THEN lang || ' ' || text ELSE text END")}) AS body_md5,
+       'FAILED' AS status, '2024-01-09' AS marker_day,
+       (SELECT count(*) FROM documents JOIN labels USING (doc_id) WHERE quality = 0) AS upserted
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
+
+
+def archive_audit(spark, sf_dir):
+    """Archives of documents with the digest files next to them: right, wrong, without a digest and absent.
+
+    Every document is given with the verdict on the bytes of its archive."""
+    base = scratch_path(spark, "site")
+    documents = table(spark, sf_dir, "documents").select(
+        pmcid("doc_id").alias("pmcid"), "lang", _jats(pmcid("doc_id"), F.col("source"), F.col("text")).alias("xml"))
+    written = None
+    for lang in ("en", "fr", "de", "es"):
+        part = write_archives(
+            documents.where(F.col("lang") == lang).repartition(spark_tasks(spark), "pmcid"), base,
+            lambda task, batch, lang=lang: f"{lang}/{task}-{batch}.tar.gz")
+        written = part if written is None else written.unionByName(part)
+    archives = articles_per_archive(written).select(
+        F.col("file_path").alias("archive_path"), resolve(F.col("file_path"), base).alias("location"))
+    status = materialize(
+        spark, archive_status(expand_archives(archives, tasks=spark_tasks(spark))), "archive-status")
+    lang = F.substring_index("archive_path", "/", 1)
+    text = F.when(lang == "en", F.concat(F.lit("MD5 (a) = "), "archive_md5")).when(
+        lang == "fr", F.concat(F.lit("MD5 (a) = "), F.md5("archive_md5"))).when(lang == "de", F.lit("none"))
+
+    def store(rows):
+        for batch in rows:
+            for row in batch.to_pylist():
+                _store_file(f"{base}/{row['archive_path']}.md5", row["text"].encode())
+            yield batch.select(["archive_path"])
+
+    status.select("archive_path", text.alias("text")).where("text IS NOT NULL").mapInArrow(
+        store, "archive_path string").write.format("noop").mode("overwrite").save()
+    audited = audit_archives(status, read_sidecars(spark, [base], base=base))
+    return written.withColumnRenamed("file_path", "archive_path").join(audited, "archive_path").select(
+        "pmcid", "status", F.col("archive_error").isNull().alias("readable"))
+
+
+ARCHIVE_AUDIT = """
+SELECT 'PMC' || doc_id AS pmcid, CASE lang WHEN 'en' THEN 'verified' WHEN 'fr' THEN 'mismatch'
+       WHEN 'de' THEN 'unparsable' ELSE 'unverified' END AS status, true AS readable
+FROM documents WHERE lang IN ('en', 'fr', 'de', 'es')"""
+
+
 CATALOG = {
+    "run_state": (run_state, RUN_STATE),
+    "archive_audit": (archive_audit, ARCHIVE_AUDIT),
     "replace_existing": (replace_existing, REPLACE_EXISTING),
     "archive_members": (archive_members, ARCHIVE_MEMBERS),
     "corpus_changes_state": (corpus_changes_state, CORPUS_CHANGES_STATE),
