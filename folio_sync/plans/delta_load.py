@@ -141,13 +141,14 @@ def apply_packages(
     upserted = enriched.count()
     if upserted:
         stamped = fold_packages(enriched).withColumn("sync_timestamp", F.lit(run_ts))
-        taken, old = take_updates(spark, root, stamped, options.sticky_retractions)
+        versions = corpus.live_versions(spark, root)
+        taken, old = take_updates(spark, root, stamped, options.sticky_retractions, versions)
         texts = taken if options.guard_content else materialize(
             spark, latest_package(enriched.select("pmcid", *ROW, "package_order")), "latest"
         )
         publish(
             spark, root, run_id, "append", taken, texts_of(staged, spark, texts), old,
-            replaced_texts(spark, root, texts), last_file=done[-1],
+            replaced_texts(spark, root, texts, versions), done[-1], versions,
         )
     elif done:
         corpus.update_run_state(spark, root, run_id, done[-1])

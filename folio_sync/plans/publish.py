@@ -29,17 +29,21 @@ def publish(
     run_id: int,
     kind: str,
     metadata: DataFrame,
-    content: DataFrame,
+    content: DataFrame | None,
     old_metadata: DataFrame | None = None,
     old_content: DataFrame | None = None,
     last_file: str | None = None,
+    based_on: list[int] | None = None,
 ) -> int:
-    """Write one version of both tables with the keys it replaces, then commit it."""
+    """Write one version of both tables with the keys it replaces, then commit it.
+
+    `based_on` are the live versions from which the rows were computed."""
     require_clean(metadata.select(*CHECKED), corpus.METADATA)
-    version = corpus.next_version(spark, root)
+    version = corpus.next_version()
     corpus.write_version(spark, root, corpus.METADATA, version, metadata, old_metadata)
-    corpus.write_version(spark, root, corpus.CONTENT, version, content, old_content)
-    corpus.commit(spark, root, run_id, version, kind, last_file)
+    if content is not None:
+        corpus.write_version(spark, root, corpus.CONTENT, version, content, old_content)
+    corpus.commit(spark, root, run_id, version, kind, last_file, based_on)
     return version
 
 
@@ -67,26 +71,31 @@ def append_articles(
     spark: SparkSession, root: str, run_id: int, metadata: DataFrame, content: DataFrame
 ) -> int:
     """Add new articles; a key that is already present is an error."""
-    known = corpus.read_table(spark, root, corpus.METADATA).select("pmcid")
+    versions = corpus.live_versions(spark, root)
+    known = corpus.read_table(
+        spark, root, corpus.METADATA, versions, corpus.touched_buckets(spark, root, metadata)).select("pmcid")
     _require_pairs(metadata, content, known)
     clash = superseded_rows(known, metadata).limit(5).collect()
     if clash:
         raise QualityError(f"Articles already present: {sorted(r.pmcid for r in clash)}")
-    return publish(spark, root, run_id, "append", metadata, content)
+    return publish(spark, root, run_id, "append", metadata, content, based_on=versions)
 
 
 def take_updates(
-    spark: SparkSession, root: str, staged: DataFrame, sticky_retractions: bool = False
+    spark: SparkSession, root: str, staged: DataFrame, sticky_retractions: bool = False,
+    versions: list[int] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(staged rows the guard admits, the live rows they replace), both written.
 
-    The table is scanned once, for narrow columns, and reduced to the staged keys.
+    Of the table the buckets of the staged keys are scanned once, for narrow columns, and reduced
+    to these keys.
     """
     staged = materialize(spark, staged, "staged")
     touched = materialize(
         spark,
         superseded_rows(
-            corpus.read_table(spark, root, corpus.METADATA).select(
+            corpus.read_table(
+                spark, root, corpus.METADATA, versions, corpus.touched_buckets(spark, root, staged)).select(
                 "pmcid", "source_last_updated", "is_retracted", corpus.VERSION
             ),
             staged,
@@ -103,9 +112,12 @@ def take_updates(
     return taken, superseded_rows(touched, taken)
 
 
-def replaced_texts(spark: SparkSession, root: str, texts: DataFrame) -> DataFrame:
-    """Keys of the live texts that these replace."""
-    live = corpus.read_table(spark, root, corpus.CONTENT).select("pmcid", corpus.VERSION)
+def replaced_texts(
+    spark: SparkSession, root: str, texts: DataFrame, versions: list[int] | None = None
+) -> DataFrame:
+    """Keys of the live texts that these replace, from the buckets that can hold them."""
+    live = corpus.read_table(
+        spark, root, corpus.CONTENT, versions, corpus.touched_buckets(spark, root, texts)).select("pmcid", corpus.VERSION)
     return superseded_rows(live, texts)
 
 
@@ -123,13 +135,15 @@ def upsert_articles(
 
     Metadata is replaced where it is newer, texts always unless `guard_content`.
     """
-    _require_pairs(metadata, content, corpus.read_table(spark, root, corpus.METADATA))
-    taken, old = take_updates(spark, root, metadata, sticky_retractions)
+    versions = corpus.live_versions(spark, root)
+    known = corpus.read_table(spark, root, corpus.METADATA, versions, corpus.touched_buckets(spark, root, content))
+    _require_pairs(metadata, content, known)
+    taken, old = take_updates(spark, root, metadata, sticky_retractions, versions)
     if guard_content:
         content = content.join(taken.select("pmcid"), "pmcid", "left_semi")
     return publish(
         spark, root, run_id, "append", taken, content, old,
-        replaced_texts(spark, root, content.select("pmcid")), last_file,
+        replaced_texts(spark, root, content.select("pmcid"), versions), last_file, versions,
     )
 
 
@@ -138,22 +152,24 @@ def commit_retractions(
 ) -> int:
     """Flag the listed articles as one commit and return how many changed.
 
-    The ids are matched against the flag column alone; only the files that hold a hit
-    are then read in full.
+    The ids are matched against the flag column alone, in their buckets; only the versions and
+    buckets that hold a hit are then read in full.
     """
-    current = corpus.read_table(spark, root, corpus.METADATA, with_file=True)
+    ids = materialize(spark, ids.select("pmcid"), "retracted")
+    buckets, versions = corpus.touched_buckets(spark, root, ids), corpus.live_versions(spark, root)
+    current = corpus.read_table(spark, root, corpus.METADATA, versions, buckets)
     hits = materialize(
         spark,
-        retraction_hits(current.select("pmcid", "is_retracted", corpus.VERSION, "file"), ids)
-        .select("pmcid", corpus.VERSION, "file"),
+        retraction_hits(current.select("pmcid", "is_retracted", corpus.VERSION), ids).select("pmcid", corpus.VERSION),
         "hits",
     )
     changed = hits.count()
     if changed:
-        files = [row.file for row in hits.select("file").distinct().collect()]
-        hits = hits.drop("file")
-        rows = corpus.read_table(spark, root, corpus.METADATA, files=files).join(hits, ["pmcid", corpus.VERSION], "left_semi").withColumns({
+        holding = [row[0] for row in hits.select(corpus.VERSION).distinct().collect()]  # some of the live versions
+        found = corpus.read_table(
+            spark, root, corpus.METADATA, versions, corpus.touched_buckets(spark, root, hits), holding)
+        rows = found.join(hits, ["pmcid", corpus.VERSION], "left_semi").drop(corpus.VERSION).withColumns({
             "is_retracted": F.lit(True), "sync_timestamp": F.lit(run_ts),
         })
-        publish(spark, root, run_id, "append", rows, schemas.empty(spark, schemas.CONTENT), hits)
+        publish(spark, root, run_id, "append", rows, None, hits, based_on=versions)
     return changed

@@ -3,11 +3,12 @@
 Parquet has no MERGE and a table cannot be overwritten while it is read, so a
 change is written as a new version next to the old ones:
 
-    <root>/articles_metadata/v=<n>/     rows added or replaced by version n
-    <root>/articles_content/v=<n>/
+    <root>/articles_metadata/v=<n>/bucket=<b>/   rows added or replaced by version n
+    <root>/articles_content/v=<n>/bucket=<b>/
     <root>/superseded_metadata/v=<n>/   (pmcid, old_version) of rows n replaces
     <root>/superseded_content/v=<n>/
     <root>/sync_history/                one row per change of a run
+    <root>/layout/                      the number of buckets, fixed when the corpus is made
 
 A history row with a commit number publishes version n, with the run's state, in
 one file written last; files of a run that died before it are never read. A commit
@@ -15,15 +16,25 @@ of kind `replace` hides all earlier versions. The work of a delta load is thus i
 proportion to the delta and not to the corpus, and reading is a scan of the live
 versions without the superseded keys. `compact` folds them again.
 
-There is one writer at a time, as with any table that has no lock.
+All tables are bucketed by `pmcid` with one count, as Spark's own bucketed tables, and the bucket
+is a partition column as well. Rows and the keys that replace them lie in the same buckets, so
+reading joins them without an exchange, however many keys there are; and a merge or a retraction
+scans only the buckets that hold its keys. Texts are moved once, when they are written.
+
+There is one writer at a time. Version numbers are never given twice, so a second writer
+overwrites nothing, and a change that was computed from versions that are no longer the live ones
+is refused when it is to be published.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import functools
+import hashlib
+import time
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,9 +45,16 @@ from folio_sync.operators.runs import fold_history
 METADATA, CONTENT, HISTORY = "articles_metadata", "articles_content", "sync_history"
 ATTEMPTS = "package_attempts"
 SUPERSEDED = {METADATA: "superseded_metadata", CONTENT: "superseded_content"}
-VERSION = "v"
+VERSION, BUCKET = "v", "bucket"
+LAYOUT = "layout"
+MANAGE_PARTITIONS = "spark.sql.hive.manageFilesourcePartitions"
 UTC_NAMES = ("UTC", "Etc/UTC", "Z", "GMT", "+00:00")
 
+
+class ConcurrentWrite(RuntimeError):
+    """Another writer has published a version since this change was computed."""
+
+
 # Point lookups by id skip row groups through Bloom filters; rows sorted by date
 # let the row groups' minimum and maximum serve date ranges.
 BLOOM = {
@@ -68,15 +86,19 @@ def _stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
         return None
 
 
-def initialize(spark: SparkSession, root: str) -> None:
-    """Create the empty tables; existing ones stay as they are."""
+def initialize(spark: SparkSession, root: str, buckets: int | None = None) -> None:
+    """Create the empty tables; existing ones stay as they are.
+
+    `buckets` is the number of parts in which the tables are written, read and merged, by default one
+    per core and 8 at least. It is fixed from then on: choose it for the size the corpus will have."""
+    layout = _path(root, LAYOUT)
+    if _stored_schema(spark, layout) is None:
+        buckets = buckets or max(8, spark.sparkContext.defaultParallelism)
+        spark.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.mode("overwrite").parquet(layout)
     for table in (METADATA, CONTENT):
         if _stored_schema(spark, _path(root, table)) is None:
             empty = schemas.empty(spark, schemas.TABLES[table])
-            empty.write.mode("overwrite").parquet(_path(root, table, 0))
-            schemas.empty(spark, schemas.SUPERSEDED).write.mode("overwrite").parquet(
-                _path(root, SUPERSEDED[table], 0)
-            )
+            empty.write.mode("overwrite").parquet(f"{_path(root, table, 0)}/{BUCKET}=0")
     if _stored_schema(spark, _path(root, HISTORY)) is None:
         schemas.empty(spark, schemas.HISTORY_EVENTS).write.mode("overwrite").parquet(
             _path(root, HISTORY)
@@ -107,10 +129,19 @@ def read_history(spark: SparkSession, root: str) -> DataFrame:
     return schemas.conform(fold_history(events), schemas.HISTORY)
 
 
+_last_moment = 0
+
+
+def _moment() -> int:
+    """Microseconds since 1970, each given once: orders events and names versions without a read."""
+    global _last_moment
+    _last_moment = max(time.time_ns() // 1000, _last_moment + 1)
+    return _last_moment
+
+
 def _append_event(spark: SparkSession, root: str, **values) -> None:
-    last = read_events(spark, root).agg(F.max("event_seq")).first()[0] or 0
     row = {f.name: values.get(f.name) for f in schemas.HISTORY_EVENTS}
-    row["event_seq"] = last + 1
+    row["event_seq"] = _moment()
     spark.createDataFrame([row], schemas.HISTORY_EVENTS).coalesce(1).write.mode("append").parquet(
         _path(root, HISTORY)
     )
@@ -187,8 +218,9 @@ def record_packages(
 # --- versions ----------------------------------------------------------------
 
 
-def next_version(spark: SparkSession, root: str) -> int:
-    return (read_events(spark, root).agg(F.max("commit_version")).first()[0] or 0) + 1
+def next_version() -> int:
+    """A number no other version has."""
+    return _moment()
 
 
 def live_versions(spark: SparkSession, root: str) -> list[int]:
@@ -196,8 +228,8 @@ def live_versions(spark: SparkSession, root: str) -> list[int]:
     commits = (
         read_events(spark, root)
         .where(F.col("commit_version").isNotNull())
-        .select("commit_version", "commit_kind")
-        .orderBy("commit_version")
+        .select("commit_version", "commit_kind", "event_seq")
+        .orderBy("event_seq")
         .collect()
     )
     versions: list[int] = []
@@ -210,44 +242,92 @@ def live_versions(spark: SparkSession, root: str) -> list[int]:
 
 def commit(
     spark: SparkSession, root: str, run_id: int, version: int, kind: str = "append",
-    last_file: str | None = None,
+    last_file: str | None = None, based_on: list[int] | None = None,
 ) -> None:
-    """Publish a version and the run's marker together."""
+    """Publish a version and the run's marker together.
+
+    With `based_on`, the live versions the change was computed from, it is refused if these
+    are no longer the live ones."""
+    if based_on is not None and live_versions(spark, root) != based_on:
+        raise ConcurrentWrite(f"Version {version} goes back to versions that are no longer the live ones")
     _append_event(
         spark, root, run_id=run_id, commit_version=version, commit_kind=kind,
         last_file_processed=last_file,
     )
 
 
-def _live_paths(root: str, table: str, versions: list[int]) -> list[str]:
-    return [_path(root, table, version) for version in versions] or [_path(root, table, 0)]
+@functools.cache
+def _buckets(application_id: str, root: str) -> int:
+    return SparkSession.active().read.parquet(_path(root, LAYOUT)).first().buckets
+
+
+def bucket_count(spark: SparkSession, root: str) -> int:
+    return _buckets(spark.sparkContext.applicationId, root)
+
+
+def bucket_of(spark: SparkSession, root: str, key: Column) -> Column:
+    """The bucket of a key: the rule by which Spark itself assigns rows to buckets."""
+    return F.pmod(F.hash(key), F.lit(bucket_count(spark, root))).cast("int")
+
+
+def touched_buckets(spark: SparkSession, root: str, keys: DataFrame) -> list[int]:
+    """The buckets that hold the keys of a DataFrame with `pmcid`; at most as many as there are."""
+    found = keys.select(bucket_of(spark, root, F.col("pmcid")).alias(BUCKET)).distinct().collect()
+    return sorted(row.bucket for row in found)
+
+
+def _registered(spark: SparkSession, root: str, table: str) -> str:
+    """The name under which the session's catalog knows a table's folder as a bucketed table."""
+    name = f"folio_{hashlib.md5(root.encode(), usedforsecurity=False).hexdigest()}_{table}"
+    if spark.catalog.tableExists(name):
+        spark.catalog.refreshTable(name)  # another session may have written
+        return name
+    is_rows = table in SUPERSEDED
+    fields = [*(schemas.TABLES[table] if is_rows else schemas.SUPERSEDED), T.StructField(VERSION, T.LongType())]
+    parts = [VERSION]
+    if is_rows:
+        fields.append(T.StructField(BUCKET, T.IntegerType()))
+        parts.append(BUCKET)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    options = ", ".join(f"'parquet.bloom.filter.enabled#{c}' 'true'" for c in BLOOM.get(table, ("pmcid",)))
+    order = " SORTED BY (publication_date)" if table == METADATA else ""
+    location = _path(root, table).replace("\\", "\\\\").replace("'", "\\'")
+    # folders are found by listing, so that other sessions' versions and copies of a corpus are read
+    before = spark.conf.get(MANAGE_PARTITIONS)
+    spark.conf.set(MANAGE_PARTITIONS, "false")
+    try:
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet OPTIONS ({options}) "
+            f"PARTITIONED BY ({', '.join(parts)}) CLUSTERED BY (pmcid){order} INTO {bucket_count(spark, root)} BUCKETS "
+            f"LOCATION '{location}'")
+    finally:
+        spark.conf.set(MANAGE_PARTITIONS, before)
+    return name
 
 
 def read_table(
     spark: SparkSession, root: str, table: str, versions: list[int] | None = None,
-    with_file: bool = False, files: list[str] | None = None,
+    buckets: list[int] | None = None, of_versions: list[int] | None = None,
 ) -> DataFrame:
     """The live rows of a corpus table with the version `v` each comes from.
 
-    `with_file` adds the path of a row's file as `file`; with `files` no others are read."""
+    With `buckets` no others are read, with `of_versions` no rows of others; the conditions prune
+    folders. The replaced rows are taken out bucket by bucket, without an exchange."""
     versions = live_versions(spark, root) if versions is None else versions
-    schema = T.StructType(schemas.TABLES[table].fields + [T.StructField(VERSION, T.LongType())])
-    rows = spark.read.schema(schema).option("basePath", _path(root, table)).parquet(
-        *_live_paths(root, table, versions)
-    )
-    if files is not None:
-        rows = rows.where(F.col("_metadata.file_path").isin(files))
-    if with_file:
-        rows = rows.withColumn("file", F.col("_metadata.file_path"))
+    wanted = versions if of_versions is None else [v for v in versions if v in set(of_versions)]
+    if not wanted:
+        return schemas.empty(spark, T.StructType(schemas.TABLES[table].fields + [T.StructField(VERSION, T.LongType())]))
+    rows = spark.table(_registered(spark, root, table)).where(F.col(VERSION).isin(wanted))
+    if buckets is not None and len(buckets) < bucket_count(spark, root):
+        rows = rows.where(F.col(BUCKET).isin(buckets))
+    rows = rows.drop(BUCKET)
     if len(versions) < 2:  # nothing can be superseded
         return rows
-    old = spark.read.schema(schemas.SUPERSEDED).parquet(
-        *_live_paths(root, SUPERSEDED[table], versions)
-    ).select(F.col("pmcid").alias("old_pmcid"), "old_version")
-    return rows.join(
-        old, (F.col("pmcid") == F.col("old_pmcid")) & (F.col(VERSION) == F.col("old_version")),
-        "left_anti",
-    )
+    old = spark.table(_registered(spark, root, SUPERSEDED[table])).where(F.col(VERSION).isin(versions)).select(
+        F.col("pmcid").alias("old_pmcid"), "old_version")
+    # the versions are compared beside the join's key, which is the key of the buckets alone
+    same_version = F.col(VERSION) - F.col("old_version") == 0
+    return rows.join(old.hint("shuffle_hash"), (F.col("pmcid") == F.col("old_pmcid")) & same_version, "left_anti")
 
 
 def read_metadata(spark: SparkSession, root: str) -> DataFrame:
@@ -266,24 +346,22 @@ def write_version(
 
     `superseded` has the columns `pmcid` and `v`.
     """
-    rows = schemas.conform(rows, schemas.TABLES[table])
-    if table == METADATA:
-        rows = rows.sortWithinPartitions("publication_date")
-    writer = rows.write.mode("overwrite")
-    for column in BLOOM[table]:
-        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
-    writer.parquet(_path(root, table, version))
-    if superseded is None:
-        old = schemas.empty(spark, schemas.SUPERSEDED)
-    else:
-        old = superseded.select("pmcid", F.col(VERSION).alias("old_version"))
-    old.write.mode("overwrite").parquet(_path(root, SUPERSEDED[table], version))
+    count = bucket_count(spark, root)
+    conformed = schemas.conform(rows, schemas.TABLES[table])
+    names = [f.name for f in schemas.TABLES[table]]
+    conformed.repartition(count, "pmcid").select(
+        *names, F.lit(version).cast("long").alias(VERSION), bucket_of(spark, root, F.col("pmcid")).alias(BUCKET),
+    ).write.insertInto(_registered(spark, root, table))
+    if superseded is not None:
+        superseded.select("pmcid", F.col(VERSION).alias("old_version")).repartition(count, "pmcid").select(
+            "pmcid", "old_version", F.lit(version).cast("long").alias(VERSION),
+        ).write.insertInto(_registered(spark, root, SUPERSEDED[table]))
 
 
 def compact(spark: SparkSession, root: str, run_id: int) -> int:
     """Rewrite the live rows as one version, so that reading needs no superseded keys."""
-    versions, version = live_versions(spark, root), next_version(spark, root)
+    versions, version = live_versions(spark, root), next_version()
     for table in (METADATA, CONTENT):
-        write_version(spark, root, table, version, read_table(spark, root, table, versions))
-    commit(spark, root, run_id, version, kind="replace")
+        write_version(spark, root, table, version, read_table(spark, root, table, versions).drop(VERSION))
+    commit(spark, root, run_id, version, kind="replace", based_on=versions)
     return version

@@ -183,6 +183,9 @@ def test_versions_are_invisible_until_committed(tmp_path, spark):
     corpus.commit(spark, root, run, 2, last_file="f")
     assert {r.pmcid: r.title for r in corpus.read_metadata(spark, root).collect()} == {"P1": "new", "P2": "T", "P3": "T"}
     assert corpus.read_history(spark, root).first().last_file_processed == "f"
+    with pytest.raises(corpus.ConcurrentWrite):  # computed before version 2 was published
+        corpus.commit(spark, root, run, corpus.next_version(), based_on=[1])
+    assert corpus.live_versions(spark, root) == [1, 2]
     found = report.lookup(corpus.read_metadata(spark, root), pmid=7, doi="10.1/x", published_from=dt.date(2024, 1, 2), published_until=dt.date(2024, 1, 2))
     assert found.count() == 3
     assert report.lookup(corpus.read_metadata(spark, root), published_from=dt.date(2024, 1, 3)).isEmpty()
@@ -202,3 +205,39 @@ def test_corpus_report(spark):
     content = spark.createDataFrame([("P1", "x", "y"), ("P2", "x", None)], schemas.CONTENT)
     row = report.corpus_report(metadata, content).first().asDict()
     assert row == dict(n_articles=2, n_retracted=1, n_with_pmid=1, n_with_doi=2, n_with_source_time=2, n_contributors=2, n_contents=2, n_with_body=1)
+
+
+def test_buckets_serve_merges_and_reads(tmp_path, spark):
+    """Without any broadcast: texts are read without an exchange, merges scan the buckets of their keys alone."""
+    root = str(tmp_path)
+    corpus.initialize(spark, root, buckets=16)
+    run = corpus.start_run(spark, root, "TEST", TS)
+
+    def pair(numbers, title):
+        rows = [metadata_row(f"P{i}", title=title, source_last_updated=TS + dt.timedelta(days=len(title))) for i in numbers]
+        texts = [(f"P{i}", "<x/>", title) for i in numbers]
+        return spark.createDataFrame(rows, schemas.METADATA), spark.createDataFrame(texts, schemas.CONTENT)
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        publish.replace_articles(spark, root, run, *pair(range(200), "a"))
+        publish.upsert_articles(spark, root, run, *pair((3, 7, 500), "bb"))
+        content = corpus.read_content(spark, root)
+        plan = content._jdf.queryExecution().executedPlan().toString()
+        assert "raw_jats_xml" in plan and "Exchange" not in plan and "ShuffledHashJoin" in plan
+        assert content.count() == 201 and content.where("body_text = 'bb'").count() == 3
+        assert content.rdd.getNumPartitions() == 16
+        keys = spark.createDataFrame([("P3",), ("P7",)], "pmcid string")
+        touched = corpus.touched_buckets(spark, root, keys)
+        assert 1 <= len(touched) <= 2
+        live = corpus.read_table(spark, root, corpus.METADATA, buckets=touched)
+        plan = live._jdf.queryExecution().executedPlan().toString()
+        assert "bucket" in plan.split("PartitionFilters: ")[1].split("]")[0]
+        keys_there = {r.pmcid for r in live.collect()}
+        assert {"P3", "P7"} <= keys_there and len(keys_there) < 60
+        assert publish.commit_retractions(spark, root, run, keys, TS) == 2
+        assert corpus.read_metadata(spark, root).where("is_retracted").count() == 2
+        assert corpus.read_metadata(spark, root).count() == 201
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
