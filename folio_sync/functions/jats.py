@@ -26,7 +26,7 @@ NO_JOURNAL = "N/A"
 # groups are possessive: they need no stack.
 ARTICLE = (
     r"(?s)<!--.*?-->|<article(?:\s[^<>]*)?/>"
-    r"|<article[\s>](?:[^<]++|<!--.*?-->|<!\[CDATA\[.*?\]\]>|<(?!article[\s>]|/article>|!--|!\[CDATA\[))*+"
+    r"|<article[\s>](?:[^<]++|<!--.*?-->|<!\[CDATA\[.*?\]\]>|<(?!article[\s>]|/article\s*>|!--|!\[CDATA\[))*+"
     r"(?:</article\s*>)?"
 )
 

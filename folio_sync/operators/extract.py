@@ -20,7 +20,8 @@ def _parsed(members: DataFrame, report_empty: bool) -> DataFrame:
     They leave through an `explode` of one element: the optimizer does not push
     later filters below it, where they would repeat the parses they refer to.
     """
-    kept = [c for c in members.columns if c != "xml"]
+    kept = [c for c in members.columns if c not in ("xml", "first_article")]
+    first = F.col("first_article") if "first_article" in members.columns else F.lit(0)
     nothing = F.array(F.lit(None).cast("string"))
     found = jats.split_articles(F.col("xml"))
     if report_empty:
@@ -28,7 +29,8 @@ def _parsed(members: DataFrame, report_empty: bool) -> DataFrame:
     fragments = F.when(F.col("xml").isNull(), nothing).otherwise(found)
     x, p = F.col("protected"), F.col("parsed")
     parsed = (
-        members.select(*kept, F.posexplode(fragments).alias("article_pos", "raw_jats_xml"))
+        members.select(*kept, first.alias("first"), F.posexplode(fragments).alias("pos", "raw_jats_xml"))
+        .select(*kept, (F.col("pos") + F.coalesce("first", F.lit(0))).alias("article_pos"), "raw_jats_xml")
         .withColumn("protected", jats.protect(F.col("raw_jats_xml")))
         .withColumn("parsed", jats.gate(x))
         .withColumn("well_formed", jats.is_well_formed(x, p))
@@ -44,13 +46,14 @@ def _parsed(members: DataFrame, report_empty: bool) -> DataFrame:
 def extract_articles(members: DataFrame, report_empty: bool = False) -> DataFrame:
     """One row per `<article>` element of the `xml` column.
 
-    All other columns are kept. `article_pos` numbers the articles of a member and
+    All other columns are kept. `article_pos` numbers the articles of a member, on from
+    `first_article` where the row has that column and is a part of one, and
     `reject_reason` says why an article is unusable (NULL for a good one). A member
     without any article gives no row, or one with NULL article columns if
     `report_empty`; a row whose `xml` is NULL passes through like that, so that status
     rows of an archive can travel along.
     """
-    kept = [c for c in members.columns if c != "xml"]
+    kept = [c for c in members.columns if c not in ("xml", "first_article")]
     p, f, nested = F.col("parsed"), F.col("fields"), F.col("nested")
     columns = _parsed(members, report_empty).select(
         *kept, "article_pos", "raw_jats_xml", "well_formed",

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from folio_sync.functions.names import package_day, resolve
 from folio_sync.operators.audit import audit_archives, read_sidecars
+from folio_sync.operators.extract import extract_articles, good_articles
 from folio_sync.operators.quality import QualityError
 from folio_sync.plans.delta_load import delta_load
 from folio_sync.plans.full_load import full_load
@@ -148,6 +149,36 @@ n AS (SELECT id, replace(replace(xml, chr(13) || chr(10), chr(10)), chr(13), chr
 SELECT id || '.xml' AS member_name, md5(xml) AS xml_md5, CAST(length(xml) AS BIGINT) AS n_chars FROM n"""
 
 
+def bundled_articles(spark, sf_dir):
+    """Documents as the articles of few members, each of which is read article by article."""
+    base = scratch_path(spark, "site")
+    articles = table(spark, sf_dir, "documents").select(
+        F.col("source").alias("name"), _jats(pmcid("doc_id"), F.col("source"), F.col("text")).alias("xml"))
+    bundles = articles.repartition(spark_tasks(spark), F.xxhash64("xml"))
+
+    def bundle(batches):
+        for batch in batches:
+            whole = "".join(["<articles>", *batch.column("xml").to_pylist(), "</articles>"])
+            yield pa.RecordBatch.from_arrays([pa.array(["bundle"]), pa.array([whole])], names=["pmcid", "xml"])
+
+    members = bundles.mapInArrow(bundle, "pmcid string, xml string")
+    written = write_archives(members, base, lambda task, batch: f"{task}-{batch}.tar.gz")
+    archives = articles_per_archive(written).select(
+        F.col("file_path").alias("archive_path"), resolve(F.col("file_path"), base).alias("location"))
+    found = extract_articles(expand_archives(archives, tasks=spark_tasks(spark), member_bytes=1 << 16))
+    rows = materialize(
+        spark, good_articles(found).select("archive_path", "article_pos", "pmcid", "title", F.md5("raw_jats_xml").alias("xml_md5")),
+        "bundled")
+    last = rows.groupBy("archive_path").agg(F.max("article_pos").alias("last"), F.count("*").alias("n"))
+    return rows.join(last, "archive_path").select(
+        "pmcid", "title", "xml_md5", (F.col("n") == F.col("last") + 1).alias("numbered"))
+
+
+BUNDLED_ARTICLES = ARCHIVE_MEMBERS.split("SELECT id || '.xml'")[0].replace(
+    "AS xml\n    FROM", "AS xml, source\n    FROM").replace("SELECT id, replace", "SELECT id, source, replace") + (
+    "SELECT id AS pmcid, source AS title, md5(xml) AS xml_md5, true AS numbered FROM n")
+
+
 def _state(spark, root):
     metadata, content = corpus.read_metadata(spark, root), corpus.read_content(spark, root)
     return metadata.select(
@@ -446,6 +477,7 @@ CATALOG = {
     "run_state": (run_state, RUN_STATE),
     "archive_audit": (archive_audit, ARCHIVE_AUDIT),
     "replace_existing": (replace_existing, REPLACE_EXISTING),
+    "bundled_articles": (bundled_articles, BUNDLED_ARTICLES),
     "archive_members": (archive_members, ARCHIVE_MEMBERS),
     "corpus_changes_state": (corpus_changes_state, CORPUS_CHANGES_STATE),
     "full_load_state": (full_load_state, FULL_LOAD_STATE),

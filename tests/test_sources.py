@@ -131,7 +131,8 @@ def test_archive_members(tmp_path, spark):
         ("8.xml", None), ("9.xml", '<?xml encoding="nonsense"?>x'),
     }
     # bytes that are no UTF-8 are not replaced: the member is a reject of its own
-    assert rows(members.where("member_error is not null"), "archive_path", "member_name") == {("a", "8.xml")}
+    # (so it is in the archive whose checksum at the end is wrong)
+    assert rows(members.where("member_error is not null"), "archive_path", "member_name") == {("a", "8.xml"), ("tail", "8.xml")}
     assert "UnicodeDecodeError" in members.where("member_name = '8.xml'").first().member_error
     status = {r.archive_path: r for r in archives.archive_status(members).collect()}
     assert len(status) == 6 and status["a"].archive_md5 == digest and status["a"].archive_error is None
@@ -146,6 +147,44 @@ def test_large_archives_leave_in_several_batches(tmp_path, spark):
     assert rows(members.groupBy().agg(F.count("member_name"), F.sum(F.length("xml"))), "*") == {(8, 8 * size)}
 
 
+def test_large_members_leave_article_by_article(tmp_path, spark):
+    """The same articles with the same numbers as those of members read whole, for every size of chunk."""
+    import random
+
+    from folio_sync.functions import jats
+
+    parts = ["<article>", "<article a='1'>", "</article>", "</article >", "<article/>", "<article b='/'/>", "<!-- <article> -->", "<!--",
+             "-->", "<![CDATA[</article>]]>", "<![CDATA[", "x", "\r\n", "<articles>", "<article-meta/>", "é", "<p>", "</p>", "<", ">"]
+    r = random.Random(5)
+    texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 14))) for _ in range(400)]
+    plain = [t.replace("\r\n", "\n") for t in texts]
+    df = spark.createDataFrame(list(enumerate(plain)), "i int, x string")
+    for row in df.select("i", jats.split_articles(F.col("x")).alias("found")).collect():
+        text = plain[row.i]
+        for size in (1, 3, 7, 1000):
+            chunks = (text[k:k + size] for k in range(0, len(text), size))
+            assert list(archives.article_pieces(chunks)) == row.found, (text, size)
+    write_archive(tmp_path / "a.tar.gz", {f"{i}.xml": t for i, t in enumerate(texts)} | {"cut.xml": b"<article>1</article><article>\xff"})
+    paths = spark.createDataFrame([("a", str(tmp_path / "a.tar.gz"))], "archive_path string, location string")
+    small = archives.expand_archives(paths, 1, member_bytes=0).where("member_name <> 'cut.xml'")
+    assert {(r.member_name, r.first_article + pos, x) for r in small.collect() for pos, x in enumerate([r.xml] if r.xml else [])} == {
+        (f"{r.i}.xml", k, x) for r in df.select("i", jats.split_articles(F.col("x")).alias("found")).collect() for k, x in enumerate(r.found)}
+    cut = archives.expand_archives(paths, 1, member_bytes=0).where("member_name = 'cut.xml'").collect()
+    assert len(cut) == 1 and cut[0].xml is None and cut[0].member_error
+
+
+def test_a_large_member_does_not_fill_the_worker(tmp_path):
+    import tracemalloc
+
+    one = "<article><body>" + "word " * 100_000 + "</body></article>\n"
+    write_archive(tmp_path / "a.tar.gz", {"all.xml": "<articles>" + one * 100 + "</articles>"})
+    tracemalloc.start()
+    found = sum(1 for _ in archives._member_texts(str(tmp_path / "a.tar.gz"), {}, archives.BATCH_BYTES))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == 100 and peak < 16 << 20  # of 50 MB
+
+
 def test_digests(tmp_path, spark):
     digest = write_archive(tmp_path / "ok.tar.gz", {"a.xml": article("P")})
     for name, text in (("ok", f"MD5 (ok.tar.gz) = {digest}\n"), ("wrong", f"MD5 = {'0' * 32}"), ("odd", "no digest")):
