@@ -10,6 +10,8 @@ the job on malformed XML, so it only sees fragments that passed the first parse.
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -35,6 +37,10 @@ ARTICLE = (
 ESCAPE = "\uf8fe"
 ENCODED_LESS = r"&(?:lt|#0*60|#[xX]0*3[cC]);"
 
+# What an XML parser takes behind an ampersand without a DTD.
+OWN_ENTITIES = ("amp;", "lt;", "gt;", "quot;", "apos;")
+REFERENCE = "|".join([*OWN_ENTITIES, "#[0-9]+;", "#[xX][0-9A-Fa-f]+;"]).join(["(?:", ")"])
+
 SEPARATOR = "\u0001"
 
 # What the streaming parser lets pass and the XPath parser does not: a character
@@ -88,12 +94,40 @@ def _escape_cdata(xml: Column) -> Column:
     return F.when(F.contains(xml, F.lit("<![CDATA[")), F.array_join(pieces, "")).otherwise(xml)
 
 
+def _named_characters() -> Column:
+    """Name of an entity -> its character, of those that XML itself does not know."""
+    pairs = [F.lit(x) for name, code in name2codepoint.items() if f"{name};" not in OWN_ENTITIES for x in (name, chr(code))]
+    return F.create_map(*pairs)
+
+
+def resolve_entities(xml: Column) -> Column:
+    """Named entities as their characters, and what is no reference at all as text.
+
+    A DTD is never read, so a document may use the usual names, which an XML parser refuses; an
+    ampersand on its own, or a name that nobody knows, becomes itself."""
+    names = _named_characters()
+
+    def piece(part: Column, position: Column) -> Column:
+        name = F.substring_index(part, ";", 1)
+        character = F.when(F.length(name) < F.length(part), F.try_element_at(names, name))
+        rest = F.substring(part, F.length(name) + 2, F.length(part))
+        return (
+            F.when(position == 0, part)
+            .when(part.rlike(f"^(?:{REFERENCE})"), F.concat(F.lit("&"), part))
+            .when(character.isNotNull(), F.concat(character, rest))
+            .otherwise(F.concat(F.lit("&amp;"), part))
+        )
+
+    resolved = F.array_join(F.transform(F.split(xml, "&", -1), piece), "")
+    return F.when(F.contains(xml, F.lit("&")) & xml.rlike(f"&(?!{REFERENCE})"), resolved).otherwise(xml)
+
+
 def protect(xml: Column) -> Column:
-    """The same article without CDATA sections and encoded `<` characters.
+    """The same article without CDATA sections, encoded `<` characters and entities that need a DTD.
 
     It is put in an outer element, so that both parsers read the text to its end.
     """
-    plain = F.replace(_escape_cdata(xml), F.lit(ESCAPE), F.lit(ESCAPE + "0"))
+    plain = F.replace(resolve_entities(_escape_cdata(xml)), F.lit(ESCAPE), F.lit(ESCAPE + "0"))
     marked = F.regexp_replace(plain, ENCODED_LESS, ESCAPE + "1")
     return F.concat(F.lit("<w>"), marked, F.lit("</w>"))
 

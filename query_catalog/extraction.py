@@ -211,6 +211,28 @@ SELECT 'PMC' || doc_id AS member_name, p AS article_pos,
 FROM documents, (SELECT unnest([0, 1, 2]) AS p) WHERE lang <> 'en' OR p = 0"""
 
 
+def extract_recovered(spark, sf_dir):
+    """Documents whose markup needs a DTD, or is not escaped: names of characters, unknown names, ampersands."""
+    documents = spread_out(table(spark, sf_dir, "documents"))
+    title = F.when(F.col("lang") == "en", _lines("Caf&eacute;&nbsp;", F.col("source"), " &Omega;"))
+    title = title.when(F.col("lang") == "fr", _lines("R&D and ", F.col("source"), " & so on &c"))
+    title = title.when(F.col("lang") == "de", _lines("&unknown; ", F.col("source"), " &#169; &#xA9; &amp;eacute; &lt;&gt;"))
+    members = documents.select(pmcid("doc_id").alias("member_name"), _lines(
+        '<article><front><article-meta><article-id pub-id-type="pmc">', pmcid("doc_id"),
+        "</article-id><title-group><article-title>", title.otherwise(_lines("<![CDATA[&eacute; & <b>]]>", F.col("source"))),
+        "</article-title></title-group></article-meta></front><body><p>", escape_xml(F.col("text")),
+        "</p></body></article>").alias("xml"))
+    return extract_articles(members).select("pmcid", "title", "reject_reason", F.md5("body_text").alias("body_md5"))
+
+
+EXTRACT_RECOVERED = r"""
+SELECT 'PMC' || doc_id AS pmcid,
+       CASE lang WHEN 'en' THEN 'Café ' || source || ' Ω' WHEN 'fr' THEN 'R&D and ' || source || ' & so on &c'
+                 WHEN 'de' THEN '&unknown; ' || source || ' © © &eacute; <>' ELSE '&eacute; & <b>' || source END AS title,
+       CAST(NULL AS VARCHAR) AS reject_reason, md5(trim(regexp_replace(text, '\s+', ' ', 'g'))) AS body_md5
+FROM documents"""
+
+
 def article_fragments(spark, sf_dir):
     """Article elements of the raw web pages."""
     fragments = table(spark, sf_dir, "pages").select(
@@ -264,6 +286,7 @@ CATALOG = {
     "extract_dates": (extract_dates, EXTRACT_DATES),
     "extract_license_journal": (extract_license_journal, EXTRACT_LICENSE_JOURNAL),
     "extract_rejects": (extract_rejects, EXTRACT_REJECTS),
+    "extract_recovered": (extract_recovered, EXTRACT_RECOVERED),
     "article_fragments": (article_fragments, ARTICLE_FRAGMENTS),
     "pages_hold_no_articles": (pages_hold_no_articles, PAGES_HOLD_NO_ARTICLES),
     "page_titles": (page_titles, PAGE_TITLES),

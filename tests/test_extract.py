@@ -2,11 +2,13 @@
 
 import datetime as dt
 import random
+import re
 from xml.parsers import expat
 
 import pytest
 from corpus_files import article
 
+from folio_sync.functions import jats
 from folio_sync.operators.extract import extract_articles, good_articles
 
 
@@ -140,10 +142,19 @@ def test_unusable_articles_are_named_and_spare_the_others(spark):
     assert [(r.id, r.pmcid, r.reject_reason) for r in rows] == [
         (0, "A", None), (0, None, "malformed"), (0, None, "no_pmcid"), (0, "C", None),
         (1, None, "malformed"),
-        (3, None, "no_pmcid"), (4, None, "no_pmcid"), (5, None, "malformed"), (6, None, "malformed"),
+        (3, None, "no_pmcid"), (4, None, "no_pmcid"), (5, "E", None), (6, None, "malformed"),
     ]
 
 
+def test_entities_of_a_dtd_and_bare_ampersands_are_text(spark):
+    (row,) = extract(spark, article(
+        "A", "caf&eacute; &Alpha;&alpha; R&D & &nope; &amp;nbsp; &#233;&#xE9; &;<![CDATA[&eacute;]]>", "x&nbsp;&hellip; AT&T",
+        extra='<permissions><license xlink:href="http://x/?a=1&b=&eacute;"/></permissions>'))
+    assert row.reject_reason is None
+    assert row.title == "café Αα R&D & &nope; &nbsp; éé &;&eacute;" and row.body_text == "x … AT&T"
+    assert row.license_info.url == "http://x/?a=1&b=é" and "caf&eacute;" in row.raw_jats_xml  # stored as it came
+
+
 def test_an_unclosed_article_and_what_comments_hold_spare_the_next(spark):
     unclosed = article("A").replace("</article>", "")
     noted = article("B").replace("<body>", "<!-- </article> <article> --><body><![CDATA[</article>]]>")
@@ -216,6 +227,8 @@ def test_damaged_articles_never_fail_the_job(spark):
         documents.append(text)
     rows = extract(spark, *documents)
     assert sum(r.reject_reason is None for r in rows) > 500
+    reference = re.compile(rf"(?s)(<!\[CDATA\[.*?\]\]>)|&(?!{jats.REFERENCE})")
     for row in rows:
         if row.reject_reason != "malformed":
-            expat.ParserCreate().Parse(row.raw_jats_xml.encode(), True)
+            plain = reference.sub(lambda m: m.group(1) or "&amp;", row.raw_jats_xml)
+            expat.ParserCreate().Parse(plain.encode(), True)
