@@ -10,6 +10,7 @@ the job on malformed XML, so it only sees fragments that passed the first parse.
 
 from __future__ import annotations
 
+import re
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -21,6 +22,7 @@ from folio_sync.functions.text import collapse_space, empty_to_null, strip_space
 # Fixed values of the result.
 NO_TITLE = "No Title Found"
 NO_JOURNAL = "N/A"
+XLINK = "http://www.w3.org/1999/xlink"
 
 # A comment outside an article, an empty element, or an article up to its end tag. What
 # comments and CDATA sections hold is no markup. Without an end tag an article ends where
@@ -170,16 +172,15 @@ def _present(path: str) -> str:
 ROOT = "/w/article"
 META = f"{ROOT}/front[1]/article-meta[1]"
 
+LINKS = f"{META}/permissions[1]/license[1]/@*[local-name()='href' and contains(name(), ':')]"
+
 # Field name -> XPath, evaluated together. The JDK allows at most 10 groups and
 # 100 operators in one XPath, so `(...)[1]` and long predicates are avoided.
 FIELD_PATHS = {
     "has_meta": _present(META),
     "title": _whole_text(f"{META}/title-group[article-title][1]/article-title[1]"),
     "abstract": _whole_text(f"{META}/abstract[1]"),
-    "license_url": (
-        f"string({META}/permissions[1]/license[1]"
-        "/@*[local-name()='href' and contains(name(), ':')])"
-    ),
+    "license_url": f"string({LINKS})",
     "has_body": _present(f"{ROOT}/body"),
     "body": _whole_text(f"{ROOT}/body[1]"),
 }
@@ -321,12 +322,43 @@ def journal_info(parsed: Column) -> Column:
     )
 
 
-def license_info(parsed: Column, fields: Column) -> Column:
+_INSIDE = r"""(?:[^<>"']|"[^"]*+"|'[^']*+')*?"""
+# The prefix of a license's `href`, and a license with several.
+LINK_PREFIX = rf"""<license\s{_INSIDE}(?<=[\s"'])([^\s=:"'<>/]+):href\s*="""
+SEVERAL_LINKS = rf"<license\s{_INSIDE}:href\s*={_INSIDE}:href\s*="
+
+
+def _in_namespace(article: Column, prefix: Column) -> Column:
+    """Whether a prefix stands for the namespace of links. One that the article does not declare was
+    declared outside of it, and counts as well."""
+    def prefixes(uri: str) -> Column:
+        return F.regexp_extract_all(article, F.lit(rf"""xmlns:([^\s=:]+)\s*=\s*["']{uri}["']"""), F.lit(1))
+
+    return F.array_contains(prefixes(re.escape(XLINK)), prefix) | ~F.array_contains(prefixes("[^\"']*"), prefix)
+
+
+def link(article: Column, protected: Column, fields: Column) -> Column:
+    """The `href` attribute of the license that is in the namespace of links.
+
+    Nearly always the only one is. Where a license has several, or one with another prefix, the
+    first four are read with their names, in further parses."""
+    used = F.regexp_extract_all(article, F.lit(LINK_PREFIX), F.lit(1))
+    plain = F.forall(used, lambda p: _in_namespace(article, p)) & ~article.rlike(SEVERAL_LINKS)
+    named = F.transform(F.array(*(
+        F.xpath_string(protected, F.lit(f"concat(name({LINKS}[{i}]), ' ', {LINKS}[{i}])")) for i in (1, 2, 3, 4)
+    )), restore)
+    found = F.get(F.filter(
+        named, lambda a: (F.length(a) > 1) & _in_namespace(article, F.substring_index(a, ":", 1))), F.lit(0))
+    return F.when(plain, field(fields, "license_url")).otherwise(
+        F.substring(found, F.locate(" ", found) + 1, F.length(found)))
+
+
+def license_info(parsed: Column, url: Column) -> Column:
     licenses = F.get(_front(parsed)["article-meta"]["permissions"], F.lit(0))["license"]
     return F.when(
         F.size(licenses) > 0,
         F.struct(
             restore(F.get(licenses, F.lit(0))["_license-type"]).alias("license_type"),
-            empty_to_null(field(fields, "license_url")).alias("url"),
+            empty_to_null(url).alias("url"),
         ),
     )

@@ -35,9 +35,10 @@ def _parsed(members: DataFrame, report_empty: bool) -> DataFrame:
         .withColumn("parsed", jats.gate(x))
         .withColumn("well_formed", jats.is_well_formed(x, p))
         .withColumn("fields", F.when(F.col("well_formed"), jats.mixed_fields(x)))
+        .withColumn("link", F.when(F.col("well_formed"), jats.link(F.col("raw_jats_xml"), x, F.col("fields"))))
         .withColumn("nested", F.when(F.col("well_formed"), jats.nested_ids(x, p)))
     )
-    results = F.struct("parsed", "well_formed", "fields", "nested")
+    results = F.struct("parsed", "well_formed", "fields", "nested", "link")
     return parsed.select(
         *kept, "article_pos", "raw_jats_xml", F.explode(F.array(results)).alias("result")
     ).select(*kept, "article_pos", "raw_jats_xml", "result.*")
@@ -67,7 +68,7 @@ def extract_articles(members: DataFrame, report_empty: bool = False) -> DataFram
         jats.publication_day(p).alias("publication_date"),
         jats.journal_info(p).alias("journal_info"),
         F.when(F.col("well_formed"), jats.contributors(p)).alias("contributors"),
-        jats.license_info(p, f).alias("license_info"),
+        jats.license_info(p, F.col("link")).alias("license_info"),
         jats.body_text(f).alias("body_text"),
     ).withColumn(
         "pmid",

@@ -65,7 +65,7 @@ def _journal_markup() -> Column:
 
 def _license_markup() -> Column:
     return F.when(F.col("lang") == "en", _lines(
-        '<permissions><license license-type="open" xlink:href="http://example.org/', F.col("source"),
+        '<permissions><license license-type="open" o:href="no link" xlink:href="http://example.org/', F.col("source"),
         '?a=1&amp;b=2"><p>Free.</p></license></permissions>',
     )).when(
         F.col("lang") == "fr",
@@ -77,7 +77,8 @@ def as_jats(documents, dates: bool = False):
     """(archive_path, member_name, xml): every document as an article with its whole text."""
     xml = _lines(
         '<?xml version="1.0"?>\n<!DOCTYPE article SYSTEM "a.dtd">\n<articles>\n'
-        '<article xmlns:xlink="http://www.w3.org/1999/xlink" xmlns:other="http://www.w3.org/1999/xlink">\n<front>',
+        '<article xmlns:xlink="http://www.w3.org/1999/xlink" xmlns:other="http://www.w3.org/1999/xlink"'
+        ' xmlns:o="http://example.org/o">\n<front>',
         _journal_markup(),
         '<article-meta><article-id pub-id-type="pmc">', pmcid("doc_id"),
         '</article-id><article-id pub-id-type="pmid">',

@@ -146,6 +146,18 @@ def test_unusable_articles_are_named_and_spare_the_others(spark):
     ]
 
 
+@pytest.mark.parametrize("attributes, url", [
+    ('o:href="no" xlink:href="yes"', "yes"), ('xlink:href="yes" o:href="no"', "yes"), ('o:href="no"', None),
+    ('href="no"', None), ('l:href="yes"', "yes"), ('o:href="no" p:href="no" l:href="yes &amp; so"', "yes & so"),
+    ('above:href="yes"', "yes"), ('xlink:href=""', None),
+])
+def test_the_link_of_a_license_is_in_its_namespace(spark, attributes, url):
+    text = article("A", extra=f"<permissions><license {attributes}/></permissions>").replace(
+        "<article ", "<article xmlns:o='urn:o' xmlns:p=\"urn:p\" xmlns:l='http://www.w3.org/1999/xlink' ")
+    (row,) = extract(spark, text)
+    assert (row.reject_reason, row.license_info.url) == (None, url)
+
+
 def test_entities_of_a_dtd_and_bare_ampersands_are_text(spark):
     (row,) = extract(spark, article(
         "A", "caf&eacute; &Alpha;&alpha; R&D & &nope; &amp;nbsp; &#233;&#xE9; &;<![CDATA[&eacute;]]>", "x&nbsp;&hellip; AT&T",
