@@ -29,7 +29,6 @@ is refused when it is to be published.
 from __future__ import annotations
 
 import datetime as dt
-import functools
 import hashlib
 import time
 
@@ -256,13 +255,14 @@ def commit(
     )
 
 
-@functools.cache
-def _buckets(application_id: str, root: str) -> int:
-    return SparkSession.active().read.parquet(_path(root, LAYOUT)).first().buckets
+_bucket_counts: dict[tuple[str, str], int] = {}  # never changes after `initialize`
 
 
 def bucket_count(spark: SparkSession, root: str) -> int:
-    return _buckets(spark.sparkContext.applicationId, root)
+    known = (spark.sparkContext.applicationId, root)
+    if known not in _bucket_counts:
+        _bucket_counts[known] = spark.read.parquet(_path(root, LAYOUT)).first().buckets
+    return _bucket_counts[known]
 
 
 def bucket_of(spark: SparkSession, root: str, key: Column) -> Column:
