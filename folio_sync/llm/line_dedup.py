@@ -5,9 +5,15 @@ from every letter of scripts without spaces, from each run of signs, and again a
 of a longer run of letters and digits. A piece of a run that is longer than `SHINGLE` is a shingle
 whole, so every character but white space is in one.
 Shingles are hashed once; the hash range is cut into `ROWS * BANDS` bins, and the smallest hash
-of each bin is the signature (an empty bin takes the next one's). `ROWS` bins make a band. Lines that share a band are compared exactly with the band's first line and with the
-line before them; those with a Jaccard similarity of `SIMILAR` or more are linked, and of each
-component of links one line stays: the first of the document with the smallest id.
+of each bin is the signature (an empty bin takes the next one's). `ROWS` bins make a band. Lines
+with a Jaccard similarity of `SIMILAR` or more are linked, and of each component of links one line
+stays: the first of the document with the smallest id.
+
+Lines that share a band are first compared exactly with the band's first line and with the line
+before them. Where that leaves a band of three or more lines in several components, its lines are
+split by their rare shingles: two linked sets overlap so much that the rarest shingles of both,
+as many as their sizes say, have one in common. All lines with such a shingle in common that are
+not connected yet are compared, so no pair that shares a band is left out, however full it is.
 
 Two lines of similarity s share a band with probability 1 - (1 - s^3)^7: 0.993 at 0.8
 and 0.999 at 0.85.
@@ -27,6 +33,9 @@ BANDS, ROWS = 7, 3
 SIMILAR = 0.8
 MIN_CHARS = 1  # blank lines are left alone
 FUZZY_CHARS = 12  # shorter lines are compared for equality alone
+CLASS = 1.05  # sizes of sets within this ratio are in one class
+BLOCK = 1024  # lines with one rare shingle are met in blocks of about so many
+HOT_PARTS = 1 << 16  # keys with more than this part of all rows, fewer than that in number, are broadcast
 
 _SHINGLES = (
     rf"(?s)(?=((?!\p{{Lo}})[\p{{L}}\p{{N}}]{{{SHINGLE + 1},{RUN}}}+|.{{1,{SHINGLE}}}))"
@@ -82,26 +91,37 @@ def _kinds(lines: DataFrame, count: int) -> DataFrame:
         *(F.min(f"band{i}").alias(f"band{i}") for i in range(count)))
 
 
-def _candidates(kinds: DataFrame, count: int) -> DataFrame:
-    """Pairs (key, other) of lines that share a band: with the band's first, and with the one before."""
+def _banded(kinds: DataFrame, count: int) -> DataFrame:
+    """Lines that share a band with another: band, its number of lines `n`, key, the band's `first`
+    key and the one `before`."""
     banded = kinds.where("same and fuzzy").select(
         "key", F.explode(F.array(*(F.col(f"band{i}") for i in range(count)))).alias("band"))
-    group = Window.partitionBy("band").orderBy("key")
-    near = banded.select("key", F.first("key").over(group).alias("first"), F.lag("key").over(group).alias("before"))
-    return (
-        near.where("before is not null").select("key", F.explode(F.array("first", "before")).alias("other")).distinct()
-    )
+    group = Window.partitionBy("band")
+    placed = group.orderBy("key")
+    return banded.select(
+        "band", F.count(F.lit(1)).over(group).alias("n"), "key", F.first("key").over(placed).alias("first"),
+        F.lag("key").over(placed).alias("before")).where("n > 1")
 
 
-def _links(pairs: DataFrame, lines: DataFrame, kinds: DataFrame, similar: float) -> DataFrame:
-    """The candidate pairs whose exact Jaccard similarity is high enough."""
-    ends = pairs.select("key").unionByName(pairs.select(F.col("other").alias("key"))).distinct()
-    wanted = written(ends.join(kinds.select("key", "first_doc"), "key"), "wanted")
+def _candidates(banded: DataFrame) -> DataFrame:
+    """Pairs (key, other) of lines that share a band: with the band's first, and with the one before."""
+    return banded.where("before is not null").select("key", F.explode(F.array("first", "before")).alias("other")).distinct()
+
+
+def _texts(banded: DataFrame, lines: DataFrame, kinds: DataFrame) -> DataFrame:
+    """key, line: the lines that share a band."""
+    wanted = written(banded.select("key").distinct().join(kinds.select("key", "first_doc"), "key"), "wanted")
     at = wanted.select(F.col("key").alias("at"), "first_doc")
     texts = written(
         sieved(lines, "key", wanted, "key").join(
             at, (F.col("key") == F.col("at")) & F.col("doc_id").eqNullSafe(F.col("first_doc")), "left_semi")
         .select("key", "line").dropDuplicates(["key"]), "line-texts")
+    discarded(wanted)
+    return texts
+
+
+def _links(pairs: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
+    """The candidate pairs whose exact Jaccard similarity is high enough."""
     one = texts.withColumnRenamed("line", "a")
     two = texts.select(F.col("key").alias("other"), F.col("line").alias("b"))
     # the shingles leave through an explode of one element: the optimizer would otherwise repeat
@@ -111,11 +131,100 @@ def _links(pairs: DataFrame, lines: DataFrame, kinds: DataFrame, similar: float)
     x, y = _or_line("of.x", "a"), _or_line("of.y", "b")
     total = F.size(F.array_distinct(x)) + F.size(F.array_distinct(y))
     # common >= similar * (total - common), with common written once
-    links = written(
+    return written(
         both.where(F.size(F.array_intersect(x, y)) * (1 + similar) >= similar * total - 1e-9)
         .select(F.col("key").alias("a"), F.col("other").alias("b")), "line-links")
-    discarded(wanted, texts)
-    return links
+
+
+def _with_facts(rows: DataFrame, facts: DataFrame, key: str) -> DataFrame:
+    """`rows`, a written table, joined with the one row of `facts` for their key, which has the number
+    `n` of rows with it. Keys that hold more than a `HOT_PARTS`th of all rows are broadcast, so no
+    task gets all rows of a hot one."""
+    most = rows.count() // HOT_PARTS
+    hot = facts.where(F.col("n") > most) if most else facts.limit(0)
+    rest = facts.where(F.col("n") <= most) if most else facts
+    others = rows.join(F.broadcast(hot.select(key)), key, "left_anti") if most else rows
+    near = rows.join(F.broadcast(hot), key)
+    return near.unionByName(others.join(rest, key)) if most else others.join(rest, key)
+
+
+def _unsettled(banded: DataFrame, linked: DataFrame) -> DataFrame:
+    """key, component: the lines of bands of three or more that are in several components."""
+    crowded = banded.where("n > 2").join(linked, F.col("key") == F.col("node"), "left").select(
+        "band", "key", F.coalesce("component", "key").alias("component"))
+    open_ = crowded.groupBy("band").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("band")
+    return crowded.join(open_, "band", "left_semi").select("key", "component").distinct()
+
+
+def _overlap(total: Column, similar: float) -> Column:
+    """The fewest common shingles of linked sets with so many in `total`."""
+    return F.ceil(total * (similar / (1 + similar)) - 1e-6).cast("int")
+
+
+def _close_pairs(unsettled: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
+    """Pairs (key, other) of lines in different components that share one of their rarest shingles.
+
+    Sets x and y, x the smaller, are linked if they have `_overlap(|x| + |y|)` shingles in common.
+    Then the |x| - overlap + 1 rarest of x and the |y| - overlap + 1 rarest of y share one, in any
+    order of shingles. x takes the overlap with a set of its own size, the least it can be, and y
+    one for each class of sizes that x can be in."""
+    found = unsettled.join(texts, "key").withColumn("found", _found("line"))
+    tokens = written(found.select("key", "component", F.explode(F.array_distinct(
+        F.transform(_or_line("found", "line"), lambda s: F.xxhash64(s)))).alias("token")), "line-shingles")
+    counts = written(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")), "shingle-counts")
+    sets = written(
+        _with_facts(tokens, counts, "token").groupBy("key", "component")
+        .agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("tokens"))
+        .select("key", "component", F.size("tokens").alias("size"), F.col("tokens.token").alias("tokens")), "line-sets")
+    discarded(tokens, counts)
+
+    def of_class(size: Column) -> Column:
+        return F.floor(F.log(size) / F.log(F.lit(CLASS))).cast("int")
+
+    def rarest(rows: DataFrame, overlap: Column) -> DataFrame:
+        return rows.select(
+            "key", "component", "size", "class",
+            F.posexplode(F.slice("tokens", F.lit(1), F.greatest(F.col("size") - overlap + 1, F.lit(0)))).alias("at", "token"))
+
+    size = F.col("size")
+    fewest = F.ceil(size * similar - 1e-6)
+    small = written(rarest(sets.withColumn("class", of_class(size)), _overlap(size * 2, similar)), "rare-small")
+    classes = sets.withColumn("class", F.explode(F.sequence(of_class(fewest), of_class(size))))
+    least = F.greatest(fewest, F.floor(F.pow(F.lit(CLASS), F.col("class"))))
+    large = rarest(classes, _overlap(size + least, similar)).toDF("other", "other_component", "other_size", "class", "other_at", "token")
+    blocks = small.groupBy("class", "token").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    blocks = written(blocks, "rare-blocks")
+    split = blocks.where("blocks > 1")
+    cut = small.join(split, ["class", "token"], "left").withColumn(
+        "block", F.pmod(F.xxhash64("key"), F.coalesce("blocks", F.lit(1))).cast("int")).drop("blocks")
+    met = large.join(blocks, ["class", "token"]).withColumn(
+        "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    left = F.least(size - F.col("at"), F.col("other_size") - F.col("other_at"))
+    pairs = written(
+        cut.join(met, ["class", "token", "block"]).where(
+            "component <> other_component and (size < other_size or size = other_size and key < other)")
+        .where(left >= _overlap(size + F.col("other_size"), similar)).select("key", "other").distinct(), "close-pairs")
+    discarded(sets, small, blocks)
+    return pairs
+
+
+def _all_linked(kinds: DataFrame, lines: DataFrame, count: int, similar: float) -> DataFrame:
+    """node, component of the lines that are linked with another."""
+    banded = written(_banded(kinds, count), "line-bands")
+    texts = _texts(banded, lines, kinds)
+    links = _links(_candidates(banded), texts, similar)
+    linked = components(links)
+    unsettled = written(_unsettled(banded, linked), "unsettled")
+    if not unsettled.isEmpty():
+        pairs = _close_pairs(unsettled, texts, similar)
+        more = _links(pairs, texts, similar)
+        if not more.isEmpty():
+            before, linked = linked, components(links.unionByName(more))
+            discarded(before)
+        discarded(pairs, more)
+    discarded(banded, texts, links, unsettled)
+    return linked
 
 
 def line_dedup(docs: DataFrame, count: int = BANDS, similar: float = SIMILAR) -> DataFrame:
@@ -129,16 +238,15 @@ def line_dedup(docs: DataFrame, count: int = BANDS, similar: float = SIMILAR) ->
     `text_key` comes first, a null id comes last. Other columns are not read."""
     lines = lines_of(docs)
     kinds = written(_kinds(lines, count), "lines")
-    pairs = written(_candidates(kinds, count), "line-pairs")
-    links = _links(pairs, lines, kinds, similar)
-    linked = components(links)
-    groups = kinds.where("same").join(linked, F.col("key") == F.col("node"), "left").where(
-        "n > 1 or component is not null").select("key", "first_doc", F.coalesce("component", "key").alias("component"))
-    keep = groups.groupBy("component").agg(F.min("first_doc").alias("keep_doc"))
-    repeated = written(groups.drop("first_doc").join(keep, "component"), "repeated-lines")
-    discarded(kinds, pairs, links, linked)
-    known = lines.drop("line").join(repeated, "key", "left")
-    return _with_kept(known)
+    linked = _all_linked(kinds, lines, count, similar)
+    groups = written(kinds.where("same").join(linked, F.col("key") == F.col("node"), "left").where(
+        "n > 1 or component is not null").select(
+            "key", "first_doc", F.coalesce("component", "key").alias("component")), "line-groups")
+    keep = written(groups.groupBy("component").agg(
+        F.min("first_doc").alias("keep_doc"), F.count(F.lit(1)).alias("n")), "kept-lines")
+    repeated = written(_with_facts(groups.drop("first_doc"), keep, "component").drop("n"), "repeated-lines")
+    discarded(kinds, linked, groups, keep)
+    return _with_kept(lines.drop("line").join(repeated, "key", "left"))
 
 
 def _with_kept(known: DataFrame) -> DataFrame:
@@ -148,10 +256,13 @@ def _with_kept(known: DataFrame) -> DataFrame:
         known.where(here).groupBy("component", "text_key").agg(F.min("line_no").alias("line_no"))
         .groupBy("component").agg(F.min(placed).alias("first"))
     )
-    return known.join(first, "component", "left").select(
-        "doc_id", "text_key", "line_no", F.coalesce("component", "key").alias("component"),
-        F.when(F.col("component").isNull(), True)
-        .otherwise(here & (placed == F.col("first"))).alias("kept"))
+    # a line that has no equal or similar one is no component's name, so it finds no first; were
+    # its component null, all such lines would meet in one task
+    return known.withColumnRenamed("component", "found").withColumn("component", F.coalesce("found", "key")).join(
+        first, "component", "left").select(
+        "doc_id", "text_key", "line_no", "component",
+        F.when(F.col("found").isNull(), True)
+        .otherwise(F.col("doc_id").eqNullSafe(F.col("keep_doc")) & (placed == F.col("first"))).alias("kept"))
 
 
 def without_repeated_lines(docs: DataFrame, **options) -> DataFrame:
@@ -162,10 +273,11 @@ def without_repeated_lines(docs: DataFrame, **options) -> DataFrame:
     gone = written(
         found.where("not kept").groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("__gone")), "lines-gone"
     ).select(F.col("doc_id").alias("__gone_id"), F.col("text_key").alias("__gone_key"), "__gone")
-    left = F.array_join(F.filter(
-        F.split(F.col("text"), "\n", -1), lambda _, i: ~F.array_contains("__gone", i)), "\n")
-    return docs.join(
+    cut = docs.join(
         gone, (F.xxhash64(whole_text()) == F.col("__gone_key")) & docs["doc_id"].cast("long").eqNullSafe(F.col("__gone_id")),
         "left",
-    ).withColumn("text", F.when(F.col("__gone").isNotNull(), left).otherwise(F.col("text"))).drop(
-        "__gone_id", "__gone_key", "__gone")
+    ).withColumn("__lines", F.when(F.col("__gone").isNotNull(), F.split("text", "\n", -1)))
+    left = F.array_join(F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), "__gone"), lambda i: F.get("__lines", i)), "\n")
+    return cut.withColumn("text", F.when(F.col("__gone").isNotNull(), left).otherwise(F.col("text"))).drop(
+        "__gone_id", "__gone_key", "__gone", "__lines")

@@ -187,6 +187,56 @@ def test_every_character_of_a_line_counts(spark):
     assert left == {1: "\n".join(lines), 2: "\n \n"}
 
 
+def test_no_pair_of_a_full_band_is_left_out(spark):
+    """Families of template lines: members share bands but are no links, and each has one near copy."""
+    r = random.Random(5)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(7))  # a word is a shingle
+    lines, families = [], ((28, 1700), (20, 800))
+    for n_fixed, n_pairs in families:
+        fixed = [word() for _ in range(n_fixed)]
+        for _ in range(n_pairs):
+            own = [word() for _ in range(5)]
+            copy = [word(), *own[1:]]
+            lines += [" ".join([*fixed[:9], *values, *fixed[9:]]) for values in (own, copy)]
+            assert n_fixed / (n_fixed + 10) < line_dedup.SIMILAR < (n_fixed + 4) / (n_fixed + 6)
+    order = r.sample(range(len(lines)), len(lines))
+    docs = spark.createDataFrame([(order[i], line) for i, line in enumerate(lines)], "doc_id long, text string")
+    got = {x.doc_id: x.component for x in line_dedup.line_dedup(docs.repartition(4)).collect()}
+    pairs = [(got[order[i]], got[order[i + 1]]) for i in range(0, len(lines), 2)]
+    assert len(set(got.values())) >= len(pairs)  # no two pairs are joined
+    assert sum(a == b for a, b in pairs) >= 0.98 * len(pairs)
+
+
+def test_rare_shingles_find_every_pair(spark):
+    """All pairs at or above the threshold among lines of many sizes, by brute force."""
+    r = random.Random(9)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
+    common, lines = [word() for _ in range(12)], []
+    for _ in range(60):
+        words = r.sample(common, r.randint(1, 12)) + [word() for _ in range(r.randint(0, 30))]
+        for _ in range(3):
+            lines.append(" ".join(words))
+            words = [w for w in words if r.random() > 0.06] + [word() for _ in range(r.randint(0, 2))]
+    lines = sorted(set(filter(None, lines)))
+    found = line_sets(lines)[1]
+    sets = [found[line] for line in lines]
+    links = {(i, j) for j in range(len(lines)) for i in range(j)
+             if len(sets[i] & sets[j]) >= line_dedup.SIMILAR * len(sets[i] | sets[j])}
+    texts = spark.createDataFrame(list(enumerate(lines)), "key long, line string")
+    alone = texts.select("key", F.col("key").alias("component"))
+    got = {tuple(sorted(x)) for x in line_dedup._close_pairs(alone, texts, line_dedup.SIMILAR).collect()}
+    assert len(links) > 30 and links <= got and len(got) < len(lines) ** 2 / 8
+    together = texts.select("key", F.lit(1).cast("long").alias("component"))
+    assert line_dedup._close_pairs(together, texts, line_dedup.SIMILAR).isEmpty()
+
+
+def test_texts_that_lose_very_many_lines(spark):
+    lines = [f"{i:06d} {i * 7919 % 1000003:06d} line" for i in range(30_000)]
+    docs = spark.createDataFrame([(1, "\n".join(lines)), (2, "\n".join([*lines, "one more that is new"]))], "doc_id long, text string")
+    left = {x.doc_id: x.text for x in line_dedup.without_repeated_lines(docs, similar=1.0).collect()}
+    assert left == {1: "\n".join(lines), 2: "one more that is new"}
+
+
 def test_lines_of_awkward_texts(spark):
     texts = awkward_texts()
     docs = frame(spark, texts).union(frame(spark, texts))  # every row twice
