@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,28 +65,41 @@ def table_violations(df: DataFrame, table: str) -> DataFrame:
     return violation_counts(df, required, limits)
 
 
+def _rules(df: DataFrame, table: str) -> dict[str, Column]:
+    """The conditions under which a row breaks a rule of one corpus table, by the rule's name."""
+    fields = [f.name for f in schemas.TABLES[table] if not f.nullable and f.name in df.columns]
+    rules = {f"{c}_missing": F.col(c).isNull() for c in fields}
+    return rules | {
+        f"{c}_too_long": F.char_length(F.col(c)) > n for c, n in schemas.MAX_LENGTH[table].items() if c in df.columns
+    }
+
+
 def check_quality(metadata: DataFrame, content: DataFrame) -> DataFrame:
     """(table, rule, n_rows) for every rule of the tables that rows break: required
-    columns and lengths, unique keys, and metadata for every text."""
-    def broken(table: str, rule: str, violations: DataFrame, count=None) -> DataFrame:
-        return violations.agg((F.count("*") if count is None else F.sum(count)).alias("n_rows")).select(
-            F.lit(table).alias("table"), F.lit(rule).alias("rule"), F.coalesce("n_rows", F.lit(0)).alias("n_rows")
-        )
-
-    found = [
-        broken("articles_content", "orphan", orphans(content.select("pmcid"), metadata.select("pmcid"), "pmcid"))
-    ]
-    for table, df in (("articles_metadata", metadata), ("articles_content", content)):
-        counts = table_violations(df, table).drop("n_rows")
-        found.append(counts.unpivot([], counts.columns, "rule", "n_rows").select(
-            F.lit(table).alias("table"), "rule", "n_rows"
-        ))
-        repeated = duplicate_keys(df, ["pmcid"])
-        found.append(broken(table, "duplicate_key", repeated, F.col("n_rows") - 1))
-    out = found[0]
-    for part in found[1:]:
-        out = out.unionByName(part)
-    return out.where(F.col("n_rows") > 0)
+    columns and lengths, unique keys, and metadata for every text.
+
+    Each table is scanned once; what its rows break is counted per key before the one
+    shuffle, so a key that holds very many rows arrives as a few.
+    """
+    tables = {"articles_metadata": metadata, "articles_content": content}
+    rules = {table: _rules(df, table) for table, df in tables.items()}
+    rows, counts = None, []
+    for table, df in tables.items():
+        flags = {f"{t}.{rule}": broken if t == table else F.lit(False) for t in tables for rule, broken in rules[t].items()}
+        part = df.select(
+            "pmcid", *((F.lit(t == table)).alias(t) for t in tables), *(flags[c].alias(c) for c in flags))
+        rows, counts = part if rows is None else rows.unionByName(part), [*tables, *flags]
+    per_key = rows.groupBy("pmcid").agg(*(F.count_if(F.col(f"`{c}`")).alias(c) for c in counts))
+    no_parent = F.col("pmcid").isNull() | (F.col("articles_metadata") == 0)
+    found = {
+        ("articles_content", "orphan"): F.sum(F.when(no_parent, F.col("articles_content"))),
+        **{(t, rule): F.sum(F.col(f"`{t}.{rule}`")) for t in tables for rule in rules[t]},
+        **{(t, "duplicate_key"): F.sum(F.greatest(F.col(t) - 1, F.lit(0))) for t in tables},
+    }
+    totals = per_key.agg(F.array(*(
+        F.struct(F.lit(t).alias("table"), F.lit(rule).alias("rule"), F.coalesce(n, F.lit(0)).alias("n_rows"))
+        for (t, rule), n in found.items())).alias("found"))
+    return totals.select(F.inline("found")).where(F.col("n_rows") > 0)
 
 
 def broken_groups(df: DataFrame, group: str, key: str, table: str, unique: bool = True) -> DataFrame:
@@ -95,8 +108,7 @@ def broken_groups(df: DataFrame, group: str, key: str, table: str, unique: bool
     Two aggregates with partial results: keys within a group, then groups."""
     required = [f.name for f in schemas.TABLES[table] if not f.nullable and f.name in df.columns]
     limits = {c: n for c, n in schemas.MAX_LENGTH[table].items() if c in df.columns}
-    rules = [(f"{c}_missing", F.col(c).isNull()) for c in required]
-    rules += [(f"{c}_too_long", F.char_length(F.col(c)) > n) for c, n in limits.items()]
+    rules = list(_rules(df, table).items())
     if unique:
         rules.append(("duplicate_key", F.col("n_rows") > 1))
     checked = [c for c in dict.fromkeys([*required, *limits]) if c not in (group, key)]

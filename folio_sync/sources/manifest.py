@@ -18,6 +18,7 @@ from folio_sync.functions.text import empty_to_null
 FILE, ACCESSION, PMID, UPDATED, RETRACTED = (
     "File", "Accession ID", "PMID", "Last Updated", "Retracted",
 )
+WANTED = (FILE, ACCESSION, PMID, UPDATED, RETRACTED)
 TRUE_WORDS = ("true", "y", "yes")
 RETRACTION_HEADER = "PMCID"
 
@@ -29,57 +30,52 @@ def _is_missing(error: AnalysisException) -> bool:
     return (error.getCondition() or "").startswith("PATH_NOT_FOUND")
 
 
-def _files_by_header(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
-    """Files grouped by their trimmed header line: one entry per distinct header."""
-    if not paths:
-        return {}
+def _headers(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, int]:
+    """(header_file, `positions` of the wanted columns, -1 where absent) per file with a header, and
+    the widest header's number of columns. The driver gets the different header lines, not the files."""
     lines = spark.read.text(paths).where("_metadata.file_block_start = 0").select(
-        plain_path(F.col("_metadata.file_path")).alias("file"), "value",
+        plain_path(F.col("_metadata.file_path")).alias("header_file"), "value",
         F.monotonically_increasing_id().alias("line"),
     )
-    headers = lines.where(F.length("value") > 0).groupBy("file").agg(
+    headers = lines.where(F.length("value") > 0).groupBy("header_file").agg(
         F.min_by("value", "line").alias("header")
     )
-    grouped: dict[tuple[str, ...], list[str]] = {}
-    for row in headers.groupBy("header").agg(F.collect_list("file").alias("files")).collect():
-        names = tuple(name.strip() for name in next(csv.reader([row.header])))
-        grouped.setdefault(names, []).extend(row.files)
-    return grouped
+    layouts, width = [], 0
+    for row in headers.select("header").distinct().collect():
+        names = [name.strip() for name in next(csv.reader([row.header]))]
+        positions = {name: i for i, name in enumerate(names)}  # the last of equal names counts
+        layouts.append((row.header, [positions.get(name, -1) for name in WANTED]))
+        width = max(width, len(names))
+    layout = spark.createDataFrame(layouts, "header string, positions array<int>")
+    return headers.join(layout, "header").drop("header"), width
 
 
 def _raw_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     """The five text columns of every data line, matched by header name per file.
 
-    `line_order` orders the lines of one file: a file's splits by their offset,
-    then the lines of a split.
+    All files are one read, as wide as the widest of them. `line_order` orders the
+    lines of one file: a file's splits by their offset, then the lines of a split.
     """
-    wanted = (FILE, ACCESSION, PMID, UPDATED, RETRACTED)
-    parts = []
-    for names, files in _files_by_header(spark, paths).items():
-        positions = {name: i for i, name in enumerate(names)}  # the last of equal names counts
-        schema = ", ".join(f"c{i} string" for i in range(len(names)))
-        read = spark.read.options(**CSV_OPTIONS).option("header", True).schema(schema).csv(files)
-        parts.append(read.select(
-            *[
-                (F.col(f"c{positions[name]}") if name in positions else F.lit(None).cast("string"))
-                .alias(name)
-                for name in wanted
-            ],
-            plain_path(F.col("_metadata.file_path")).alias("list_path"),
-            F.struct(
-                F.col("_metadata.file_path").alias("file"),
-                F.col("_metadata.file_block_start").alias("block"),
-                F.monotonically_increasing_id().alias("line"),
-            ).alias("line_order"),
-        ))
-    if not parts:
+    headers, width = _headers(spark, paths) if paths else (None, 0)
+    if not width:
         order = "struct<file:string,block:bigint,line:bigint>"
-        texts = ", ".join(f"`{name}` string" for name in wanted)
+        texts = ", ".join(f"`{name}` string" for name in WANTED)
         return spark.createDataFrame([], f"{texts}, list_path string, line_order {order}")
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    columns = [f"c{i}" for i in range(width)]
+    lines = spark.read.options(**CSV_OPTIONS).option("header", True).schema(
+        ", ".join(f"{c} string" for c in columns)).csv(paths).select(
+        F.array(*columns).alias("values"),
+        plain_path(F.col("_metadata.file_path")).alias("list_path"),
+        F.struct(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("line"),
+        ).alias("line_order"),
+    )
+    return lines.join(headers, F.col("list_path") == F.col("header_file")).select(
+        *(F.get("values", F.col("positions")[i]).alias(name) for i, name in enumerate(WANTED)),
+        "list_path", "line_order",
+    )
 
 
 def parse_manifest(lines: DataFrame) -> DataFrame:
@@ -151,7 +147,8 @@ def read_file_lists(
         listing = spark.read.format("binaryFile").option(
             "pathGlobFilter", "*" + FILE_LIST_SUFFIX
         ).load(folders)
-        present = {row.path for row in listing.select("path").collect()}
+        asked = spark.createDataFrame([(path,) for path in file_list_paths], "path string")
+        present = {row.path for row in listing.select("path").join(asked, "path", "left_semi").collect()}
     paths = [path for path in file_list_paths if path in present]
     lists, rejects = split_manifest(parse_manifest(_raw_lines(spark, paths)))
     key = F.replace(package_key(F.col("list_path")), F.lit(FILE_LIST_SUFFIX), F.lit(ARCHIVE_SUFFIX))

@@ -217,3 +217,23 @@ def test_enrich_joins_within_the_archive(spark):
     good, unlisted = enrich.enrich(articles, listed)
     assert rows(good, "archive_path", "pmcid", "source_last_updated", "is_retracted") == {("a", "P1", 2, True), ("b", "P3", None, False)}
     assert rows(unlisted, "archive_path", "pmcid") == {("a", "P2"), ("b", "P1")}
+
+
+def test_lists_with_different_headers_are_one_read(spark, tmp_path):
+    files = {
+        "a.csv": "File,Accession ID,PMID,Last Updated,Retracted\na1,PMC1,1,2024-01-01 00:00:00,yes\n",
+        "b.csv": "Retracted, Accession ID ,more,File\nno,PMC2,x,b1\n,PMC3,,b2,beyond\nY,PMC4\n",
+        "c.csv": "\nAccession ID,\"File\"\nPMC5,c1\n",
+        "d.csv": "",
+        "e.csv": "File,Accession ID,PMID,Last Updated,Retracted\n",
+    }
+    for name, text in files.items():
+        (tmp_path / name).write_text(text)
+    good, bad = manifest.read_manifest(spark, [str(tmp_path / name) for name in files])
+    assert {(x.file_path, x.pmcid, x.pmid, x.is_retracted, x.list_path[-5:]) for x in good.collect()} == {
+        ("a1", "PMC1", "1", True, "a.csv"), ("b1", "PMC2", None, False, "b.csv"),
+        ("b2", "PMC3", None, False, "b.csv"), ("c1", "PMC5", None, False, "c.csv"),
+    }
+    assert [(x.key, x.reason) for x in bad.collect()] == [("PMC4", "missing_field")]
+    scans = good._jdf.queryExecution().optimizedPlan().toString().count(" csv")
+    assert scans == 1

@@ -241,3 +241,18 @@ def test_buckets_serve_merges_and_reads(tmp_path, spark):
         assert corpus.read_metadata(spark, root).count() == 201
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_quality_scans_each_table_once(spark, tmp_path):
+    rows = [("PMC1", "d" * 300), ("PMC1", None), (None, None), (None, "x"), ("P" * 30, None)]
+    spark.createDataFrame(rows, "pmcid string, doi string").write.parquet(f"{tmp_path}/m")
+    spark.createDataFrame([("PMC1",), ("PMC2",), ("PMC2",), (None,)], "pmcid string").write.parquet(f"{tmp_path}/c")
+    found = quality.check_quality(spark.read.parquet(f"{tmp_path}/m"), spark.read.parquet(f"{tmp_path}/c"))
+    assert {(x.table, x.rule): x.n_rows for x in found.collect()} == {
+        ("articles_metadata", "pmcid_missing"): 2, ("articles_metadata", "pmcid_too_long"): 1,
+        ("articles_metadata", "doi_too_long"): 1, ("articles_metadata", "duplicate_key"): 2,
+        ("articles_content", "pmcid_missing"): 1, ("articles_content", "duplicate_key"): 1,
+        ("articles_content", "orphan"): 3,
+    }
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 2 and plan.count("hashpartitioning") == 1
