@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from folio_sync import schemas
 from folio_sync.operators.audit import audit_archives, failed_archives
 from folio_sync.operators.extract import extract_articles, good_articles, rejected_articles
-from folio_sync.session import scratch_path
+from folio_sync.session import freed_shuffles, scratch_path
 from folio_sync.sources.archives import archive_status, expand_archives
 from folio_sync.sources.load import staging_union
 
@@ -45,7 +45,8 @@ def materialize(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     chooses between broadcasting and sorting.
     """
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    with freed_shuffles(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -94,7 +95,8 @@ def stage_archives(
         "reject_payload",
         F.when(F.col("reject_reason").isNotNull(), F.coalesce("raw_jats_xml", "member_error")),
     )
-    extracted.write.parquet(path)
+    with freed_shuffles(spark):
+        extracted.write.parquet(path)
     written = spark.read.schema(extracted.schema).parquet(path)
 
     status = archive_status(written)
