@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio_sync.session import scratch_path
+from folio_sync.session import freed_shuffles, scratch_path
 
 SPACES = r"[\x20\x09-\x0D]+"
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -38,9 +38,12 @@ def lower_ascii(text: Column) -> Column:
 
 
 def written(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
-    """The same rows from a table in the shared scratch folder; cuts lineage."""
+    """The same rows from a table in the shared scratch folder; cuts lineage.
+
+    The shuffle files of the write go when it has ended."""
     path = path or scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    with freed_shuffles(df.sparkSession):
+        df.write.parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     table.scratch_path = path
     return table

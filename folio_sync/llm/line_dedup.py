@@ -216,6 +216,7 @@ def _all_linked(kinds: DataFrame, lines: DataFrame, count: int, similar: float)
     links = _links(_candidates(banded), texts, similar)
     linked = components(links)
     unsettled = written(_unsettled(banded, linked), "unsettled")
+    discarded(banded)
     if not unsettled.isEmpty():
         pairs = _close_pairs(unsettled, texts, similar)
         more = _links(pairs, texts, similar)
@@ -223,7 +224,7 @@ def _all_linked(kinds: DataFrame, lines: DataFrame, count: int, similar: float)
             before, linked = linked, components(links.unionByName(more))
             discarded(before)
         discarded(pairs, more)
-    discarded(banded, texts, links, unsettled)
+    discarded(texts, links, unsettled)
     return linked
 
 
