@@ -10,6 +10,7 @@ and a chain that covers `MIN_COVER` of its notice is a span with the notice's la
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -182,16 +183,19 @@ class Scanner:
                     key=lambda b: (b[0], -b[1]), default=(length, end - length))
                 open_chains[notice] = [*chains, (best[1], end, place, best[0])]
                 done.setdefault(notice, []).append((best[0], best[1], end))
-        spans = []
+        spans = set()
         for notice, chains in done.items():
             label, words = self.automaton.texts[notice]
+            starts, ends = [], []  # of the spans taken, which do not overlap, in order
             for covered, start, end in sorted(chains, key=lambda c: (-c[0], c[1], c[2])):
                 if covered < self.min_cover * len(words):
                     break
-                if all(s >= end or e <= start for n, s, e, _ in spans if n == notice):
-                    spans.append((notice, start, end, covered / len(words)))
-        return sorted({(self.automaton.texts[n][0], s, e, min(1.0, c)) for n, s, e, c in spans},
-                      key=lambda x: (x[1], x[2], x[0]))
+                at = bisect_left(starts, end)
+                if not at or ends[at - 1] <= start:
+                    starts.insert(at, start)
+                    ends.insert(at, end)
+                    spans.add((label, start, end, min(1.0, covered / len(words))))
+        return sorted(spans, key=lambda x: (x[1], x[2], x[0]))
 
 
 SPAN = pa.struct([("label", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("cover", pa.float64())])

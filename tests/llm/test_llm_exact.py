@@ -5,6 +5,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 
 import public_tokenizers
 import pytest
@@ -109,6 +110,18 @@ def test_a_changed_notice_is_found_while_most_of_it_stands(change, found):
     assert [s[0] for s in scanner.scan("before " + " ".join(words) + " after")[2]] == ["bsd"] * found
 
 
+def test_very_many_notices_take_time_in_proportion():
+    """20,000 notices in one text, and every one is found."""
+    scanner = license_scan.Scanner(license_scan.PHRASES, license_scan.NOTICES, 3, 6, 0.7)
+    for between in (" ", " and then eight words of other text stand here "):
+        began = time.process_time()
+        spans = scanner.scan(between.join(["Released under the MIT License."] * 20_000))[2]
+        assert time.process_time() - began < 4
+        assert len(spans) == 20_000
+        assert all(a[2] <= b[1] for a, b in zip(spans, spans[1:]))
+        assert {(s[0], s[2] - s[1], s[3]) for s in spans} == {("mit", 5, 1.0)}
+
+
 # Personal data
 
 PATTERNS = {
