@@ -18,7 +18,7 @@ from folio_sync.plans.full_load import full_load
 from folio_sync.plans.publish import (
     append_articles, commit_retractions, replace_articles, upsert_articles,
 )
-from folio_sync.plans.staging import materialize
+from folio_sync.plans.staging import ROW, materialize
 from folio_sync.session import scratch_path
 from folio_sync.sources import corpus
 from folio_sync.sources.archives import archive_status, expand_archives, open_stream
@@ -157,9 +157,14 @@ def bundled_articles(spark, sf_dir):
     bundles = articles.repartition(spark_tasks(spark), F.xxhash64("xml"))
 
     def bundle(batches):
-        for batch in batches:
+        from pyspark import TaskContext
+
+        task = TaskContext.get().partitionId()
+        for number, batch in enumerate(batches):
             whole = "".join(["<articles>", *batch.column("xml").to_pylist(), "</articles>"])
-            yield pa.RecordBatch.from_arrays([pa.array(["bundle"]), pa.array([whole])], names=["pmcid", "xml"])
+            # an archive can hold several of a task's bundles
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([f"bundle{task}-{number}"]), pa.array([whole])], names=["pmcid", "xml"])
 
     members = bundles.mapInArrow(bundle, "pmcid string, xml string")
     written = write_archives(members, base, lambda task, batch: f"{task}-{batch}.tar.gz")
@@ -167,10 +172,9 @@ def bundled_articles(spark, sf_dir):
         F.col("file_path").alias("archive_path"), resolve(F.col("file_path"), base).alias("location"))
     found = extract_articles(expand_archives(archives, tasks=spark_tasks(spark), member_bytes=1 << 16))
     rows = materialize(
-        spark, good_articles(found).select("archive_path", "article_pos", "pmcid", "title", F.md5("raw_jats_xml").alias("xml_md5")),
-        "bundled")
-    last = rows.groupBy("archive_path").agg(F.max("article_pos").alias("last"), F.count("*").alias("n"))
-    return rows.join(last, "archive_path").select(
+        spark, good_articles(found).select(*ROW, "pmcid", "title", F.md5("raw_jats_xml").alias("xml_md5")), "bundled")
+    last = rows.groupBy(ROW[:2]).agg(F.max("article_pos").alias("last"), F.count("*").alias("n"))
+    return rows.join(last, ROW[:2]).select(
         "pmcid", "title", "xml_md5", (F.col("n") == F.col("last") + 1).alias("numbered"))
 
 

@@ -24,6 +24,16 @@ def test_query_matches_its_sql(spark, con, name):
     assert good, note
 
 
+def test_bundles_of_one_task_are_numbered_apart(spark, con):
+    """Tasks of several Arrow batches, as on larger tables, bundle several members into an archive."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        good, note = check_queries.compare(spark, con, SF_DIR, "bundled_articles")
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert good, note
+
+
 def test_entry_is_a_query(spark):
     assert set(entry.oracle_sql()) == set(entry.queries()) - set(entry.LLM) | set(entry.oracle_sql()) & set(entry.LLM)
     assert entry.entry(spark).columns == ["pmcid", "title", "updated", "is_retracted"]
