@@ -34,7 +34,9 @@ MEMBERS_SCHEMA = (
     "archive_path string, member_name string, first_article int, xml string, member_error string,"
     " archive_md5 string, archive_error string"
 )
-BATCH_BYTES = 16 << 20
+# What a task holds of an archive at a time: the rows of a batch, and a member that is read whole.
+BATCH_BYTES = 4 << 20
+MEMBER_BYTES = 16 << 20
 # What is wrong with the archive itself. Other read errors may pass: they fail the
 # task, so that Spark tries it again, and the run if they persist.
 DAMAGED = (tarfile.TarError, zlib.error, EOFError, gzip.BadGzipFile, FileNotFoundError)
@@ -221,7 +223,7 @@ def _expanding(member_bytes: int):
                 rows, size, status = [], 0, {}
                 for name, first, xml, error in _member_texts(row["location"], status, member_bytes):
                     rows.append((archive, name, first, xml, error, None, None))
-                    size += len(xml or "")
+                    size += sys.getsizeof(xml)  # characters take up to four bytes
                     if size >= BATCH_BYTES:
                         yield _batch(rows)
                         rows, size = [], 0
@@ -232,7 +234,7 @@ def _expanding(member_bytes: int):
 
 
 def expand_archives(
-    archives: DataFrame, tasks: int, spread: int | None = None, member_bytes: int = BATCH_BYTES
+    archives: DataFrame, tasks: int, spread: int | None = None, member_bytes: int = MEMBER_BYTES
 ) -> DataFrame:
     """Members of the archives in (`archive_path`, `location`).
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import io
 import tarfile
 
 import pyarrow as pa
@@ -35,7 +34,7 @@ def spark_tasks(spark) -> int:
     return spark.sparkContext.defaultParallelism
 
 
-def _store_file(target: str, data: bytes) -> None:
+def _open_target(target: str):
     import pyarrow.fs as pafs
 
     if "://" in target:
@@ -43,13 +42,18 @@ def _store_file(target: str, data: bytes) -> None:
     else:
         filesystem, path = pafs.LocalFileSystem(), target.removeprefix("file:")
     filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
-    with filesystem.open_output_stream(path, compression=None) as out:
+    return filesystem.open_output_stream(path, compression=None)
+
+
+def _store_file(target: str, data: bytes) -> None:
+    with _open_target(target) as out:
         out.write(data)
 
 
 def write_archives(members, base: str, name, file_lists: bool = False):
     """Write the rows (pmcid, xml) as .tar.gz archives, one per Arrow batch of a task.
 
+    An archive is written member by member, so that a task holds one batch and one text.
     `name(task, batch)` names an archive. With `file_lists`, the columns `updated`
     and `retracted` become a file list next to each. Returns (file_path, pmcid).
     """
@@ -60,24 +64,23 @@ def write_archives(members, base: str, name, file_lists: bool = False):
 
         task = TaskContext.get().partitionId()
         for number, batch in enumerate(batches):
-            rows, buffer, path = batch.to_pylist(), io.BytesIO(), name(task, number)
-            with tarfile.open(fileobj=buffer, mode="w:gz", compresslevel=1) as tar:
-                for row in rows:
-                    data = row["xml"].encode()
-                    info = tarfile.TarInfo(row["pmcid"] + ".xml")
-                    info.size = len(data)
-                    tar.addfile(info, io.BytesIO(data))
-            _store_file(f"{base}/{path}", buffer.getvalue())
+            path, xml = name(task, number), batch.column("xml")
+            with _open_target(f"{base}/{path}") as out, tarfile.open(fileobj=out, mode="w:gz", compresslevel=1) as tar:
+                for i, member in enumerate(batch.column("pmcid").to_pylist()):
+                    data = xml[i].as_buffer()
+                    info = tarfile.TarInfo(member + ".xml")
+                    info.size = data.size
+                    tar.addfile(info, pa.BufferReader(data))
+                    tar.members = []  # the list of what was passed is not needed
             if file_lists:
+                rows = batch.select(["pmcid", "updated", "retracted"]).to_pylist()
                 lines = ["File,Accession ID,PMID,Last Updated,Retracted"] + [
                     f"{path},{r['pmcid']},,{r['updated'] or ''},{r['retracted'] or ''}" for r in rows
                 ]
                 list_path = path.replace(".tar.gz", ".filelist.csv")
                 _store_file(f"{base}/{list_path}", "\n".join(lines).encode())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([path] * len(rows), pa.string()), pa.array([r["pmcid"] for r in rows], pa.string())],
-                names=["file_path", "pmcid"],
-            )
+                [pa.array([path] * batch.num_rows, pa.string()), batch.column("pmcid")], names=["file_path", "pmcid"])
 
     written = members.select(*columns).mapInArrow(pack, "file_path string, pmcid string")
     path = scratch_path(members.sparkSession, "written")

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pyarrow as pa
 from corpus_files import article, write_archive, write_list, write_package
 from pyspark.sql import functions as F
 
@@ -112,6 +113,16 @@ def test_name_expressions(spark):
     assert got[2][0] is None and got[2][5] == "/base/n.tar.gz"
 
 
+def test_batches_of_members_are_bounded_in_bytes(tmp_path):
+    """Texts of wide characters take four bytes a character, in a task and in its batches."""
+    text = "\U0001F600" * 250_000
+    write_archive(tmp_path / "a.tar.gz", {f"{i}.xml": text for i in range(12)})
+    paths = pa.RecordBatch.from_pylist([{"archive_path": "a", "location": str(tmp_path / "a.tar.gz")}])
+    batches = list(archives._expanding(16 << 20)(iter([paths])))
+    assert sum(b.num_rows for b in batches) == 13
+    assert max(b.nbytes for b in batches) < 8 << 20
+
+
 def test_archive_members(tmp_path, spark):
     digest = write_archive(tmp_path / "a.tar.gz", {
         "d/1.xml": "one", "2.NXML": "zwei ä".encode(), "3.txt": "no", "4.xml.bak": "no", "5.Xml": b"\xef\xbb\xbffive\r\nx",
