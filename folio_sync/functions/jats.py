@@ -341,16 +341,19 @@ def link(article: Column, protected: Column, fields: Column) -> Column:
     """The `href` attribute of the license that is in the namespace of links.
 
     Nearly always the only one is. Where a license has several, or one with another prefix, the
-    first four are read with their names, in further parses."""
+    first four are read with their names, two by a parse: four exceed the JDK's limit on operators."""
     used = F.regexp_extract_all(article, F.lit(LINK_PREFIX), F.lit(1))
     plain = F.forall(used, lambda p: _in_namespace(article, p)) & ~article.rlike(SEVERAL_LINKS)
-    named = F.transform(F.array(*(
-        F.xpath_string(protected, F.lit(f"concat(name({LINKS}[{i}]), ' ', {LINKS}[{i}])")) for i in (1, 2, 3, 4)
-    )), restore)
-    found = F.get(F.filter(
-        named, lambda a: (F.length(a) > 1) & _in_namespace(article, F.substring_index(a, ":", 1))), F.lit(0))
-    return F.when(plain, field(fields, "license_url")).otherwise(
-        F.substring(found, F.locate(" ", found) + 1, F.length(found)))
+
+    def first_of(positions: tuple[int, ...]) -> Column:
+        named = F.split(restore(F.xpath_string(protected, _joined(
+            [f"name({LINKS}[{i}]), ' ', {LINKS}[{i}]" for i in positions]))), SEPARATOR)
+        found = F.filter(
+            named, lambda a: (F.length(a) > 1) & _in_namespace(article, F.substring_index(a, ":", 1)))
+        # a lambda's argument is evaluated once, an expression each time it is named
+        return F.get(F.transform(found, lambda a: F.substring(a, F.locate(" ", a) + 1, F.length(a))), F.lit(0))
+
+    return F.when(plain, field(fields, "license_url")).otherwise(F.coalesce(first_of((1, 2)), first_of((3, 4))))
 
 
 def license_info(parsed: Column, url: Column) -> Column:

@@ -7,6 +7,7 @@ from xml.parsers import expat
 
 import pytest
 from corpus_files import article
+from pyspark.sql import functions as F
 
 from folio_sync.functions import jats
 from folio_sync.operators.extract import extract_articles, good_articles
@@ -244,3 +245,10 @@ def test_damaged_articles_never_fail_the_job(spark):
         if row.reject_reason != "malformed":
             plain = reference.sub(lambda m: m.group(1) or "&amp;", row.raw_jats_xml)
             expat.ParserCreate().Parse(plain.encode(), True)
+
+
+def test_links_are_read_in_few_parses(spark):
+    """An expression that names another one several times repeats its parses."""
+    df = spark.createDataFrame([("", "", [""])], "a string, p string, f array<string>")
+    plan = df.select(jats.link(F.col("a"), F.col("p"), F.col("f")))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("xpath_string(") == 2
