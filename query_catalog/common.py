@@ -17,11 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread_out(df: DataFrame) -> DataFrame:
-    """More partitions for a file scan with fewer than cores: parsing costs far more
-    than moving the text. A scan that already has enough is not shuffled."""
+def spread_out(df: DataFrame, key: str) -> DataFrame:
+    """Even parts for parsing, which costs far more than moving the text. The parts of a scan
+    do not tell: one task reads a whole row group, and the others of a file get nothing."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(max(2 * cores, df.rdd.getNumPartitions()), key)
 
 
 def pmcid(number: Column | str, prefix: str = "PMC") -> Column:

@@ -107,7 +107,7 @@ def as_jats(documents, dates: bool = False):
 
 
 def _extracted(spark, sf_dir, dates=False):
-    return extract_articles(as_jats(spread_out(table(spark, sf_dir, "documents")), dates))
+    return extract_articles(as_jats(spread_out(table(spark, sf_dir, "documents"), "doc_id"), dates))
 
 
 def extract_fields(spark, sf_dir):
@@ -179,7 +179,7 @@ FROM documents"""
 
 def extract_rejects(spark, sf_dir):
     """Documents broken in a way that depends on their language, three articles to a member."""
-    documents = spread_out(table(spark, sf_dir, "documents"))
+    documents = spread_out(table(spark, sf_dir, "documents"), "doc_id")
     good = as_jats(documents.where("lang = 'en'"))
     text = escape_xml(F.col("text"))
     middle = F.when(
@@ -214,7 +214,7 @@ FROM documents, (SELECT unnest([0, 1, 2]) AS p) WHERE lang <> 'en' OR p = 0"""
 
 def extract_recovered(spark, sf_dir):
     """Documents whose markup needs a DTD, or is not escaped: names of characters, unknown names, ampersands."""
-    documents = spread_out(table(spark, sf_dir, "documents"))
+    documents = spread_out(table(spark, sf_dir, "documents"), "doc_id")
     title = F.when(F.col("lang") == "en", _lines("Caf&eacute;&nbsp;", F.col("source"), " &Omega;"))
     title = title.when(F.col("lang") == "fr", _lines("R&D and ", F.col("source"), " & so on &c"))
     title = title.when(F.col("lang") == "de", _lines("&unknown; ", F.col("source"), " &#169; &#xA9; &amp;eacute; &lt;&gt;"))

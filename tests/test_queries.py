@@ -34,6 +34,23 @@ def test_bundles_of_one_task_are_numbered_apart(spark, con):
     assert good, note
 
 
+def test_one_row_group_is_spread_out(tmp_path, spark):
+    """A scan can have more parts than cores with all its rows in one of them."""
+    from pyspark.sql import functions as F
+
+    from query_catalog.common import spread_out
+
+    spark.range(4000).withColumn("text", F.sha2(F.col("id").cast("string"), 512)).coalesce(1).write.parquet(f"{tmp_path}/t")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        parts = spread_out(spark.read.parquet(f"{tmp_path}/t"), "id").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len(parts) >= spark.sparkContext.defaultParallelism and max(row["count"] for row in parts) < 4000 // 2
+
+
 def test_entry_is_a_query(spark):
     assert set(entry.oracle_sql()) == set(entry.queries()) - set(entry.LLM) | set(entry.oracle_sql()) & set(entry.LLM)
     assert entry.entry(spark).columns == ["pmcid", "title", "updated", "is_retracted"]
