@@ -30,9 +30,10 @@ def _is_missing(error: AnalysisException) -> bool:
     return (error.getCondition() or "").startswith("PATH_NOT_FOUND")
 
 
-def _headers(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, int]:
-    """(header_file, `positions` of the wanted columns, -1 where absent) per file with a header, and
-    the widest header's number of columns. The driver gets the different header lines, not the files."""
+def _headers(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, list[list[int]], int]:
+    """(header_file, `positions` of the wanted columns, -1 where absent) per file with a header, the
+    different positions, and the widest header's number of columns. The driver gets the different
+    header lines, not the files."""
     lines = spark.read.text(paths).where("_metadata.file_block_start = 0").select(
         plain_path(F.col("_metadata.file_path")).alias("header_file"), "value",
         F.monotonically_increasing_id().alias("line"),
@@ -47,7 +48,8 @@ def _headers(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, int]:
         layouts.append((row.header, [positions.get(name, -1) for name in WANTED]))
         width = max(width, len(names))
     layout = spark.createDataFrame(layouts, "header string, positions array<int>")
-    return headers.join(layout, "header").drop("header"), width
+    found = [list(positions) for positions in sorted({tuple(positions) for _, positions in layouts})]
+    return headers.join(layout, "header").drop("header"), found, width
 
 
 def _raw_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -55,8 +57,10 @@ def _raw_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
 
     All files are one read, as wide as the widest of them. `line_order` orders the
     lines of one file: a file's splits by their offset, then the lines of a split.
+    Where all files have their columns in the same places, as is usual, there is no join:
+    by the file's name it would bring all lines of a long list to one task.
     """
-    headers, width = _headers(spark, paths) if paths else (None, 0)
+    headers, layouts, width = _headers(spark, paths) if paths else (None, [], 0)
     if not width:
         order = "struct<file:string,block:bigint,line:bigint>"
         texts = ", ".join(f"`{name}` string" for name in WANTED)
@@ -72,9 +76,13 @@ def _raw_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
             F.monotonically_increasing_id().alias("line"),
         ).alias("line_order"),
     )
-    return lines.join(headers, F.col("list_path") == F.col("header_file")).select(
-        *(F.get("values", F.col("positions")[i]).alias(name) for i, name in enumerate(WANTED)),
-        "list_path", "line_order",
+    if len(layouts) == 1:
+        places = [F.lit(at) for at in layouts[0]]
+    else:
+        lines = lines.join(headers, F.col("list_path") == F.col("header_file"))
+        places = [F.col("positions")[i] for i in range(len(WANTED))]
+    return lines.select(
+        *(F.get("values", at).alias(name) for at, name in zip(places, WANTED)), "list_path", "line_order",
     )
 
 

@@ -248,3 +248,12 @@ def test_lists_with_different_headers_are_one_read(spark, tmp_path):
     assert [(x.key, x.reason) for x in bad.collect()] == [("PMC4", "missing_field")]
     scans = good._jdf.queryExecution().optimizedPlan().toString().count(" csv")
     assert scans == 1
+
+
+def test_lines_of_one_list_are_not_brought_together(spark, tmp_path):
+    """A join by the list's name would bring all lines of a long list to one task."""
+    (tmp_path / "l.csv").write_text("Accession ID,File\nPMC1,a.tar.gz\nPMC2,a.tar.gz\n")
+    listed, _ = manifest.read_manifest(spark, f"{tmp_path}/l.csv")
+    assert "Join" not in listed._jdf.queryExecution().optimizedPlan().toString()
+    assert [tuple(r) for r in listed.select("file_path", "pmcid").orderBy("pmcid").collect()] == [
+        ("a.tar.gz", "PMC1"), ("a.tar.gz", "PMC2")]
