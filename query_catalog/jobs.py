@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 import tarfile
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 
 from folio_sync.functions.names import package_day, resolve
@@ -50,8 +52,31 @@ def _store_file(target: str, data: bytes) -> None:
         out.write(data)
 
 
+def _copy_file(source: str, target: str) -> None:
+    with open_stream(source) as stream, _open_target(target) as out:
+        while data := stream.read(1 << 20):
+            out.write(data)
+
+
+def _add_members(tar: tarfile.TarFile, batch: pa.RecordBatch) -> None:
+    xml = batch.column("xml")
+    for i, member in enumerate(batch.column("pmcid").to_pylist()):
+        data = xml[i].as_buffer()
+        info = tarfile.TarInfo(member + ".xml")
+        info.size = data.size
+        tar.addfile(info, pa.BufferReader(data))
+        tar.members = []  # the list of what was passed is not needed
+
+
+def _packed(path: str, batch: pa.RecordBatch) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([path] * batch.num_rows, pa.string()), batch.column("pmcid")], names=["file_path", "pmcid"])
+
+
 def write_archives(members, base: str, name, file_lists: bool = False):
-    """Write the rows (pmcid, xml) as .tar.gz archives, one per Arrow batch of a task.
+    """Write the rows (pmcid, xml) as .tar.gz archives: one per Arrow batch of a task, or, with
+    `file_lists`, one per task that has rows, as the publisher makes one package of what an area has
+    on a day, however much it is.
 
     An archive is written member by member, so that a task holds one batch and one text.
     `name(task, batch)` names an archive. With `file_lists`, the columns `updated`
@@ -59,29 +84,37 @@ def write_archives(members, base: str, name, file_lists: bool = False):
     """
     columns = ["pmcid", "xml"] + (["updated", "retracted"] if file_lists else [])
 
-    def pack(batches):
+    def archives(batches):
         from pyspark import TaskContext
 
         task = TaskContext.get().partitionId()
         for number, batch in enumerate(batches):
-            path, xml = name(task, number), batch.column("xml")
+            path = name(task, number)
             with _open_target(f"{base}/{path}") as out, tarfile.open(fileobj=out, mode="w:gz", compresslevel=1) as tar:
-                for i, member in enumerate(batch.column("pmcid").to_pylist()):
-                    data = xml[i].as_buffer()
-                    info = tarfile.TarInfo(member + ".xml")
-                    info.size = data.size
-                    tar.addfile(info, pa.BufferReader(data))
-                    tar.members = []  # the list of what was passed is not needed
-            if file_lists:
+                _add_members(tar, batch)
+            yield _packed(path, batch)
+
+    def package(batches):
+        from pyspark import TaskContext
+
+        batches = (batch for batch in batches if batch.num_rows)
+        batch = next(batches, None)
+        if batch is None:
+            return
+        path = name(TaskContext.get().partitionId(), 0)
+        list_path = path.replace(".tar.gz", ".filelist.csv")
+        with (_open_target(f"{base}/{list_path}") as lines, _open_target(f"{base}/{path}") as out,
+              tarfile.open(fileobj=out, mode="w:gz", compresslevel=1) as tar):
+            lines.write(b"File,Accession ID,PMID,Last Updated,Retracted")
+            while batch is not None:
+                _add_members(tar, batch)
                 rows = batch.select(["pmcid", "updated", "retracted"]).to_pylist()
-                lines = ["File,Accession ID,PMID,Last Updated,Retracted"] + [
-                    f"{path},{r['pmcid']},,{r['updated'] or ''},{r['retracted'] or ''}" for r in rows
-                ]
-                list_path = path.replace(".tar.gz", ".filelist.csv")
-                _store_file(f"{base}/{list_path}", "\n".join(lines).encode())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([path] * batch.num_rows, pa.string()), batch.column("pmcid")], names=["file_path", "pmcid"])
+                lines.write("".join(
+                    f"\n{path},{r['pmcid']},,{r['updated'] or ''},{r['retracted'] or ''}" for r in rows).encode())
+                yield _packed(path, batch)
+                batch = next(batches, None)
 
+    pack = package if file_lists else archives
     written = members.select(*columns).mapInArrow(pack, "file_path string, pmcid string")
     path = scratch_path(members.sparkSession, "written")
     written.write.parquet(path)
@@ -233,17 +266,19 @@ def _write_packages(spark, sf_dir, drop: str) -> None:
         pmcid("page_id", "PAGE").alias("pmcid"), none.alias("updated"), none.alias("retracted"),
         _jats(pmcid("page_id", "PAGE"), F.lit("page"), F.col("html")).alias("xml"),
     )
-    for area, day, rows in (
-        ("oa_comm", "2024-01-08", updates.where("quality = 0")),
-        ("oa_noncomm", "2024-01-09", updates.where("quality = 1")),
-        ("oa_other", "2024-01-10", pages),
-    ):
+    def write(area, day, rows):
         write_archives(
             rows.repartition(max(2, spark_tasks(spark) // 4), "pmcid"), f"{drop}/oa_bulk/{area}/xml",
-            lambda task, batch, area=area, day=day: f"{area}_xml.{task}-{batch}.incr.{day}.tar.gz",
-            file_lists=True,
+            lambda task, batch: f"{area}_xml.{task}-{batch}.incr.{day}.tar.gz", file_lists=True,
         )
 
+    # at once: the packages of one area are fewer than the cores
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(
+            inheritable_thread_target(spark)(write), ("oa_comm", "oa_noncomm", "oa_other"),
+            ("2024-01-08", "2024-01-09", "2024-01-10"),
+            (updates.where("quality = 0"), updates.where("quality = 1"), pages)))
+
 
 def delta_load_state(spark, sf_dir):
     root, drop = _loaded_corpus(spark, sf_dir), scratch_path(spark, "drop")
@@ -279,7 +314,7 @@ def delta_load_damaged(spark, sf_dir):
     for quality, day in ((0, "2024-01-08"), (1, "2024-01-09")):
         base = f"{drop}/oa_bulk/oa_comm/xml"
         written = write_archives(
-            updates.where(F.col("quality") == quality), base,
+            updates.where(F.col("quality") == quality).repartition(spark_tasks(spark), "pmcid"), base,
             lambda task, batch, day=day: f"oa_comm_xml.{task}-{batch}.incr.{day}.tar.gz", file_lists=True,
         )
         if quality == 0:
@@ -307,14 +342,14 @@ def package_feed_state(spark, sf_dir):
     _write_packages(spark, sf_dir, drop)
     names = [row.location for row in find_packages(list_archives(spark, drop)).collect()]
     spoilt = names[len(names) // 2]
-    with open_stream(spoilt) as stream:
-        archive = stream.read()
+    aside = f"{scratch_path(spark, 'aside')}/package.tar.gz"
+    _copy_file(spoilt, aside)
     _store_file(spoilt, b"spoilt")
     package_feed(spark, root, drop, checkpoint, packages_per_batch=3).awaitTermination()
     failed = [(row.archive_path, row.attempts, row.reason) for row in corpus.failed_packages(spark, root).collect()]
     if [(spoilt.endswith(name), attempts, reason) for name, attempts, reason in failed] != [(True, 1, "unreadable")]:
         raise RuntimeError(f"The feed set aside {failed}, not {spoilt}")
-    _store_file(spoilt, archive)
+    _copy_file(aside, spoilt)
     package_feed(spark, root, drop, checkpoint, packages_per_batch=3).awaitTermination()
     return _state(spark, root)
 

@@ -1,6 +1,7 @@
 """Manifests, lists, packages, archives, digests."""
 
 import datetime as dt
+import tarfile
 
 import pyarrow as pa
 from corpus_files import article, write_archive, write_list, write_package
@@ -257,3 +258,24 @@ def test_lines_of_one_list_are_not_brought_together(spark, tmp_path):
     assert "Join" not in listed._jdf.queryExecution().optimizedPlan().toString()
     assert [tuple(r) for r in listed.select("file_path", "pmcid").orderBy("pmcid").collect()] == [
         ("a.tar.gz", "PMC1"), ("a.tar.gz", "PMC2")]
+
+
+def test_a_package_is_one_archive_however_large(spark, tmp_path):
+    """The feed takes a number of packages at a time, so their number must not grow with their articles."""
+    from query_catalog.jobs import write_archives
+
+    rows = spark.range(100).selectExpr(
+        "'PMC' || id AS pmcid", "'<article>' || id || '</article>' AS xml", "CAST(NULL AS STRING) AS updated", "'yes' AS retracted")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        written = write_archives(
+            rows.repartition(2, "pmcid"), f"{tmp_path}/p", lambda task, batch: f"{task}-{batch}.incr.2024-01-08.tar.gz", True)
+        packed = {r["file_path"]: r["count"] for r in written.groupBy("file_path").count().collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(packed) == 2 and sum(packed.values()) == 100
+    for path, n in packed.items():
+        with tarfile.open(f"{tmp_path}/p/{path}") as tar:
+            assert len(tar.getnames()) == n
+        lines = (tmp_path / "p" / path.replace(".tar.gz", ".filelist.csv")).read_text().splitlines()
+        assert len(lines) == n + 1 and all(line.startswith(f"{path},PMC") and line.endswith(",yes") for line in lines[1:])
