@@ -34,6 +34,7 @@ ROUNDS, STRIDE = 2, 2  # round r trains on every STRIDE-th token of each documen
 BATCH, RATE = 512, 0.1
 BLOCK = 1024  # parameters averaged together
 CHUNK = 1 << 16  # tokens scored together
+TILE = 4096  # of them, those whose arrays are held at a time
 HELD_WORDS = 400_000
 
 
@@ -155,10 +156,15 @@ SHAPES = {
 }
 
 
-def unpacked(flat: np.ndarray) -> dict[str, np.ndarray]:
+REST_SHAPES = {name: shape for name, shape in SHAPES.items() if name != "tables"}  # they come first
+TABLES = int(np.prod(SHAPES["tables"]))
+REST = sum(int(np.prod(s)) for s in REST_SHAPES.values())
+
+
+def unpacked(flat: np.ndarray, shapes: dict[str, tuple] = SHAPES) -> dict[str, np.ndarray]:
     """Views of the parts of one vector of parameters."""
     parts, at = {}, 0
-    for name, shape in SHAPES.items():
+    for name, shape in shapes.items():
         size = int(np.prod(shape))
         parts[name] = flat[at : at + size].reshape(shape)
         at += size
@@ -181,56 +187,104 @@ def contexts(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.stack([padded[at + reach + o] for o in OFFSETS], axis=1)
 
 
-def _log_softmax(logits: np.ndarray) -> np.ndarray:
-    logits = logits - logits.max(axis=1, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+def hidden(p: dict[str, np.ndarray], near: np.ndarray) -> np.ndarray:
+    found = p["tables"][0][near[:, 0]]
+    for j in range(1, len(OFFSETS)):
+        found += p["tables"][j][near[:, j]]
+    found += p["bias"]
+    return np.tanh(found, out=found)
 
 
-def hidden(p: dict[str, np.ndarray], near: np.ndarray) -> np.ndarray:
-    return np.tanh(sum((p["tables"][j][near[:, j]] for j in range(len(OFFSETS))), p["bias"]))
+def _by_class(classes: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """An order that brings tokens of a class together, and (class, begin, end) in it."""
+    edges = [0, *np.cumsum(np.bincount(classes, minlength=CLASSES)).tolist()]
+    return (np.argsort(classes.astype(np.uint8), kind="stable"),
+            [(c, edges[c], edges[c + 1]) for c in range(CLASSES) if edges[c] < edges[c + 1]])
 
 
-def _by_class(classes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(classes, kind="stable")
-    edges = np.searchsorted(classes[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        if edges[c] < edges[c + 1]:
-            yield c, order[edges[c] : edges[c + 1]]
+def _word_logits(p: dict[str, np.ndarray], h: np.ndarray, spans: list[tuple[int, int, int]], classes: np.ndarray) -> np.ndarray:
+    """(word in its class, token): of tokens ordered by class."""
+    found = np.empty((len(h), IN_CLASS), h.dtype)
+    for c, begin, end in spans:
+        np.matmul(h[begin:end], p["word_out"][c], out=found[begin:end])
+    found += p["word_bias"][classes]
+    return np.ascontiguousarray(found.T)
 
 
 def log_probs(p: dict[str, np.ndarray], near: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-    h = hidden(p, near)
-    classes, words = tokens // IN_CLASS, tokens % IN_CLASS
-    found = _log_softmax(h @ p["class_out"] + p["class_bias"])[np.arange(len(tokens)), classes]
-    for c, rows in _by_class(classes):
-        found[rows] += _log_softmax(h[rows] @ p["word_out"][c] + p["word_bias"][c])[np.arange(len(rows)), words[rows]]
+    found = np.empty(len(tokens), p["bias"].dtype)
+    for first in range(0, len(tokens), TILE):
+        part = slice(first, first + TILE)
+        order, spans = _by_class(tokens[part] // IN_CLASS)
+        token, at = tokens[part][order], np.arange(len(order))
+        classes, h = token // IN_CLASS, hidden(p, near[part][order])
+        total = np.zeros(len(order), found.dtype)
+        for logits, target in (
+            (p["class_out"].T @ h.T + p["class_bias"][:, None], classes),
+            (_word_logits(p, h, spans, classes), token % IN_CLASS),
+        ):
+            logits -= logits.max(axis=0)
+            total += logits[target, at]
+            total -= np.log(np.exp(logits, out=logits).sum(axis=0))
+        found[first + order] = total
     return found
 
 
-def gradients(p: dict[str, np.ndarray], near: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-    """Of the mean negative log-probability, as one vector like the parameters."""
-    flat = np.zeros(sum(int(np.prod(s)) for s in SHAPES.values()), np.float32)
-    g = unpacked(flat)
-    n = len(tokens)
+def _off(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """In place: probabilities, less one where the token is; a row per token."""
+    logits -= logits.max(axis=0)
+    np.exp(logits, out=logits)
+    logits /= logits.sum(axis=0)
+    logits[target, np.arange(len(target))] -= 1
+    return np.ascontiguousarray(logits.T)
+
+
+def _gradient_parts(p: dict[str, np.ndarray], near: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the mean negative log-probability: the rows of `tables`, as of one table, that take part,
+    their gradients, and those of all other parameters as one vector."""
+    rest = np.zeros(REST, np.float32)
+    g = unpacked(rest, REST_SHAPES)
+    order, spans = _by_class(tokens // IN_CLASS)
+    near, tokens = near[order], tokens[order]
+    classes = tokens // IN_CLASS
     h = hidden(p, near)
-    classes, words = tokens // IN_CLASS, tokens % IN_CLASS
-    off = np.exp(_log_softmax(h @ p["class_out"] + p["class_bias"]))
-    off[np.arange(n), classes] -= 1
-    g["class_out"][:], g["class_bias"][:] = h.T @ off, off.sum(axis=0)
+    turned = np.ascontiguousarray(h.T)
+    off = _off(p["class_out"].T @ turned + p["class_bias"][:, None], classes)
+    g["class_out"][:], g["class_bias"][:] = turned @ off, off.sum(axis=0)
     back = off @ p["class_out"].T
-    for c, rows in _by_class(classes):
-        off = np.exp(_log_softmax(h[rows] @ p["word_out"][c] + p["word_bias"][c]))
-        off[np.arange(len(rows)), words[rows]] -= 1
-        g["word_out"][c], g["word_bias"][c] = h[rows].T @ off, off.sum(axis=0)
-        back[rows] += off @ p["word_out"][c].T
+    off = _off(_word_logits(p, h, spans, classes), tokens % IN_CLASS)
+    for c, begin, end in spans:
+        part = off[begin:end]
+        g["word_out"][c] = turned[:, begin:end] @ part
+        back[begin:end] += part @ p["word_out"][c].T
+    g["word_bias"][[c for c, _, _ in spans]] = np.add.reduceat(off, [begin for _, begin, _ in spans], axis=0)
     back *= 1 - h * h
     g["bias"][:] = back.sum(axis=0)
-    for j in range(len(OFFSETS)):
-        np.add.at(g["tables"][j], near[:, j], back)
-    flat /= n
+    rest /= len(tokens)
+    back /= len(tokens)
+    # a row that takes part many times in a batch is added up first
+    rows = (near + np.arange(len(OFFSETS)) * (TOKENS + 1)).ravel()
+    order = np.argsort(rows.astype(np.uint16), kind="stable")
+    rows = rows[order]
+    starts = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
+    return rows[starts], np.add.reduceat(back[order // len(OFFSETS)], starts, axis=0), rest
+
+
+def gradients(p: dict[str, np.ndarray], near: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """Of the mean negative log-probability, as one vector like the parameters."""
+    rows, sums, rest = _gradient_parts(p, near, tokens)
+    flat = np.zeros(TABLES + REST, np.float32)
+    flat[:TABLES].reshape(-1, HIDDEN)[rows] = sums
+    flat[TABLES:] = rest
     return flat
 
 
+def _descend(values: np.ndarray, squares: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One step of Adagrad."""
+    squares = squares + g * g
+    return values - RATE * g / np.sqrt(squares), squares
+
+
 def _trainer(shared, turn: int):
     """A task's copy of the network after its rows, in blocks, with the tokens it saw."""
     schema = pa.schema([("block", pa.int32()), ("task", pa.int32()), ("seen", pa.int64()), ("values", pa.binary())])
@@ -240,10 +294,12 @@ def _trainer(shared, turn: int):
         p, squares = unpacked(flat), np.full(len(flat), 1e-6, np.float32)
         seen, near, tokens = 0, [], []
 
+        tables, table_squares = (v[:TABLES].reshape(-1, HIDDEN) for v in (flat, squares))
+
         def step(context: np.ndarray, token: np.ndarray) -> None:
-            g = gradients(p, context, token)
-            np.add(squares, g * g, out=squares)
-            np.subtract(flat, RATE * g / np.sqrt(squares), out=flat)
+            rows, sums, rest = _gradient_parts(p, context, token)
+            tables[rows], table_squares[rows] = _descend(tables[rows], table_squares[rows], sums)
+            flat[TABLES:], squares[TABLES:] = _descend(flat[TABLES:], squares[TABLES:], rest)
 
         for batch in batches:
             for body in batch.column(0).to_pylist():

@@ -82,6 +82,21 @@ def test_gradients_and_probabilities():
         pytest.approx(1))
 
 
+def test_a_step_touches_only_the_rows_of_its_tokens():
+    """The tables hold most of the network; a batch has a few of their rows, many times each."""
+    rng = np.random.default_rng(1)
+    p = lm_score.unpacked(lm_score.fresh())
+    near, tokens = rng.integers(0, 9, (200, 4)), rng.integers(0, lm_score.TOKENS, 200)
+    rows, sums, rest = lm_score._gradient_parts(p, near, tokens)
+    assert list(rows) == [o * (lm_score.TOKENS + 1) + i for o in range(4) for i in range(9)]
+    # token by token, added up one by one
+    single = [lm_score.gradients(p, near[i : i + 1], tokens[i : i + 1]).astype(np.float64) for i in range(200)]
+    dense = np.mean(single, axis=0)
+    tables, others = dense[: lm_score.TABLES].reshape(-1, lm_score.HIDDEN), dense[lm_score.TABLES :]
+    assert np.flatnonzero(np.abs(tables).sum(axis=1)).tolist() == list(rows)
+    assert np.allclose(tables[rows], sums, atol=1e-6) and np.allclose(others, rest, atol=1e-6)
+
+
 def test_scores_are_sums_over_all_tokens_and_beat_frequencies(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     known = lm_score.vocabulary(docs)
