@@ -9,11 +9,16 @@ of each bin is the signature (an empty bin takes the next one's). `ROWS` bins ma
 with a Jaccard similarity of `SIMILAR` or more are linked, and of each component of links one line
 stays: the first of the document with the smallest id.
 
-Lines that share a band are first compared exactly with the band's first line and with the line
-before them. Where that leaves a band of three or more lines in several components, its lines are
-split by their rare shingles: two linked sets overlap so much that the rarest shingles of both,
-as many as their sizes say, have one in common. All lines with such a shingle in common that are
-not connected yet are compared, so no pair that shares a band is left out, however full it is.
+All pairs of lines that share a band of at most `FULL` are candidates. In a fuller band a line
+is first compared with the band's first line and with the line before it. Where that leaves the band in
+several components, its lines are split by their rare shingles: two linked sets overlap so much that
+the rarest shingles of both, as many as their sizes say, have one in common. All lines with such a
+shingle in common that are not connected yet are compared, so no pair that shares a band is left
+out, however full it is.
+
+A candidate is compared exactly only if the numbers of shingles in each bin allow a link: linked
+sets differ in at most `(1 - SIMILAR) / (1 + SIMILAR)` of both sizes together, and in each bin they differ
+at least by the difference of their numbers there.
 
 Two lines of similarity s share a band with probability 1 - (1 - s^3)^7: 0.993 at 0.8
 and 0.999 at 0.85.
@@ -35,10 +40,13 @@ MIN_CHARS = 1  # blank lines are left alone
 FUZZY_CHARS = 12  # shorter lines are compared for equality alone
 CLASS = 1.05  # sizes of sets within this ratio are in one class
 BLOCK = 1024  # lines with one rare shingle are met in blocks of about so many
+FULL = 512  # of bands with at most so many lines all pairs are looked at
+BIN_BITS = 9  # a bin's number of shingles is kept up to this, as so many bits
+IN_LONG = 63 // BIN_BITS  # bins in a long
 HOT_PARTS = 1 << 16  # keys with more than this part of all rows, fewer than that in number, are broadcast
 
 _SHINGLES = (
-    rf"(?s)(?=((?!\p{{Lo}})[\p{{L}}\p{{N}}]{{{SHINGLE + 1},{RUN}}}+|.{{1,{SHINGLE}}}))"
+    rf"(?s)(?!\s)(?=((?!\p{{Lo}})[\p{{L}}\p{{N}}]{{{SHINGLE + 1},{RUN}}}+|.{{1,{SHINGLE}}}))"
     rf"(?:\p{{Lo}}|[\p{{L}}\p{{N}}]{{1,{RUN}}}+|[^\p{{L}}\p{{N}}\s]{{1,{SHINGLE}}}+)")
 
 
@@ -52,12 +60,50 @@ def _or_line(found: str, line: str) -> Column:
     return F.when(F.size(found) == 0, F.array(line)).otherwise(F.col(found))
 
 
-def _bands(hashes: Column, edges: Column, marked: Column, count: int) -> list[Column]:
-    """`hashes` are sorted, and `marked` are they with the bins' lower edges among them: an edge's
-    place there tells how many hashes lie below it."""
-    smallest = F.transform(edges, lambda e, i: F.coalesce(
-        F.try_element_at(hashes, (F.array_position(marked, e) - i).cast("int")), F.element_at(hashes, 1)))
-    return [F.xxhash64(F.lit(b), F.slice(smallest, b * ROWS + 1, ROWS)) for b in range(count)]
+def _places(hashes: Column, edges: Column) -> Column:
+    """Of each bin the place of its first hash among the sorted `hashes`."""
+    # an edge's place among hashes and edges tells how many hashes lie below it; the sorted array is
+    # bound as a variable, since the optimizer would otherwise sort again for each edge
+    return F.transform(F.array(F.sort_array(F.concat(hashes, edges))), lambda marked: F.transform(
+        edges, lambda e, i: (F.array_position(marked, e) - i).cast("int")))[0]
+
+
+def _smallest(hashes: Column, places: Column) -> Column:
+    """Of each bin the smallest hash; an empty one takes the next one's."""
+    return F.transform(places, lambda p: F.coalesce(F.try_element_at(hashes, p), F.element_at(hashes, 1)))
+
+
+def _numbers(count: int) -> Column:
+    return F.array(*(F.lit(i) for i in range(count)))
+
+
+def _bands(smallest: Column, count: int) -> Column:
+    return F.transform(_numbers(count), lambda b: F.xxhash64(b, F.slice(smallest, b * ROWS + 1, ROWS)))
+
+
+def _ones(places: Column, size: Column, count: int) -> Column:
+    """Of each bin as many ones as it has hashes, up to `BIN_BITS`."""
+    ones = F.array(*(F.lit((1 << n) - 1).cast("long") for n in range(BIN_BITS + 1)))
+    ends = F.concat(F.slice(places, 2, ROWS * count), F.array(size + 1))
+    return F.zip_with(places, ends, lambda p, end: F.get(ones, F.least(end - p, F.lit(BIN_BITS))))
+
+
+def _bin_sizes(ones: Column, count: int) -> Column:
+    """`IN_LONG` bins in a long: two lines differ in as many bits as the numbers of their bins do."""
+    return F.transform(_numbers(-(-ROWS * count // IN_LONG)), lambda i: F.aggregate(
+        F.slice(ones, i * IN_LONG + 1, IN_LONG), F.lit(0).cast("long"), lambda held, one: F.shiftleft(held, BIN_BITS).bitwiseOR(one)))
+
+
+def _sizes(count: int) -> list[str]:
+    return ["size", *(f"bins{i}" for i in range(-(-ROWS * count // IN_LONG)))]
+
+
+def _near(count: int, similar: float, one: str = "", other: str = "other_") -> Column:
+    """Whether two lines may be linked, by their `_sizes`; true for all that are."""
+    size, *bins = _sizes(count)
+    most = (F.col(one + size) + F.col(other + size)) * ((1 - similar) / (1 + similar)) + 1e-6
+    apart = sum((F.bit_count(F.col(one + b).bitwiseXOR(F.col(other + b))) for b in bins), F.lit(0))
+    return (F.abs(F.col(one + size) - F.col(other + size)) <= most) & (apart <= most)
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -71,24 +117,29 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
 
 def _kinds(lines: DataFrame, count: int) -> DataFrame:
-    """One row per different line: key, first_doc, n, and its bands. `same` is false where two
+    """One row per different line: key, first_doc, n, its `_sizes` and its bands. `same` is false where two
     different lines share the 64-bit key; those are left alone."""
     width = (1 << 64) // (ROWS * count)
     edges = F.array(*(F.lit(-(1 << 63) + i * width).cast("long") for i in range(ROWS * count)))
     found = lines.withColumn("found", _found("line"))
-    hashed = found.withColumn("hashes", F.sort_array(
+    hashed = found.withColumn("hashes", F.sort_array(F.array_distinct(
         F.when(F.size("found") == 0, F.array(F.xxhash64("line")))
-        .otherwise(F.transform("found", lambda s: F.xxhash64(s)))))
-    marked = hashed.withColumn("marked", F.sort_array(F.concat("hashes", edges)))
-    keyed = marked.select(
-        "key", "doc_id", F.xxhash64("line", F.lit(1)).alias("second"),
-        (F.length("line") >= FUZZY_CHARS).alias("fuzzy"),
-        F.array(*_bands(F.col("hashes"), edges, F.col("marked"), count)).alias("bands"),
-    ).select("key", "doc_id", "second", "fuzzy", *(F.col("bands")[i].alias(f"band{i}") for i in range(count)))
+        .otherwise(F.transform("found", lambda s: F.xxhash64(s))))))
+    placed = hashed.withColumn("places", _places(F.col("hashes"), edges)).withColumn("size", F.size("hashes"))
+    binned = placed.withColumn("smallest", _smallest(F.col("hashes"), F.col("places"))).withColumn(
+        "ones", _ones(F.col("places"), F.col("size"), count))
+    sizes = _sizes(count)
+    # few large expressions and many lambdas: generated code for all bins takes a compiler's memory
+    keyed = binned.select(
+        "key", "doc_id", F.xxhash64("line", F.lit(1)).alias("second"), (F.length("line") >= FUZZY_CHARS).alias("fuzzy"), "size",
+        _bin_sizes(F.col("ones"), count).alias("bins"), _bands(F.col("smallest"), count).alias("bands"),
+    ).select(
+        "key", "doc_id", "second", "fuzzy", "size", *(F.col("bins")[i].alias(s) for i, s in enumerate(sizes[1:])),
+        *(F.col("bands")[i].alias(f"band{i}") for i in range(count)))
     return keyed.groupBy("key").agg(
         F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("n"),
         (F.min("second") == F.max("second")).alias("same"), F.min("fuzzy").alias("fuzzy"),
-        *(F.min(f"band{i}").alias(f"band{i}") for i in range(count)))
+        *(F.min(s).alias(s) for s in sizes), *(F.min(f"band{i}").alias(f"band{i}") for i in range(count)))
 
 
 def _banded(kinds: DataFrame, count: int) -> DataFrame:
@@ -103,14 +154,23 @@ def _banded(kinds: DataFrame, count: int) -> DataFrame:
         F.lag("key").over(placed).alias("before")).where("n > 1")
 
 
-def _candidates(banded: DataFrame) -> DataFrame:
-    """Pairs (key, other) of lines that share a band: with the band's first, and with the one before."""
-    return banded.where("before is not null").select("key", F.explode(F.array("first", "before")).alias("other")).distinct()
+def _candidates(banded: DataFrame, facts: DataFrame, count: int, similar: float) -> DataFrame:
+    """Pairs (key, other) of lines that share a band and may be linked: all pairs of a band, but of
+    one that is full only those with the band's first and with the one before."""
+    sizes = _sizes(count)
+    others = facts.select(F.col("key").alias("other"), *(F.col(s).alias(f"other_{s}") for s in sizes))
+    near = _near(count, similar)
+    placed = banded.where(F.col("n") <= FULL).join(facts, "key").select("band", "key", *sizes)
+    met = placed.select("band", F.col("key").alias("other"), *(F.col(s).alias(f"other_{s}") for s in sizes))
+    pairs = placed.join(met, "band").where((F.col("key") < F.col("other")) & near).select("key", "other")
+    full = banded.where((F.col("n") > FULL) & F.col("before").isNotNull()).select(
+        "key", F.explode(F.array("first", "before")).alias("other")).distinct()
+    return pairs.unionByName(full.join(facts, "key").join(others, "other").where(near).select("key", "other")).distinct()
 
 
-def _texts(banded: DataFrame, lines: DataFrame, kinds: DataFrame) -> DataFrame:
-    """key, line: the lines that share a band."""
-    wanted = written(banded.select("key").distinct().join(kinds.select("key", "first_doc"), "key"), "wanted")
+def _texts(keys: DataFrame, lines: DataFrame, facts: DataFrame) -> DataFrame:
+    """key, line: the lines with these keys."""
+    wanted = written(keys.distinct().join(facts.select("key", "first_doc"), "key"), "wanted")
     at = wanted.select(F.col("key").alias("at"), "first_doc")
     texts = written(
         sieved(lines, "key", wanted, "key").join(
@@ -149,8 +209,8 @@ def _with_facts(rows: DataFrame, facts: DataFrame, key: str) -> DataFrame:
 
 
 def _unsettled(banded: DataFrame, linked: DataFrame) -> DataFrame:
-    """key, component: the lines of bands of three or more that are in several components."""
-    crowded = banded.where("n > 2").join(linked, F.col("key") == F.col("node"), "left").select(
+    """key, component: the lines of full bands that are in several components."""
+    crowded = banded.where(F.col("n") > FULL).join(linked, F.col("key") == F.col("node"), "left").select(
         "band", "key", F.coalesce("component", "key").alias("component"))
     open_ = crowded.groupBy("band").agg(
         F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("band")
@@ -212,11 +272,15 @@ def _close_pairs(unsettled: DataFrame, texts: DataFrame, similar: float) -> Data
 def _all_linked(kinds: DataFrame, lines: DataFrame, count: int, similar: float) -> DataFrame:
     """node, component of the lines that are linked with another."""
     banded = written(_banded(kinds, count), "line-bands")
-    texts = _texts(banded, lines, kinds)
-    links = _links(_candidates(banded), texts, similar)
+    facts = written(
+        banded.select("key").distinct().join(kinds.select("key", "first_doc", *_sizes(count)), "key"), "line-facts")
+    pairs = written(_candidates(banded, facts, count, similar), "line-pairs")
+    keys = pairs.select("key").unionByName(pairs.select(F.col("other").alias("key")))
+    texts = _texts(keys.unionByName(banded.where(F.col("n") > FULL).select("key")), lines, facts)
+    links = _links(pairs, texts, similar)
     linked = components(links)
     unsettled = written(_unsettled(banded, linked), "unsettled")
-    discarded(banded)
+    discarded(banded, facts, pairs)
     if not unsettled.isEmpty():
         pairs = _close_pairs(unsettled, texts, similar)
         more = _links(pairs, texts, similar)

@@ -207,6 +207,48 @@ def test_no_pair_of_a_full_band_is_left_out(spark):
     assert sum(a == b for a, b in pairs) >= 0.98 * len(pairs)
 
 
+def test_all_pairs_of_a_small_band_are_looked_at(spark, monkeypatch):
+    """Template lines that share bands and are no links do not go on to the split by rare shingles."""
+    r = random.Random(6)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(7))
+    fixed, lines = [word() for _ in range(28)], []
+    for _ in range(100):
+        own = [word() for _ in range(5)]
+        lines += [" ".join([*fixed[:9], *values, *fixed[9:]]) for values in (own, [word(), *own[1:]])]
+
+    def split(*_):
+        raise AssertionError("a band that is not full was split")
+
+    monkeypatch.setattr(line_dedup, "_close_pairs", split)
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    got = {x.doc_id: x.component for x in line_dedup.line_dedup(docs).collect()}
+    assert len(set(got.values())) == 100 and all(got[i] == got[i + 1] for i in range(0, 200, 2))
+
+
+def test_bin_sizes_let_every_link_through(spark):
+    """By brute force: pairs at or above the threshold pass, and nearly all others do not."""
+    r = random.Random(12)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
+    common, lines = [word() for _ in range(40)], ["ab", "漢字", "a" * 300]
+    for _ in range(70):
+        words = r.choices(common, k=r.randint(1, 12)) + [word() for _ in range(r.choice([0, 4, 20, 200]))]
+        for _ in range(4):
+            lines.append(" ".join(words))
+            words = [w for w in words if r.random() > 0.04] + [word() for _ in range(r.randint(0, 2))]
+    lines = sorted(set(filter(None, lines)))
+    sets = line_sets(lines)[1]
+    docs = spark.createDataFrame([(i, line) for i, line in enumerate(lines)], "doc_id long, text string")
+    count, similar = line_dedup.BANDS, line_dedup.SIMILAR
+    sizes = line_dedup._sizes(count)
+    kinds = line_dedup._kinds(line_dedup.lines_of(docs), count).select(F.col("first_doc").alias("i"), *sizes).cache()
+    assert {x.i: x.size for x in kinds.collect()} == {i: len(sets[line]) for i, line in enumerate(lines)}
+    others = kinds.toDF("j", *(f"other_{s}" for s in sizes))
+    passed = {(x.i, x.j) for x in kinds.crossJoin(others).where("i < j").where(line_dedup._near(count, similar)).select("i", "j").collect()}
+    links = {(i, j) for j in range(len(lines)) for i in range(j)
+             if len(sets[lines[i]] & sets[lines[j]]) >= similar * len(sets[lines[i]] | sets[lines[j]])}
+    assert len(links) > 50 and links <= passed and len(passed) < 0.1 * len(lines) ** 2 / 2
+
+
 def test_rare_shingles_find_every_pair(spark):
     """All pairs at or above the threshold among lines of many sizes, by brute force."""
     r = random.Random(9)
