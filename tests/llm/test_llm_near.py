@@ -4,6 +4,7 @@ import collections
 import itertools
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -14,6 +15,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from folio_sync.llm import line_dedup, ngram_join
 from folio_sync.llm.components import components
+from folio_sync.session import scratch_path
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -125,6 +127,46 @@ def test_join_of_nothing_repeated_rows_and_null_ids(spark):
     assert (4, "A B c  d e") in kept and (3, None) in kept and (None, "x y") in kept and (9, "other") in kept
 
 
+@pytest.mark.parametrize("seed", [4, 5])
+def test_join_in_many_rounds_is_exact(spark, monkeypatch, seed):
+    """Rounds of shingles, pairs and sets leave nothing out and give no pair twice to count."""
+    monkeypatch.setattr(ngram_join, "ROUND_ROWS", 40)
+    monkeypatch.setattr(ngram_join, "ROUND_BYTES", 2000)
+    labels = collections.Counter()
+    write = ngram_join.written
+    monkeypatch.setattr(ngram_join, "written", lambda df, label, *path: (labels.update([label]), write(df, label, *path))[1])
+    docs = frame(spark, families(seed))
+    got = ngram_join.ngram_join(docs).collect()
+    assert len(got) == docs.count()
+    assert {tuple(r) for r in got} == expected_join(docs.select("doc_id", "text").collect())
+    assert labels["shared-shingles"] == ngram_join.ROUNDS and labels["pairs"] > 1 and labels["links"] > 4
+
+
+def test_join_shuffles_a_part_of_its_prefix_shingles_at_a_time(spark, monkeypatch):
+    """No query of the join has shuffle files of more than a few bytes for each prefix shingle of all sets."""
+    monkeypatch.setattr(ngram_join, "ROUND_ROWS", 1000, raising=False)
+    r = random.Random(6)
+    docs = frame(spark, [" ".join(f"w{r.randrange(100_000)}" for _ in range(200)) for _ in range(2000)])
+    folders = [d.getPath() for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    moved = {}
+
+    def shuffled():
+        return {f: f.stat().st_size for d in folders for f in Path(d).rglob("shuffle_*.data")}
+
+    def measured(df, label, path=None):
+        path, before = path or scratch_path(spark, label), shuffled()
+        df.write.parquet(path)
+        moved[label] = max(moved.get(label, 0), sum(size for f, size in shuffled().items() if f not in before))
+        table = spark.read.schema(df.schema).parquet(path)
+        table.scratch_path = path
+        return table
+
+    monkeypatch.setattr(ngram_join, "written", measured)
+    assert ngram_join.ngram_join(docs).count() == 2000
+    prefix_shingles = 2000 * (197 - ngram_join._need(197, ngram_join.PERCENT) + 1)
+    assert 0 < max(moved.values()) <= 20 * prefix_shingles, moved
+
+
 # Line dedup
 
 def line_sets(texts):
